@@ -1,0 +1,76 @@
+"""Ordered score bins, which keep every window partition bounded.
+
+A running total over all scores of a group is a single window partition, and the grand total of a
+cohort is the largest group there is. Where a group could be too large for one task, the score axis
+is cut into ordered bins and the running total has two levels: inside each bin, then over the bins.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+ROWS_PER_BIN = 1 << 20
+MAX_BINS = 1 << 16
+
+
+@dataclass(frozen=True)
+class ScoreBins:
+    """Ascending bounds per score. Without bounds there is a single bin: groups are small enough."""
+
+    bounds: Mapping[str, tuple[float, ...]] = field(default_factory=dict)
+
+    @property
+    def single(self) -> bool:
+        return not any(self.bounds.values())
+
+    def column(self, value: str = "value", score: str = "score") -> Column:
+        """Bin number; never decreases as the score grows, so bins are ordered like scores."""
+        chosen = F.lit(0)
+        for name, bounds in self.bounds.items():
+            chosen = F.when(F.col(score) == name, _bounds_passed(F.col(value), bounds)).otherwise(chosen)
+        return chosen
+
+
+def measure_bins(scores: DataFrame, rows_per_bin: int = ROWS_PER_BIN, keys: tuple[str, ...] = ("score",)) -> ScoreBins:
+    """Pick bins for a table with ``score`` and ``value``: its rows bound the rows of any group.
+
+    The largest count per ``keys`` decides whether bins are needed. If so, a second pass takes
+    approximate quantiles as bounds. These only steer the balance of the work; results do not depend
+    on them.
+    """
+    largest = scores.groupBy(*keys).agg(F.count("*").alias("rows")).agg(F.max("rows")).head()[0] or 0
+    bins = min(-(-largest // rows_per_bin), MAX_BINS)
+    if bins <= 1:
+        return ScoreBins()
+    shares = _double_array([i / bins for i in range(1, bins)])
+    accuracy = max(10_000, 4 * bins)
+    measured = (
+        scores.groupBy("score")
+        .agg(F.percentile_approx("value", shares, accuracy).cast("array<double>").alias("bounds"))
+        .collect()  # one array of fewer than MAX_BINS numbers per score
+    )
+    return ScoreBins({r["score"]: tuple(sorted(set(r["bounds"]))) for r in measured})
+
+
+def _bounds_passed(value: Column, bounds: tuple[float, ...]) -> Column:
+    """How many bounds are <= value: a binary search that halves its step each time."""
+    if not bounds:
+        return F.lit(0)
+    table = _double_array(bounds)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+    return F.reduce(
+        steps,
+        F.lit(0),
+        lambda passed, step: F.when(
+            F.try_element_at(table, passed + step) <= value.cast("double"), passed + step
+        ).otherwise(passed),
+    )
+
+
+def _double_array(values) -> Column:
+    """A constant array built from one literal, which the optimizer folds."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
