@@ -26,11 +26,18 @@ from tidemark.operators import ks as ks_ops
 from tidemark.operators import percentiles as pctl_ops
 from tidemark.operators.bins import ScoreBins
 from tidemark.operators.histogram import base_histogram, cubed_histogram, score_rows
+from tidemark.operators.profile import score_histogram as histogram_of
 from tidemark.operators.profile import score_profile
 from tidemark.operators.psi import cumulative_psi
 from tidemark.operators.segments import level_columns, segment_cube as cube_rows
 from tidemark.plans.config import MonitorConfig, ScoreSpec, SpecialValue, month_list
-from tidemark.plans.jobs import baseline_tails, monitor, production_profile
+from tidemark.plans.jobs import (
+    baseline_tails,
+    monitor,
+    monitored_histogram,
+    production_profile,
+    production_tails,
+)
 from tidemark.plans.percentile_plan import percentile_plan as plan_table
 from tidemark.plans.percentile_plan import target_rank
 from tidemark.sources.cohort_tables import (
@@ -108,14 +115,17 @@ def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_profile(_long(spark, sf_dir), CONFIG)
+    return score_profile(histogram_of(_long(spark, sf_dir), CONFIG), CONFIG)
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = _mon(spark, sf_dir)
-    base = baseline_tails(rows, CONFIG)
-    profile = cut_lineage(production_profile(rows, CONFIG, base))
-    return base, pctl_ops.compared_tails(profile, base, CONFIG)
+    histogram = monitored_histogram(_mon(spark, sf_dir), CONFIG)
+    base = baseline_tails(histogram, CONFIG)
+    return base, production_tails(production_profile(histogram, CONFIG, base), base, CONFIG)
+
+
+def _own_tails(profile: DataFrame, config: MonitorConfig) -> DataFrame:
+    return pctl_ops.own_tails(pctl_ops.milestones(profile, config))
 
 
 # --- sources, sinks and cohorts ---------------------------------------------------------------
@@ -260,7 +270,7 @@ def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tails = pctl_ops.own_tails(_profile(spark, sf_dir), CONFIG)
+    tails = _own_tails(_profile(spark, sf_dir), CONFIG)
     return tails.select("score", "cohort", *level_columns(SEGMENTS), "pctl", "cutoff")
 
 
@@ -282,8 +292,8 @@ def cutoffs_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _tail_counts(spark: SparkSession, sf_dir: str, score: ScoreSpec) -> DataFrame:
     config = MonitorConfig((score,), CONFIG.segments)
-    profile = score_profile(score_rows(_mon(spark, sf_dir), config), config)
-    report = pctl_ops.baseline_report(pctl_ops.own_tails(profile, config), SEGMENTS)
+    profile = score_profile(histogram_of(score_rows(_mon(spark, sf_dir), config), config), config)
+    report = pctl_ops.baseline_report(_own_tails(profile, config), SEGMENTS)
     return _rounded(report, tail_pct=9)
 
 
@@ -339,12 +349,13 @@ def fraud_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _price_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_profile(score_rows(_price(spark, sf_dir), PRICE), PRICE, rows_per_bin=4096)
+    histogram = histogram_of(score_rows(_price(spark, sf_dir), PRICE), PRICE, rows_per_bin=4096)
+    return score_profile(histogram, PRICE)
 
 
 def cutoffs_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut-offs and tails of a score with almost no repeated value, through several bins."""
-    tails = pctl_ops.own_tails(_price_profile(spark, sf_dir), PRICE)
+    tails = _own_tails(_price_profile(spark, sf_dir), PRICE)
     return _rounded(pctl_ops.baseline_report(tails, PRICE.segments), tail_pct=9)
 
 

@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import doubles
+
 ROWS_PER_BIN = 1 << 20
 MAX_BINS = 1 << 16
 
@@ -35,14 +37,13 @@ class ScoreBins:
         return chosen
 
 
-def measure_bins(scores: DataFrame, rows_per_bin: int = ROWS_PER_BIN, keys: tuple[str, ...] = ("score",)) -> ScoreBins:
-    """Pick bins for a table with ``score`` and ``value``: its rows bound the rows of any group.
+def measure_bins(scores: DataFrame, rows_per_bin: int = ROWS_PER_BIN) -> ScoreBins:
+    """Pick bins for a table with ``score`` and ``value`` whose rows bound the size of any group.
 
-    The largest count per ``keys`` decides whether bins are needed. If so, a second pass takes
-    approximate quantiles as bounds. These only steer the balance of the work; results do not depend
-    on them.
+    The rows per score decide whether bins are needed. If so, a second pass takes approximate
+    quantiles as bounds. These only steer the balance of the work; results do not depend on them.
     """
-    largest = scores.groupBy(*keys).agg(F.count("*").alias("rows")).agg(F.max("rows")).head()[0] or 0
+    largest = scores.groupBy("score").agg(F.count("*").alias("rows")).agg(F.max("rows")).head()[0] or 0
     bins = min(-(-largest // rows_per_bin), MAX_BINS)
     if bins <= 1:
         return ScoreBins()
@@ -72,5 +73,5 @@ def _bounds_passed(value: Column, bounds: tuple[float, ...]) -> Column:
 
 
 def _double_array(values) -> Column:
-    """A constant array built from one literal, which the optimizer folds."""
-    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+    """A constant array; the optimizer folds it to a single literal."""
+    return F.expr(doubles(values))

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import texts
+
 
 def cohort_month(cohort: Column) -> Column:
     """First day of a YYYYMM cohort."""
@@ -28,8 +30,7 @@ def month_spine(periods: DataFrame, first: str = "first_cohort", last: str = "la
 
 
 def cohort_list(spark: SparkSession, cohorts: Iterable[int]) -> DataFrame:
-    months = F.array(*[F.lit(int(c)) for c in cohorts]).cast("array<int>")
-    return spark.range(1, numPartitions=1).select(F.explode(months).alias("cohort"))
+    return spark.sql(f"SELECT explode(CAST({texts(cohorts)} AS ARRAY<INT>)) AS cohort")
 
 
 def missing_cohorts(requested: DataFrame, present: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from tidemark.functions.scores import is_valid
 from tidemark.operators.bins import ScoreBins
 from tidemark.operators.segments import checked_segment, expand_levels
 from tidemark.plans.config import MonitorConfig
-from tidemark.sources.cohort_tables import baseline_rows, cohort_rows
 
 # Keys of one distribution: the histogram of one score, in one cohort, at one segment level.
 GROUP = ("cohort", "score", "level")
@@ -82,13 +81,3 @@ def cubed_histogram(
             F.bool_or("is_point").alias("is_point"),
         )
     )
-
-
-def baseline_score_rows(rows: DataFrame, config: MonitorConfig) -> DataFrame:
-    """Score rows of the baseline cohorts, merged into one cohort called ``baseline``."""
-    return score_rows(baseline_rows(rows, config), config)
-
-
-def production_score_rows(rows: DataFrame, config: MonitorConfig) -> DataFrame:
-    """Score rows of the monitored cohorts."""
-    return score_rows(cohort_rows(rows, config, config.production_cohorts), config)

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.literals import doubles, texts
 from tidemark.functions.scores import percent
 from tidemark.operators.histogram import GROUP
 from tidemark.operators.profile import from_value
 from tidemark.operators.segments import expand_levels, level_columns, level_of_labels
 from tidemark.plans.config import BASELINE_COHORT, MonitorConfig
-from tidemark.plans.percentile_plan import percentile_plan, target_rank
+from tidemark.plans.percentile_plan import percentile_plan, plan_percentiles, reaches, reaches_any
 
 
 def tail_count(count: str) -> Column:
@@ -21,37 +22,40 @@ def tail_count(count: str) -> Column:
     return F.when(F.col("high_tail"), from_value(count)).otherwise(F.col(f"cum_{count}"))
 
 
-def own_tails(profile: DataFrame, config: MonitorConfig) -> DataFrame:
-    """Exact cut-offs with their tails, one row per (cohort, score, level, percentile).
+def milestones(profile: DataFrame, config: MonitorConfig) -> DataFrame:
+    """The few profile rows that matter for percentiles: where one is reached, or a point was placed.
 
-    The cut-off is the smallest value whose cumulative count reaches the target rank. Exactly one
-    histogram row crosses each rank, so this is a filter on the profile, without a shuffle.
+    The cut-off of a percentile is the smallest value whose cumulative count reaches the target rank.
+    Exactly one histogram row crosses each rank, so this is a filter, without a shuffle.
     """
-    plan = percentile_plan(profile.sparkSession, config.scores)
-    rank = target_rank("total_n")
-    crosses = (F.col("cum_n") - F.col("n") < rank) & (rank <= F.col("cum_n"))
+    plan = percentile_plan(profile.sparkSession, config.scores).withColumnRenamed("score", "plan_score")
     return (
-        profile.join(F.broadcast(plan), "score")
-        .where(crosses)
-        .select(
-            *GROUP,
-            "pctl",
-            "is_ppv",
-            "high_tail",
-            F.col("value").alias("cutoff"),
-            tail_count("n").alias("tail_n"),
-            tail_count("pos").alias("tail_pos"),
-            "total_n",
-            "total_pos",
-        )
+        profile.where(F.col("is_point") | reaches_any(config.scores))
+        .join(F.broadcast(plan), F.expr(f"score = plan_score AND {reaches()}"), "left")
+        .where(F.col("pctl").isNotNull() | F.col("is_point"))
+        .drop("plan_score", "pctl_milli")
+    )
+
+
+def own_tails(marks: DataFrame) -> DataFrame:
+    """Exact cut-offs with their tails, one row per (cohort, score, level, percentile)."""
+    return marks.filter(F.col("pctl").isNotNull()).select(
+        *GROUP,
+        "pctl",
+        "is_ppv",
+        "high_tail",
+        F.col("value").alias("cutoff"),
+        tail_count("n").alias("tail_n"),
+        tail_count("pos").alias("tail_pos"),
+        "total_n",
+        "total_pos",
     )
 
 
 def cutoff_points(base_tails: DataFrame, cohorts: Sequence[int], value_type: T.DataType) -> DataFrame:
     """The baseline cut-offs as points on the score axis of every monitored cohort."""
-    months = F.array(*[F.lit(str(c)) for c in cohorts]).cast("array<string>")
     return base_tails.select(
-        F.explode(months).alias("cohort"), "score", "level", _point(value_type).alias("value")
+        F.explode(F.expr(texts(cohorts))).alias("cohort"), "score", "level", _point(value_type).alias("value")
     )
 
 
@@ -63,36 +67,33 @@ def _point(value_type: T.DataType) -> Column:
     return cutoff.cast(value_type)
 
 
-def tails_under_baseline(profile: DataFrame, base_tails: DataFrame) -> DataFrame:
-    """Monitored rows beyond the baseline cut-offs, read off the points placed in the profile.
-
-    Only point rows take part in the join, as many as there are baseline cut-offs per cohort.
-    """
-    value_type = profile.schema["value"].dataType
+def tails_under_baseline(marks: DataFrame, base_tails: DataFrame) -> DataFrame:
+    """Monitored rows beyond the baseline cut-offs, read off the points placed in the profile."""
     at = base_tails.select(
-        "score", "level", "pctl", "high_tail", F.col("cutoff").alias("base_cutoff"), _point(value_type).alias("value")
+        "score",
+        "level",
+        "pctl",
+        "high_tail",
+        F.col("cutoff").alias("base_cutoff"),
+        _point(marks.schema["value"].dataType).alias("value"),
     )
-    return (
-        profile.filter("is_point")
-        .join(at, ["score", "level", "value"])
-        .select(
-            *GROUP,
-            "pctl",
-            "base_cutoff",
-            tail_count("n").alias("base_tail_n"),
-            tail_count("pos").alias("base_tail_pos"),
-        )
+    # A point on which several of the cohort's own percentiles fall is in the marks once for each.
+    points = marks.filter("is_point").drop("pctl", "is_ppv", "high_tail").distinct()
+    return points.join(at, ["score", "level", "value"]).select(
+        *GROUP,
+        "pctl",
+        "base_cutoff",
+        tail_count("n").alias("base_tail_n"),
+        tail_count("pos").alias("base_tail_pos"),
     )
 
 
-def compared_tails(profile: DataFrame, base_tails: DataFrame, config: MonitorConfig) -> DataFrame:
+def compared_tails(marks: DataFrame, base_tails: DataFrame) -> DataFrame:
     """Own tails next to the tails under baseline cut-offs.
 
     A level the baseline does not have keeps a null cut-off and an empty baseline tail.
     """
-    return own_tails(profile, config).join(
-        tails_under_baseline(profile, base_tails), [*GROUP, "pctl"], "left"
-    )
+    return own_tails(marks).join(tails_under_baseline(marks, base_tails), [*GROUP, "pctl"], "left")
 
 
 def baseline_report(tails: DataFrame, segments: Sequence[str]) -> DataFrame:
@@ -149,33 +150,24 @@ def approximate_cutoffs(long_rows: DataFrame, config: MonitorConfig, accuracy: i
 
     One sketch per group answers all percentiles; the rank error is about ``1 / accuracy``.
     """
-    wanted = sorted({p for s in config.scores for p in _effective(s)})
+    wanted = plan_percentiles(config.scores)
     sketches = (
         expand_levels(long_rows.drop("flag"), config.segments, config.total_label)
         .groupBy(*GROUP)
         .agg(F.percentile_approx("value", [p / 100 for p in wanted], accuracy).alias("cutoffs"))
+        .select(
+            "score", F.col("cohort").cast("string").alias("cohort"), *level_columns(config.segments), "cutoffs"
+        )
     )
     plan = percentile_plan(long_rows.sparkSession, config.scores).select("score", "pctl")
     return (
         sketches.select(
-            *GROUP, F.inline(F.arrays_zip(_doubles(wanted).alias("pctl"), F.col("cutoffs").alias("cutoff")))
+            *sketches.columns[:-1], F.inline(F.arrays_zip(F.expr(doubles(wanted)).alias("pctl"), F.col("cutoffs").alias("cutoff")))
         )
         .join(F.broadcast(plan), ["score", "pctl"], "left_semi")
-        .select(
-            "score", F.col("cohort").cast("string").alias("cohort"), *level_columns(config.segments), "pctl", "cutoff"
-        )
     )
 
 
-def _effective(spec) -> list[float]:
-    ppv = [100.0 - p if spec.high_tail else float(p) for p in spec.ppv_percentiles]
-    return [*ppv, *map(float, spec.dist_percentiles)]
-
-
-def _doubles(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
 def percentile_column(pctl: float) -> str:
     return f"pctl_{pctl:g}".replace(".", "_")
 

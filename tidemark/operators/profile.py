@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.literals import is_one_of
 from tidemark.operators.bins import ROWS_PER_BIN, ScoreBins, measure_bins
 from tidemark.operators.histogram import GROUP, base_histogram, cubed_histogram
 from tidemark.plans.config import MonitorConfig
@@ -53,25 +57,42 @@ def from_value(count: str) -> Column:
     return F.col(f"total_{count}") - F.col(f"cum_{count}") + F.col(count)
 
 
-def score_profile(
-    long_rows: DataFrame,
-    config: MonitorConfig,
-    points: DataFrame | None = None,
-    rows_per_bin: int = ROWS_PER_BIN,
-) -> DataFrame:
-    """Histogram with running totals, straight from score rows. Runs jobs to size the bins.
+@dataclass(frozen=True)
+class Histogram:
+    """Base histogram by cohort, with the bins its running totals use."""
+
+    base: DataFrame
+    bins: ScoreBins
+
+    def of(self, cohorts: Sequence[int], label: str | None = None) -> Histogram:
+        """Some cohorts only; with a label they count as a single cohort."""
+        chosen = self.base.filter(is_one_of("cohort", map(str, cohorts)))
+        if label is not None:
+            # Not a plain literal: constants are dropped from partitioning keys, which costs a shuffle.
+            chosen = chosen.withColumn("cohort", F.when(F.col("cohort").isNotNull(), F.lit(label)))
+        return replace(self, base=chosen)
+
 
-    Whole-number scores shrink to a small base histogram; it is stored, so the rows are scanned once
-    and the bins are measured on what is left of them. Fractional scores hardly shrink: there the
-    bins are measured on the score columns alone, and only the binned histogram is stored.
+def score_histogram(long_rows: DataFrame, config: MonitorConfig, rows_per_bin: int = ROWS_PER_BIN) -> Histogram:
+    """Histogram of score rows, ready for running totals. Runs the jobs that size the bins.
+
+    Whole-number scores shrink to a small base histogram; it is stored, so the rows are scanned once,
+    and the bins are measured on its distinct values. Fractional scores hardly shrink: there the bins
+    are measured on the score columns alone and nothing is stored yet.
     """
     base = base_histogram(long_rows, config)
-    if isinstance(long_rows.schema["value"].dataType, T.IntegralType):
-        base = cut_lineage(base)
-        bins = measure_bins(base, rows_per_bin, ("cohort", "score"))
-    else:
-        bins = measure_bins(long_rows, rows_per_bin)
-    cubed = cubed_histogram(base, config, bins, points)
-    if not bins.single:
-        cubed = cut_lineage(cubed)  # read twice below: for the sums inside bins and over bins
-    return running_totals(cubed, bins).filter(F.col("total_n") > 0)
+    if not isinstance(long_rows.schema["value"].dataType, T.IntegralType):
+        return Histogram(base, measure_bins(long_rows, rows_per_bin))
+    size = Observation()
+    base = cut_lineage(base.observe(size, F.count(F.lit(1)).alias("rows")))
+    if size.get["rows"] <= rows_per_bin:
+        return Histogram(base, ScoreBins())
+    return Histogram(base, measure_bins(base.select("score", "value").distinct(), rows_per_bin))
+
+
+def score_profile(histogram: Histogram, config: MonitorConfig, points: DataFrame | None = None) -> DataFrame:
+    """Histogram at all segment levels with running totals."""
+    cubed = cubed_histogram(histogram.base, config, histogram.bins, points)
+    if not histogram.bins.single:
+        cubed = cut_lineage(cubed)  # read twice: for the sums inside bins and over bins
+    return running_totals(cubed, histogram.bins).filter(F.col("total_n") > 0)

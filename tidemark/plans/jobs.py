@@ -8,29 +8,31 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import is_one_of
 from tidemark.operators.capture import capture, precision
 from tidemark.operators.cohorts import cohort_list, missing_cohorts, pending_cohorts
-from tidemark.operators.histogram import baseline_score_rows, production_score_rows, score_rows
+from tidemark.operators.histogram import score_rows
 from tidemark.operators.ks import ks
 from tidemark.operators.percentiles import (
     baseline_report,
     compared_tails,
     cutoff_points,
+    milestones,
     own_tails,
     production_report,
     tails_of_report,
 )
-from tidemark.operators.profile import score_profile
+from tidemark.operators.profile import Histogram, score_histogram, score_profile
 from tidemark.operators.psi import cumulative_psi
 from tidemark.plans.config import BASELINE_COHORT, MonitorConfig
-from tidemark.sources.cohort_tables import baseline_csv, cohort_csv
+from tidemark.sources.cohort_tables import baseline_csv, cohort_csv, cohort_rows, needed_columns
 from tidemark.sources.results import ResultStore, export_csv, result_schema
 from tidemark.sources.scratch import cut_lineage
 
 
 @dataclass(frozen=True)
 class Reports:
-    """Results of a run. All are small next to the input; they are lazy over one stored profile."""
+    """Results of a run; lazy, over tables the run has already stored."""
 
     percentiles_baseline: DataFrame
     percentiles: DataFrame
@@ -50,24 +52,37 @@ class Reports:
         }
 
 
-def baseline_tails(rows: DataFrame, config: MonitorConfig, baseline_rows: DataFrame | None = None) -> DataFrame:
-    """Baseline cut-offs and tails, computed once and kept: a few rows per segment level and score."""
+def monitored_histogram(
+    rows: DataFrame, config: MonitorConfig, baseline_rows: DataFrame | None = None
+) -> Histogram:
+    """One histogram for all cohorts a run needs, the baseline's included: one scan of the rows."""
+    wanted = cohort_rows(rows, config, {*config.production_cohorts, *config.baseline_cohorts})
     if baseline_rows is not None:
-        labelled = baseline_rows.withColumn(config.cohort_column, F.lit(BASELINE_COHORT))
-        long_rows = score_rows(labelled, config)
-    else:
-        long_rows = baseline_score_rows(rows, config)
-    return cut_lineage(own_tails(score_profile(long_rows, config), config))
+        labelled = baseline_rows.select(*needed_columns(config)).withColumn(
+            config.cohort_column, F.lit(BASELINE_COHORT)
+        )
+        wanted = wanted.withColumn(config.cohort_column, F.col(config.cohort_column).cast("string"))
+        wanted = wanted.unionByName(labelled)
+    return score_histogram(score_rows(wanted, config), config)
 
 
-def production_profile(
-    rows: DataFrame, config: MonitorConfig, base_tails: DataFrame, cohorts: Sequence[int] | None = None
-) -> DataFrame:
+def baseline_tails(histogram: Histogram, config: MonitorConfig) -> DataFrame:
+    """Baseline cut-offs and tails, computed once and kept: a few rows per segment level and score."""
+    cohorts = config.baseline_cohorts or (BASELINE_COHORT,)
+    profile = score_profile(histogram.of(cohorts, BASELINE_COHORT), config)
+    return cut_lineage(own_tails(milestones(profile, config)))
+
+
+def production_profile(histogram: Histogram, config: MonitorConfig, base_tails: DataFrame) -> DataFrame:
     """Profile of the monitored cohorts, with the baseline cut-offs as points in it."""
-    long_rows = production_score_rows(rows, config)
-    value_type = long_rows.schema["value"].dataType
-    points = cutoff_points(base_tails, config.production_cohorts if cohorts is None else cohorts, value_type)
-    return score_profile(long_rows, config, points)
+    months = config.production_cohorts
+    points = cutoff_points(base_tails, months, histogram.base.schema["value"].dataType)
+    return score_profile(histogram.of(months), config, points)
+
+
+def production_tails(profile: DataFrame, base_tails: DataFrame, config: MonitorConfig) -> DataFrame:
+    """Tails of the monitored cohorts under own and baseline cut-offs."""
+    return compared_tails(cut_lineage(milestones(profile, config)), base_tails)
 
 
 def monitor(
@@ -81,21 +96,24 @@ def monitor(
 
     ``rows`` holds all cohorts in one table. The baseline comes from ``stored_baseline`` (a percentile
     table of an earlier run), else from ``baseline_rows``, else from the baseline cohorts in ``rows``.
-    Each cohort's rows are scanned once, whatever the number of scores, segments and reports.
+    The rows are scanned once, whatever the number of cohorts, scores, segments and reports.
     """
     spark, segments = rows.sparkSession, config.segments
     if stored_baseline is not None:
+        config = replace(config, baseline_cohorts=())
+        histogram = monitored_histogram(rows, config)
         base_table, base_tails = stored_baseline, tails_of_report(stored_baseline, config)
     else:
-        base_tails = baseline_tails(rows, config, baseline_rows)
+        histogram = monitored_histogram(rows, config, baseline_rows)
+        base_tails = baseline_tails(histogram, config)
         base_table = baseline_report(base_tails, segments)
 
-    profile = cut_lineage(production_profile(rows, config, base_tails))
-    tails = cut_lineage(compared_tails(profile, base_tails, config))
+    profile = production_profile(histogram, config, base_tails)
+    tails = cut_lineage(production_tails(profile, base_tails, config))
     percentiles = production_report(tails, segments)
     requested = cohort_list(spark, config.production_cohorts)
-    # Months without any valid score have no profile; they are reported like months without input.
-    present = profile.select(F.col("cohort").cast("int").alias("cohort"))
+    # Months without any valid score are reported like months without input.
+    present = tails.select(F.col("cohort").cast("int").alias("cohort"))
     return Reports(
         percentiles_baseline=base_table,
         percentiles=percentiles,
@@ -131,7 +149,7 @@ def run_and_store(
         columns = ["score", *config.segments, "pctl", "cutoff", "tail_n", "tail_pct", "cohort"]
         stored = store.read("percentiles_baseline", result_schema(columns, config.segments))
     reports = monitor(
-        rows.filter(F.col(config.cohort_column).isin(*months, *config.baseline_cohorts)),
+        rows.filter(is_one_of(config.cohort_column, (*months, *config.baseline_cohorts))),
         replace(config, first_cohort=months[0], last_cohort=months[-1]),
         baseline_rows,
         stored,

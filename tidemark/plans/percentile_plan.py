@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import doubles, text
 from tidemark.plans.config import PERCENTILE_SCALE, ScoreSpec
 
+WHOLE = 100 * PERCENTILE_SCALE
+
 
 def percentile_plan(spark: SparkSession, scores: tuple[ScoreSpec, ...]) -> DataFrame:
     """``score, pctl, pctl_milli, is_ppv, high_tail``: at most a few hundred rows, safe to broadcast.
@@ -14,48 +19,54 @@ def percentile_plan(spark: SparkSession, scores: tuple[ScoreSpec, ...]) -> DataF
     PPV percentiles are tail sizes, so with a high tail the top 5% starts at percentile 95. Both
     lists are then merged without duplicates.
     """
-    specs = F.array(
-        *[
-            F.struct(
-                F.lit(s.name).alias("score"),
-                _doubles(s.ppv_percentiles).alias("ppv"),
-                _doubles(s.dist_percentiles).alias("dist"),
-                F.lit(s.high_tail).alias("high_tail"),
-            )
-            for s in scores
-        ]
-    )
-    flipped = F.when(F.col("high_tail"), F.transform("ppv", lambda p: F.lit(100.0) - p)).otherwise(
-        F.col("ppv")
+    specs = ", ".join(
+        f"({text(s.name)}, {doubles(s.ppv_percentiles)}, {doubles(s.dist_percentiles)}, {s.high_tail})"
+        for s in scores
     )
-    return (
-        spark.range(1, numPartitions=1)
-        .select(F.inline(specs))
-        .withColumn("ppv", flipped)
-        .select(
-            "score",
-            "ppv",
-            "high_tail",
-            F.explode(F.array_sort(F.array_distinct(F.array_union("ppv", "dist")))).alias("pctl"),
-        )
-        .select(
-            "score",
-            "pctl",
-            F.round(F.col("pctl") * PERCENTILE_SCALE).cast("bigint").alias("pctl_milli"),
-            F.array_contains("ppv", F.col("pctl")).alias("is_ppv"),
-            "high_tail",
-        )
+    return spark.sql(
+        f"""
+        WITH specs AS (SELECT * FROM VALUES {specs} AS t(score, ppv, dist, high_tail)),
+        flipped AS (SELECT score, dist, high_tail,
+                           IF(high_tail, transform(ppv, p -> 100D - p), ppv) AS ppv FROM specs),
+        merged AS (SELECT score, ppv, high_tail,
+                          explode(array_sort(array_distinct(array_union(ppv, dist)))) AS pctl FROM flipped)
+        SELECT score, pctl, CAST(round(pctl * {PERCENTILE_SCALE}) AS BIGINT) AS pctl_milli,
+               array_contains(ppv, pctl) AS is_ppv, high_tail FROM merged
+        """
     )
 
 
-def target_rank(total: str = "total_n") -> Column:
+def plan_percentiles(scores: Iterable[ScoreSpec]) -> list[float]:
+    """All percentiles any score asks for, ascending."""
+    wanted: set[float] = set()
+    for s in scores:
+        wanted.update(100.0 - p if s.high_tail else float(p) for p in s.ppv_percentiles)
+        wanted.update(map(float, s.dist_percentiles))
+    return sorted(wanted)
+
+
+def target_rank(total: str = "total_n", milli: str = "pctl_milli") -> Column:
     """1-based rank of the percentile among ``total`` rows: ceil(total * p / 100), never below 1.
 
     Whole-number arithmetic; holds for groups of up to 9e13 rows.
     """
-    whole = 100 * PERCENTILE_SCALE
-    return F.expr(f"greatest(({total} * pctl_milli + {whole - 1}) div {whole}, 1)")
+    return F.expr(f"greatest(({total} * {milli} + {WHOLE - 1}) div {WHOLE}, 1)")
+
 
+def reaches(milli: str = "pctl_milli") -> str:
+    """SQL condition: a profile row is the one that reaches the percentile's target rank.
 
-def _doubles(values: tuple[float, ...]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values]).cast("array<double>")
+    Same as ``cum_n - n < target_rank <= cum_n``, without the division.
+    """
+    rank = f"greatest(total_n * {milli}, 1L)"
+    return f"(cum_n - n) * {WHOLE} < {rank} AND {rank} <= cum_n * {WHOLE}"
+
+
+def reaches_any(scores: Iterable[ScoreSpec]) -> Column:
+    """Whether a profile row reaches any percentile of the plan.
+
+    A loop over a constant array keeps the generated code small; the same test spelled out for each
+    percentile outgrows what the JVM compiles and runs several times slower.
+    """
+    listed = ", ".join(str(round(p * PERCENTILE_SCALE)) for p in plan_percentiles(scores))
+    return F.expr(f"exists(CAST(array({listed}) AS ARRAY<BIGINT>), m -> {reaches('m')})")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.literals import is_one_of
 from tidemark.plans.config import BASELINE_COHORT, MonitorConfig
 
 
@@ -31,7 +32,7 @@ def cohort_table(spark: SparkSession, name: str, config: MonitorConfig, cohorts:
 
 
 def cohort_rows(rows: DataFrame, config: MonitorConfig, cohorts: Iterable[int]) -> DataFrame:
-    return rows.filter(F.col(config.cohort_column).isin(*cohorts)).select(*needed_columns(config))
+    return rows.filter(is_one_of(config.cohort_column, cohorts)).select(*needed_columns(config))
 
 
 def baseline_rows(rows: DataFrame, config: MonitorConfig) -> DataFrame:
