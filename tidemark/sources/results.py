@@ -106,13 +106,17 @@ def save_table(table: DataFrame, name: str) -> None:
     """The same contract on a catalog table: create it, or replace only the cohorts at hand."""
     spark = table.sparkSession
     table = table.withColumn("cohort", F.col("cohort").cast("string")).hint("rebalance", "cohort")
-    if spark.catalog.tableExists(name):
-        columns = spark.table(name).columns
-        table.select(*columns).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(name, overwrite=True)
-    else:
+    if not spark.catalog.tableExists(name):
         table.write.partitionBy("cohort").saveAsTable(name)
+        return
+    # Inserting into a table takes the overwrite mode from the session, not from a write option.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        table.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def export_csv(result: str, table: DataFrame, folder: str, cohorts: Iterable[str]) -> list[str]:
