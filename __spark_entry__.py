@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -30,11 +31,14 @@ from tidemark.operators.profile import score_histogram as histogram_of
 from tidemark.operators.profile import score_profile
 from tidemark.operators.psi import cumulative_psi
 from tidemark.operators.segments import level_columns, segment_cube as cube_rows
-from tidemark.plans.config import MonitorConfig, ScoreSpec, SpecialValue, month_list
+from tidemark.plans.config import BASELINE_COHORT, MonitorConfig, ScoreSpec, SpecialValue, month_list
 from tidemark.plans.jobs import (
     baseline_tails,
+    capture_table,
+    ks_table,
     monitor,
     monitored_histogram,
+    percentile_tables,
     production_profile,
     production_tails,
 )
@@ -326,7 +330,8 @@ def ks_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ks_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(ks_ops.ks(_profile(spark, sf_dir), SEGMENTS), ks=9)
+    config = replace(CONFIG, first_cohort=199501, baseline_cohorts=())
+    return _rounded(ks_table(_mon(spark, sf_dir), config), ks=9)
 
 
 def ks_global_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,6 +348,18 @@ def fraud_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(capture_ops.capture(tails, SEGMENTS), base_capture_pct=9, prod_capture_pct=9)
 
 
+def fraud_capture_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capture under percentile tables that were stored by an earlier step."""
+    rows = _mon(spark, sf_dir)
+    store = ResultStore(spark, scratch_path(spark, "percentiles"))
+    for table in percentile_tables(rows, CONFIG):
+        store.write("percentiles", table.select("score", "cohort", *SEGMENTS, "pctl", "cutoff", "tail_n", "tail_pct"))
+    stored = store.read("percentiles")
+    is_base = F.col("cohort") == BASELINE_COHORT
+    capture = capture_table(rows, CONFIG, stored.filter(is_base), stored.filter(~is_base))
+    return _rounded(capture, base_capture_pct=9, prod_capture_pct=9)
+
+
 def fraud_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, tails = _compared(spark, sf_dir)
     return _rounded(capture_ops.precision(tails, SEGMENTS), base_precision_pct=9, prod_precision_pct=9)
@@ -419,6 +436,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ks_continuous": ks_continuous,
         "fraud_totals": fraud_totals,
         "fraud_capture": fraud_capture,
+        "fraud_capture_stored": fraud_capture_stored,
         "fraud_precision": fraud_precision,
         "monitor_run": _monitor,
     }
@@ -535,6 +553,10 @@ def oracle_sql() -> dict[str, str]:
     price_segs = "o_orderstatus, o_orderpriority"
     hits = "CASE WHEN base_tail_n > 0 THEN base_pos END"
     ks_pieces = _curve_sql(_SEGS)
+    capture = f"""{split} SELECT {_SEGS}, CAST(p AS DOUBLE) AS pctl, {hits} AS base_hits,
+  tail_pos AS prod_hits, hits AS total_hits, round({hits} / nullif(hits, 0) * 100, 9) AS base_capture_pct,
+  round(tail_pos / nullif(hits, 0) * 100, 9) AS prod_capture_pct, cohort, score
+FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL"""
     return {
         "cohort_source": f"{mon} SELECT safra, {inputs} FROM mon WHERE safra >= {FIRST}",
         "csv_cohort_source": f"{mon} SELECT CAST(safra // 100 * 100 + 1 AS INT) AS safra, {inputs} FROM mon",
@@ -595,10 +617,8 @@ SELECT cohort, score, {_SEGS}, round(max(abs(cum_pos / nullif(p, 0) - cum_neg /
 FROM curve JOIN whole USING (cohort, score) GROUP BY ALL""",
         "ks_continuous": f"{_price_cte()}, {_curve_sql(price_segs)} {_ks_select(price_segs)}",
         "fraud_totals": f"{monthly} SELECT cohort, score, {_SEGS}, hits AS total_hits FROM totals",
-        "fraud_capture": f"""{split} SELECT {_SEGS}, CAST(p AS DOUBLE) AS pctl, {hits} AS base_hits,
-  tail_pos AS prod_hits, hits AS total_hits, round({hits} / nullif(hits, 0) * 100, 9) AS base_capture_pct,
-  round(tail_pos / nullif(hits, 0) * 100, 9) AS prod_capture_pct, cohort, score
-FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL""",
+        "fraud_capture": capture,
+        "fraud_capture_stored": capture,
         "fraud_precision": f"""{split} SELECT {_SEGS}, CAST(p AS DOUBLE) AS pctl, base_tail_n, tail_n,
   round(base_pos / nullif(base_tail_n, 0) * 100, 9) AS base_precision_pct,
   round(tail_pos / nullif(tail_n, 0) * 100, 9) AS prod_precision_pct, cohort, score

@@ -13,8 +13,8 @@ from tidemark.functions.scores import percent
 from tidemark.operators.histogram import GROUP
 from tidemark.operators.profile import from_value
 from tidemark.operators.segments import expand_levels, level_columns, level_of_labels
-from tidemark.plans.config import BASELINE_COHORT, MonitorConfig
-from tidemark.plans.percentile_plan import percentile_plan, plan_percentiles, reaches, reaches_any
+from tidemark.plans.config import MonitorConfig
+from tidemark.plans.percentile_plan import percentile_plan, may_reach_any, plan_percentiles, reaches
 
 
 def tail_count(count: str) -> Column:
@@ -26,11 +26,12 @@ def milestones(profile: DataFrame, config: MonitorConfig) -> DataFrame:
     """The few profile rows that matter for percentiles: where one is reached, or a point was placed.
 
     The cut-off of a percentile is the smallest value whose cumulative count reaches the target rank.
-    Exactly one histogram row crosses each rank, so this is a filter, without a shuffle.
+    Exactly one histogram row crosses each rank, so this is a filter, without a shuffle; the quick
+    test leaves few rows for the join with the plan.
     """
     plan = percentile_plan(profile.sparkSession, config.scores).withColumnRenamed("score", "plan_score")
     return (
-        profile.where(F.col("is_point") | reaches_any(config.scores))
+        profile.where(F.col("is_point") | may_reach_any(config.scores))
         .join(F.broadcast(plan), F.expr(f"score = plan_score AND {reaches()}"), "left")
         .where(F.col("pctl").isNotNull() | F.col("is_point"))
         .drop("plan_score", "pctl_milli")
@@ -67,24 +68,47 @@ def _point(value_type: T.DataType) -> Column:
     return cutoff.cast(value_type)
 
 
+def own_points(tails: DataFrame, value_type: T.DataType) -> DataFrame:
+    """Each cohort's own cut-offs as points on its score axis."""
+    return tails.select("cohort", "score", "level", _point(value_type).alias("value"))
+
+
 def tails_under_baseline(marks: DataFrame, base_tails: DataFrame) -> DataFrame:
     """Monitored rows beyond the baseline cut-offs, read off the points placed in the profile."""
-    at = base_tails.select(
-        "score",
-        "level",
+    tails = tails_at_points(marks, base_tails.drop("cohort"))
+    return tails.select(
+        *GROUP,
         "pctl",
-        "high_tail",
         F.col("cutoff").alias("base_cutoff"),
+        F.col("tail_n").alias("base_tail_n"),
+        F.col("tail_pos").alias("base_tail_pos"),
+    )
+
+
+def tails_at_points(marks: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """Tails beyond given cut-offs that were placed in the profile as points.
+
+    Cut-offs with a cohort apply to that cohort, others to every cohort.
+    """
+    at = cutoffs.select(
+        *[c for c in GROUP if c in cutoffs.columns],
+        "pctl",
+        "is_ppv",
+        "high_tail",
+        "cutoff",
         _point(marks.schema["value"].dataType).alias("value"),
     )
     # A point on which several of the cohort's own percentiles fall is in the marks once for each.
     points = marks.filter("is_point").drop("pctl", "is_ppv", "high_tail").distinct()
-    return points.join(at, ["score", "level", "value"]).select(
+    return points.join(at, [*[c for c in GROUP if c in cutoffs.columns], "value"]).select(
         *GROUP,
         "pctl",
-        "base_cutoff",
-        tail_count("n").alias("base_tail_n"),
-        tail_count("pos").alias("base_tail_pos"),
+        "is_ppv",
+        "cutoff",
+        tail_count("n").alias("tail_n"),
+        tail_count("pos").alias("tail_pos"),
+        "total_n",
+        "total_pos",
     )
 
 
@@ -126,11 +150,10 @@ def production_report(tails: DataFrame, segments: Sequence[str]) -> DataFrame:
 
 
 def tails_of_report(report: DataFrame, config: MonitorConfig) -> DataFrame:
-    """Turn a stored baseline percentile table back into tails that new cohorts can be compared with."""
+    """Turn a stored percentile table back into tails that cohorts can be measured against."""
     plan = percentile_plan(report.sparkSession, config.scores)
     return (
-        report.filter(F.col("cohort") == BASELINE_COHORT)
-        .join(F.broadcast(plan), ["score", "pctl"])
+        report.join(F.broadcast(plan), ["score", "pctl"])
         .select(
             "score",
             "cohort",

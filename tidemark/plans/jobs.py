@@ -11,16 +11,19 @@ from pyspark.sql import functions as F
 from tidemark.functions.literals import is_one_of
 from tidemark.operators.capture import capture, precision
 from tidemark.operators.cohorts import cohort_list, missing_cohorts, pending_cohorts
-from tidemark.operators.histogram import score_rows
+from tidemark.operators.histogram import GROUP, score_rows
 from tidemark.operators.ks import ks
 from tidemark.operators.percentiles import (
     baseline_report,
     compared_tails,
     cutoff_points,
     milestones,
+    own_points,
     own_tails,
     production_report,
+    tails_at_points,
     tails_of_report,
+    tails_under_baseline,
 )
 from tidemark.operators.profile import Histogram, score_histogram, score_profile
 from tidemark.operators.psi import cumulative_psi
@@ -85,6 +88,39 @@ def production_tails(profile: DataFrame, base_tails: DataFrame, config: MonitorC
     return compared_tails(cut_lineage(milestones(profile, config)), base_tails)
 
 
+def percentile_tables(
+    rows: DataFrame, config: MonitorConfig, baseline_rows: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Percentile tables of the baseline and of the monitored cohorts."""
+    histogram = monitored_histogram(rows, config, baseline_rows)
+    base_tails = baseline_tails(histogram, config)
+    tails = production_tails(production_profile(histogram, config, base_tails), base_tails, config)
+    return baseline_report(base_tails, config.segments), production_report(tails, config.segments)
+
+
+def ks_table(rows: DataFrame, config: MonitorConfig, totals: str = "segment") -> DataFrame:
+    """KS of the monitored cohorts; needs no baseline."""
+    histogram = monitored_histogram(rows, replace(config, baseline_cohorts=()))
+    return ks(score_profile(histogram, config), config.segments, totals)
+
+
+def capture_table(
+    rows: DataFrame, config: MonitorConfig, baseline_table: DataFrame, production_table: DataFrame
+) -> DataFrame:
+    """Capture of the monitored cohorts under cut-offs stored in percentile tables."""
+    histogram = monitored_histogram(rows, replace(config, baseline_cohorts=()))
+    value_type = histogram.base.schema["value"].dataType
+    base = tails_of_report(baseline_table, config)
+    own = tails_of_report(production_table, config)
+    months = config.production_cohorts
+    points = cutoff_points(base, months, value_type).unionByName(
+        own_points(own.filter(is_one_of("cohort", map(str, months))), value_type)
+    )
+    marks = cut_lineage(milestones(score_profile(histogram, config, points), config))
+    tails = tails_at_points(marks, own).join(tails_under_baseline(marks, base), [*GROUP, "pctl"], "left")
+    return capture(tails, config.segments)
+
+
 def monitor(
     rows: DataFrame,
     config: MonitorConfig,
@@ -96,13 +132,15 @@ def monitor(
 
     ``rows`` holds all cohorts in one table. The baseline comes from ``stored_baseline`` (a percentile
     table of an earlier run), else from ``baseline_rows``, else from the baseline cohorts in ``rows``.
-    The rows are scanned once, whatever the number of cohorts, scores, segments and reports.
+    Whole-number scores are scanned once, whatever the number of cohorts, scores, segments and
+    reports. Fractional scores are scanned once for the reports, after a look at the score columns.
     """
     spark, segments = rows.sparkSession, config.segments
     if stored_baseline is not None:
         config = replace(config, baseline_cohorts=())
         histogram = monitored_histogram(rows, config)
-        base_table, base_tails = stored_baseline, tails_of_report(stored_baseline, config)
+        base_table = stored_baseline.filter(F.col("cohort") == BASELINE_COHORT)
+        base_tails = tails_of_report(base_table, config)
     else:
         histogram = monitored_histogram(rows, config, baseline_rows)
         base_tails = baseline_tails(histogram, config)
@@ -174,6 +212,8 @@ def monitor_files(spark: SparkSession, execution_path: str, monitoring_path: str
     reports = monitor(rows, config, baseline, stored, ks_totals="cohort")
     if config.include_baseline:
         export_csv("percentiles", reports.percentiles_baseline, config.result_folder, [BASELINE_COHORT])
+    # The loop below writes month by month; without this each month would compute KS anew.
+    reports = replace(reports, ks=cut_lineage(reports.ks))
     missing = {r["cohort"] for r in reports.missing.collect()}
     months = [str(c) for c in config.production_cohorts if c not in missing]
     for name in ("percentiles", "psi", "ks", "capture"):

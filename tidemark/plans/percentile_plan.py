@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,11 +63,12 @@ def reaches(milli: str = "pctl_milli") -> str:
     return f"(cum_n - n) * {WHOLE} < {rank} AND {rank} <= cum_n * {WHOLE}"
 
 
-def reaches_any(scores: Iterable[ScoreSpec]) -> Column:
-    """Whether a profile row reaches any percentile of the plan.
+def may_reach_any(scores: Iterable[ScoreSpec]) -> Column:
+    """Quick test on every profile row, true at least where some percentile of the plan is reached.
 
-    A loop over a constant array keeps the generated code small; the same test spelled out for each
-    percentile outgrows what the JVM compiles and runs several times slower.
+    All percentiles are multiples of their greatest common divisor. A row that reaches one also moves
+    on to a later cell of that grid; p = 0 is reached by the first row.
     """
-    listed = ", ".join(str(round(p * PERCENTILE_SCALE)) for p in plan_percentiles(scores))
-    return F.expr(f"exists(CAST(array({listed}) AS ARRAY<BIGINT>), m -> {reaches('m')})")
+    grid = math.gcd(*(round(p * PERCENTILE_SCALE) for p in plan_percentiles(scores))) or WHOLE
+    before, upto = (f"({n}) * {WHOLE} div (total_n * {grid}L)" for n in ("cum_n - n", "cum_n"))
+    return F.expr(f"n > 0 AND (cum_n = n OR {before} < {upto})")
