@@ -26,7 +26,7 @@ from tidemark.operators import cohorts as cohort_ops
 from tidemark.operators import ks as ks_ops
 from tidemark.operators import percentiles as pctl_ops
 from tidemark.operators.bins import ScoreBins
-from tidemark.operators.histogram import base_histogram, cubed_histogram, score_rows
+from tidemark.operators.histogram import base_histogram, cubed_histogram, leveled_histogram, score_rows
 from tidemark.operators.profile import score_histogram as histogram_of
 from tidemark.operators.profile import score_profile
 from tidemark.operators.psi import cumulative_psi
@@ -267,7 +267,8 @@ def segment_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cubed = cubed_histogram(base_histogram(_long(spark, sf_dir), CONFIG), CONFIG, ScoreBins())
+    base = base_histogram(_long(spark, sf_dir), CONFIG)
+    cubed = cubed_histogram(leveled_histogram(base, CONFIG, ScoreBins()))
     return cubed.select(
         "cohort", "score", F.col("level.gid").alias("gid"), *level_columns(SEGMENTS), "value", "n", "pos", "neg"
     )

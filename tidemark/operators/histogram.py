@@ -54,25 +54,31 @@ def base_histogram(long_rows: DataFrame, config: MonitorConfig) -> DataFrame:
     )
 
 
-def cubed_histogram(
+def leveled_histogram(
     base: DataFrame, config: MonitorConfig, bins: ScoreBins, points: DataFrame | None = None
 ) -> DataFrame:
-    """Histogram at every segment level, partitioned by (group, bin).
+    """The base histogram once per segment combination, with the bin of each value.
 
     ``points`` are extra empty entries (``cohort, score, level, value``) at which running totals will
-    be read; they add no rows to any count. One shuffle serves the aggregate here and the windows
-    that follow, because it is made on (group, bin) only.
+    be read; they add no rows to any count.
     """
     levels = expand_levels(base, config.segments, config.total_label).withColumn("is_point", F.lit(False))
     if points is not None:
         zero = F.lit(0).cast("bigint")
-        levels = levels.unionByName(points.withColumns({"n": zero, "pos": zero, "neg": zero, "is_point": F.lit(True)}))
-    keys = [*GROUP]
-    if not bins.single:
-        levels = levels.withColumn("bin", bins.column())
-        keys.append("bin")
+        empty = {"n": zero, "pos": zero, "neg": zero, "is_point": F.lit(True)}
+        levels = levels.unionByName(points.withColumns(empty))
+    return levels if bins.single else levels.withColumn("bin", bins.column())
+
+
+def cubed_histogram(leveled: DataFrame) -> DataFrame:
+    """One entry per (group, value), partitioned by group, or by (group, bin) where there are bins.
+
+    One shuffle serves the aggregate here and the windows that follow, because it is made on their
+    keys and not on those of the aggregate.
+    """
+    keys = [*GROUP, "bin"] if "bin" in leveled.columns else [*GROUP]
     return (
-        levels.repartition(*keys)
+        leveled.repartition(*keys)
         .groupBy(*keys, "value")
         .agg(
             F.sum("n").alias("n"),

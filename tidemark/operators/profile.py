@@ -11,42 +11,47 @@ from pyspark.sql import types as T
 
 from tidemark.functions.literals import is_one_of
 from tidemark.operators.bins import ROWS_PER_BIN, ScoreBins, measure_bins
-from tidemark.operators.histogram import GROUP, base_histogram, cubed_histogram
+from tidemark.operators.histogram import GROUP, base_histogram, cubed_histogram, leveled_histogram
 from tidemark.plans.config import MonitorConfig
-from tidemark.sources.scratch import cut_lineage
+from tidemark.sources.scratch import cut_lineage, stored
 
 COUNTS = ("n", "pos", "neg")
 
 
-def running_totals(histogram: DataFrame, bins: ScoreBins) -> DataFrame:
-    """Add ``cum_*`` (up to and including the value, ascending) and ``total_*`` (whole group).
+def bin_offsets(leveled: DataFrame) -> DataFrame:
+    """Per bin, the totals of the group's earlier bins and of the whole group.
 
-    With several bins, each bin is summed on its own and the totals of the bins before it are added;
-    no task ever holds a whole group.
+    Sums are combined map-side, so the shuffle carries (group, bin) entries only, and each window
+    holds the bins of one group.
     """
     group = Window.partitionBy(*GROUP)
-    if bins.single:
-        upto = group.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return histogram.withColumns(
-            {f"cum_{c}": F.sum(c).over(upto) for c in COUNTS}
-            | {f"total_{c}": F.sum(c).over(group) for c in COUNTS}
-        )
-
-    keys = [*GROUP, "bin"]
-    inside = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        histogram.groupBy(*keys)
+    return (
+        leveled.groupBy(*GROUP, "bin")
         .agg(*[F.sum(c).alias(c) for c in COUNTS])
         .select(
-            *keys,
+            *GROUP,
+            "bin",
             *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"before_{c}") for c in COUNTS],
             *[F.sum(c).over(group).alias(f"total_{c}") for c in COUNTS],
         )
     )
+
+
+def running_totals(cubed: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
+    """Add ``cum_*`` (up to and including the value, ascending) and ``total_*`` (whole group).
+
+    With bins, each bin is summed on its own and the offsets of the bins before it are added, so no
+    task ever holds a whole group.
+    """
+    keys = [*GROUP] if offsets is None else [*GROUP, "bin"]
+    inside = Window.partitionBy(*keys)
+    upto = inside.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = cubed.withColumns({f"cum_{c}": F.sum(c).over(upto) for c in COUNTS})
+    if offsets is None:
+        return summed.withColumns({f"total_{c}": F.sum(c).over(inside) for c in COUNTS})
     return (
-        histogram.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in COUNTS})
-        .join(offsets, keys)
+        summed.join(offsets, keys)
         .withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"before_{c}") for c in COUNTS})
         .drop("bin", *[f"before_{c}" for c in COUNTS])
     )
@@ -74,25 +79,25 @@ class Histogram:
 
 
 def score_histogram(long_rows: DataFrame, config: MonitorConfig, rows_per_bin: int = ROWS_PER_BIN) -> Histogram:
-    """Histogram of score rows, ready for running totals. Runs the jobs that size the bins.
+    """Histogram of score rows, stored and ready for running totals.
 
-    Whole-number scores shrink to a small base histogram; it is stored, so the rows are scanned once,
-    and the bins are measured on its distinct values. Fractional scores hardly shrink: there the bins
-    are measured on the score columns alone and nothing is stored yet.
+    This is the only scan of the rows. The job that stores the base histogram also counts it; only
+    where that count could make a group too large for one task are bins measured, on the stored
+    table.
     """
-    base = base_histogram(long_rows, config)
-    if not isinstance(long_rows.schema["value"].dataType, T.IntegralType):
-        return Histogram(base, measure_bins(long_rows, rows_per_bin))
     size = Observation()
-    base = cut_lineage(base.observe(size, F.count(F.lit(1)).alias("rows")))
+    base = base_histogram(long_rows, config).observe(size, F.count(F.lit(1)).alias("rows"))
+    base = stored(base, "histogram")
     if size.get["rows"] <= rows_per_bin:
         return Histogram(base, ScoreBins())
-    return Histogram(base, measure_bins(base.select("score", "value").distinct(), rows_per_bin))
+    values = base.select("score", "value")
+    if isinstance(base.schema["value"].dataType, T.IntegralType):
+        values = values.distinct()  # a group has one entry per value; whole scores repeat across groups
+    return Histogram(base, measure_bins(values, rows_per_bin))
 
 
 def score_profile(histogram: Histogram, config: MonitorConfig, points: DataFrame | None = None) -> DataFrame:
     """Histogram at all segment levels with running totals."""
-    cubed = cubed_histogram(histogram.base, config, histogram.bins, points)
-    if not histogram.bins.single:
-        cubed = cut_lineage(cubed)  # read twice: for the sums inside bins and over bins
-    return running_totals(cubed, histogram.bins).filter(F.col("total_n") > 0)
+    leveled = leveled_histogram(histogram.base, config, histogram.bins, points)
+    offsets = None if histogram.bins.single else cut_lineage(bin_offsets(leveled))
+    return running_totals(cubed_histogram(leveled), offsets).filter(F.col("total_n") > 0)

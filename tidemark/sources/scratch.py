@@ -28,7 +28,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Compute once into a Parquet table: for large results, which later steps read by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute once, reliably: later steps neither repeat the work nor depend on living executors."""
+    """Compute a small result once: later steps neither repeat the work nor depend on living executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
