@@ -110,6 +110,11 @@ def _price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PRICE_SQL.replace("FROM orders", "FROM {orders}"), orders=orders)
 
 
+def _as_double(df: DataFrame, *names: str) -> DataFrame:
+    """Nullable counts as doubles, the one numeric type that clients represent alike when it has nulls."""
+    return df.withColumns({c: F.col(c).cast("double") for c in names})
+
+
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
@@ -199,7 +204,7 @@ def union_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = cohort_ops.union_results(
         pctl_ops.baseline_report(base, SEGMENTS), pctl_ops.production_report(tails, SEGMENTS)
     )
-    return _rounded(both, tail_pct=9, base_tail_pct=9)
+    return _as_double(_rounded(both, tail_pct=9, base_tail_pct=9), "base_cutoff", "base_tail_n")
 
 
 # --- scalar functions and the plan ------------------------------------------------------------
@@ -346,7 +351,8 @@ def fraud_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fraud_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, tails = _compared(spark, sf_dir)
-    return _rounded(capture_ops.capture(tails, SEGMENTS), base_capture_pct=9, prod_capture_pct=9)
+    capture = capture_ops.capture(tails, SEGMENTS)
+    return _as_double(_rounded(capture, base_capture_pct=9, prod_capture_pct=9), "base_hits")
 
 
 def fraud_capture_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,7 +364,7 @@ def fraud_capture_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = store.read("percentiles")
     is_base = F.col("cohort") == BASELINE_COHORT
     capture = capture_table(rows, CONFIG, stored.filter(is_base), stored.filter(~is_base))
-    return _rounded(capture, base_capture_pct=9, prod_capture_pct=9)
+    return _as_double(_rounded(capture, base_capture_pct=9, prod_capture_pct=9), "base_hits")
 
 
 def fraud_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -554,7 +560,7 @@ def oracle_sql() -> dict[str, str]:
     price_segs = "o_orderstatus, o_orderpriority"
     hits = "CASE WHEN base_tail_n > 0 THEN base_pos END"
     ks_pieces = _curve_sql(_SEGS)
-    capture = f"""{split} SELECT {_SEGS}, CAST(p AS DOUBLE) AS pctl, {hits} AS base_hits,
+    capture = f"""{split} SELECT {_SEGS}, CAST(p AS DOUBLE) AS pctl, CAST({hits} AS DOUBLE) AS base_hits,
   tail_pos AS prod_hits, hits AS total_hits, round({hits} / nullif(hits, 0) * 100, 9) AS base_capture_pct,
   round(tail_pos / nullif(hits, 0) * 100, 9) AS prod_capture_pct, cohort, score
 FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL"""
@@ -568,9 +574,10 @@ WHERE year(m) * 100 + month(m) NOT IN (SELECT safra FROM mon)""",
         "incremental_cohorts": f"""{ends} SELECT {as_cohort} FROM (SELECT {spine.format(pad=0)} FROM ends)
 WHERE year(m) * 100 + month(m) > 199812""",
         "results_roundtrip": f"{monthly}, {ks_pieces} {_ks_select(_SEGS)}",
-        "union_results": f"""{split} SELECT {_PROD_COLUMNS}, NULL::INT AS base_cutoff, NULL::BIGINT AS base_tail_n,
+        "union_results": f"""{split} SELECT {_PROD_COLUMNS}, NULL::DOUBLE AS base_cutoff, NULL::DOUBLE AS base_tail_n,
   NULL::DOUBLE AS base_tail_pct FROM own WHERE cohort = 'baseline' UNION ALL
-SELECT {_PROD_COLUMNS}, base_cutoff, base_tail_n, round(base_tail_n / total * 100, 9) FROM prod""",
+SELECT {_PROD_COLUMNS}, CAST(base_cutoff AS DOUBLE), CAST(base_tail_n AS DOUBLE),
+  round(base_tail_n / total * 100, 9) FROM prod""",
         "score_status": f"""{mon} SELECT safra, score_1,
   CASE WHEN score_1 = -1 THEN 'score especial' ELSE 'score válido' END AS status_1, score_2,
   CASE WHEN score_2 < 0 OR score_2 > 1000 THEN 'score inválido' ELSE 'score válido' END AS status_2 FROM mon""",

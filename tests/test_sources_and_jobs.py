@@ -102,7 +102,7 @@ def test_rerun_keeps_or_replaces(spark, rows, tmp_path):
 
 def test_stored_baseline_serves_later_cohorts(spark, rows):
     whole = monitor(rows, config())
-    later = monitor(rows.filter("safra >= 202304"), config(baseline_cohorts=()), stored_baseline=whole.percentiles_baseline)
+    later = monitor(rows.filter("safra >= 202304"), config(baseline_cohorts=()), baseline_table=whole.percentiles_baseline)
     assert same(whole.percentiles, later.percentiles)
     assert same(whole.psi, later.psi)
     assert same(whole.capture, later.capture)

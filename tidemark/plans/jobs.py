@@ -30,7 +30,7 @@ from tidemark.operators.psi import cumulative_psi
 from tidemark.plans.config import BASELINE_COHORT, MonitorConfig
 from tidemark.sources.cohort_tables import baseline_csv, cohort_csv, cohort_rows, needed_columns
 from tidemark.sources.results import ResultStore, export_csv, result_schema
-from tidemark.sources.scratch import cut_lineage
+from tidemark.sources.scratch import cut_lineage, stored
 
 
 @dataclass(frozen=True)
@@ -125,32 +125,33 @@ def monitor(
     rows: DataFrame,
     config: MonitorConfig,
     baseline_rows: DataFrame | None = None,
-    stored_baseline: DataFrame | None = None,
+    baseline_table: DataFrame | None = None,
     ks_totals: str = "segment",
 ) -> Reports:
     """Compute every report for the configured cohorts.
 
-    ``rows`` holds all cohorts in one table. The baseline comes from ``stored_baseline`` (a percentile
+    ``rows`` holds all cohorts in one table. The baseline comes from ``baseline_table`` (a percentile
     table of an earlier run), else from ``baseline_rows``, else from the baseline cohorts in ``rows``.
     The rows are scanned once, whatever the number of cohorts, scores, segments and reports.
     """
     spark, segments = rows.sparkSession, config.segments
-    if stored_baseline is not None:
+    if baseline_table is not None:
         config = replace(config, baseline_cohorts=())
         histogram = monitored_histogram(rows, config)
-        base_table = stored_baseline.filter(F.col("cohort") == BASELINE_COHORT)
+        base_table = baseline_table.filter(F.col("cohort") == BASELINE_COHORT)
         base_tails = tails_of_report(base_table, config)
     else:
         histogram = monitored_histogram(rows, config, baseline_rows)
         base_tails = baseline_tails(histogram, config)
         base_table = baseline_report(base_tails, segments)
 
-    profile = production_profile(histogram, config, base_tails)
+    # Tails and KS both read the profile; storing it saves the second shuffle and sort.
+    profile = stored(production_profile(histogram, config, base_tails), "profile")
     tails = cut_lineage(production_tails(profile, base_tails, config))
     percentiles = production_report(tails, segments)
     requested = cohort_list(spark, config.production_cohorts)
     # Months without any valid score are reported like months without input.
-    present = tails.select(F.col("cohort").cast("int").alias("cohort"))
+    present = profile.select(F.col("cohort").cast("int").alias("cohort"))
     return Reports(
         percentiles_baseline=base_table,
         percentiles=percentiles,
@@ -181,18 +182,18 @@ def run_and_store(
     if not months:
         return []
 
-    stored = None
+    known = None
     if store.exists("percentiles_baseline") and not (config.include_baseline and config.overwrite):
         columns = ["score", *config.segments, "pctl", "cutoff", "tail_n", "tail_pct", "cohort"]
-        stored = store.read("percentiles_baseline", result_schema(columns, config.segments))
+        known = store.read("percentiles_baseline", result_schema(columns, config.segments))
     reports = monitor(
         rows.filter(is_one_of(config.cohort_column, (*months, *config.baseline_cohorts))),
         replace(config, first_cohort=months[0], last_cohort=months[-1]),
         baseline_rows,
-        stored,
+        known,
         ks_totals,
     )
-    if stored is None:
+    if known is None:
         store.write("percentiles_baseline", reports.percentiles_baseline)
     for name, table in reports.tables().items():
         store.write(name, table)
@@ -203,12 +204,12 @@ def monitor_files(spark: SparkSession, execution_path: str, monitoring_path: str
     """The file-based run: two JSON parameter documents in, one CSV directory per result and cohort out."""
     config = MonitorConfig.from_files(execution_path, monitoring_path, cohort_column="safra")
     rows = cohort_csv(spark, config, config.production_cohorts)
-    baseline = stored = None
+    baseline = known = None
     if config.include_baseline:
         baseline = baseline_csv(spark, config)
     else:
-        stored = stored_baseline_csv(spark, config)
-    reports = monitor(rows, config, baseline, stored, ks_totals="cohort")
+        known = stored_baseline_csv(spark, config)
+    reports = monitor(rows, config, baseline, known, ks_totals="cohort")
     if config.include_baseline:
         export_csv("percentiles", reports.percentiles_baseline, config.result_folder, [BASELINE_COHORT])
     # The loop below writes month by month; without this each month would compute KS anew.
