@@ -341,8 +341,8 @@ def ks_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ks_global_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = cut_lineage(_profile(spark, sf_dir))
-    return _rounded(ks_ops.ks(profile, SEGMENTS, totals="cohort"), ks=9)
+    config = replace(CONFIG, first_cohort=199501, baseline_cohorts=())
+    return _rounded(ks_table(_mon(spark, sf_dir), config, totals="cohort"), ks=9)
 
 
 def fraud_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,11 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.histogram import base_histogram, score_rows
-from tidemark.operators.ks import ks
 from tidemark.operators.percentiles import milestones
 from tidemark.operators.profile import score_histogram, score_profile
 from tidemark.plans.config import MonitorConfig, ScoreSpec
-from tidemark.plans.jobs import monitor
+from tidemark.plans.jobs import ks_table, monitor
 from tidemark.sources.cohort_tables import cohort_rows
 
 CONFIG = MonitorConfig(
@@ -67,6 +66,6 @@ def test_large_side_is_not_shuffled_again_for_bin_offsets(rows):
 def test_no_python_and_no_cross_join(rows):
     reports = monitor(rows, CONFIG)
     everything = "".join(plan(t) for t in reports.tables().values())
-    everything += plan(ks(score_profile(score_histogram(score_rows(rows, CONFIG), CONFIG), CONFIG), ("group_ab",), "cohort"))
+    everything += plan(ks_table(rows, CONFIG, totals="cohort"))
     for forbidden in ("Python", "Cartesian", "NestedLoop", "Pandas"):
         assert forbidden not in everything

@@ -7,6 +7,7 @@ is cut into ordered bins and the running total has two levels: inside each bin,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -54,7 +55,8 @@ def measure_bins(scores: DataFrame, rows_per_bin: int = ROWS_PER_BIN) -> ScoreBi
         .agg(F.percentile_approx("value", shares, accuracy).cast("array<double>").alias("bounds"))
         .collect()  # one array of fewer than MAX_BINS numbers per score
     )
-    return ScoreBins({r["score"]: tuple(sorted(set(r["bounds"]))) for r in measured})
+    # Infinities and NaN order like any other value, so they need no bound of their own.
+    return ScoreBins({r["score"]: tuple(sorted({b for b in r["bounds"] if math.isfinite(b)})) for r in measured})
 
 
 def _bounds_passed(value: Column, bounds: tuple[float, ...]) -> Column:

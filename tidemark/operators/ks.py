@@ -26,31 +26,26 @@ def ks_curve(profile: DataFrame, segments: Sequence[str]) -> DataFrame:
     )
 
 
-def ks(profile: DataFrame, segments: Sequence[str], totals: str = "segment") -> DataFrame:
+def cohort_totals(base: DataFrame) -> DataFrame:
+    """Positives and negatives of whole cohorts, from the base histogram: one row per cohort and score."""
+    return base.groupBy("cohort", "score").agg(F.sum("pos").alias("cohort_pos"), F.sum("neg").alias("cohort_neg"))
+
+
+def ks(profile: DataFrame, segments: Sequence[str], whole: DataFrame | None = None) -> DataFrame:
     """Largest gap between the two rates; null when a class is empty.
 
-    ``totals="segment"`` divides by the positives and negatives of the segment itself.
-    ``totals="cohort"`` divides by those of the whole cohort, which scales a segment's value by its
+    Rates are taken of the positives and negatives of the segment itself. With ``whole`` (see
+    ``cohort_totals``) they are taken of the whole cohort's, which scales a segment's value by its
     share of either class.
     """
-    if totals == "segment":
-        measured, pos, neg = profile, F.col("total_pos"), F.col("total_neg")
-    elif totals == "cohort":
-        everyone = (1 << len(segments)) - 1
-        whole = (
-            profile.filter(F.col("level.gid") == everyone)
-            .groupBy("cohort", "score")
-            .agg(F.max("total_pos").alias("cohort_pos"), F.max("total_neg").alias("cohort_neg"))
-        )
-        measured = profile.join(whole, ["cohort", "score"])
+    pos, neg = F.col("total_pos"), F.col("total_neg")
+    if whole is not None:
+        # At most one row per configured month and score.
+        profile = profile.join(F.broadcast(whole), ["cohort", "score"])
         pos, neg = F.col("cohort_pos"), F.col("cohort_neg")
-    else:
-        raise ValueError(f"totals must be 'segment' or 'cohort', not {totals!r}")
     gap = F.abs(_rate("pos", pos) - _rate("neg", neg))
     return (
-        measured.groupBy(*GROUP)
-        .agg(F.max(gap).alias("ks"))
-        .select("cohort", "score", *level_columns(segments), "ks")
+        profile.groupBy(*GROUP).agg(F.max(gap).alias("ks")).select("cohort", "score", *level_columns(segments), "ks")
     )
 
 

@@ -12,7 +12,7 @@ from tidemark.functions.literals import is_one_of
 from tidemark.operators.capture import capture, precision
 from tidemark.operators.cohorts import cohort_list, missing_cohorts, pending_cohorts
 from tidemark.operators.histogram import GROUP, score_rows
-from tidemark.operators.ks import ks
+from tidemark.operators.ks import cohort_totals, ks
 from tidemark.operators.percentiles import (
     baseline_report,
     compared_tails,
@@ -99,9 +99,15 @@ def percentile_tables(
 
 
 def ks_table(rows: DataFrame, config: MonitorConfig, totals: str = "segment") -> DataFrame:
-    """KS of the monitored cohorts; needs no baseline."""
+    """KS of the monitored cohorts; needs no baseline. ``totals`` is ``segment`` or ``cohort``."""
     histogram = monitored_histogram(rows, replace(config, baseline_cohorts=()))
-    return ks(score_profile(histogram, config), config.segments, totals)
+    return ks(score_profile(histogram, config), config.segments, _whole(histogram, totals))
+
+
+def _whole(histogram: Histogram, totals: str) -> DataFrame | None:
+    if totals not in ("segment", "cohort"):
+        raise ValueError(f"totals must be 'segment' or 'cohort', not {totals!r}")
+    return cohort_totals(histogram.base) if totals == "cohort" else None
 
 
 def capture_table(
@@ -156,7 +162,7 @@ def monitor(
         percentiles_baseline=base_table,
         percentiles=percentiles,
         psi=cumulative_psi(percentiles, base_table, segments, config.total_label),
-        ks=ks(profile, segments, ks_totals),
+        ks=ks(profile, segments, _whole(histogram.of(config.production_cohorts), ks_totals)),
         capture=capture(tails, segments),
         precision=precision(tails, segments),
         missing=missing_cohorts(requested, present),
