@@ -531,9 +531,9 @@ def _curve_sql(segs: str) -> str:
   FROM cubed)"""
 
 
-def _ks_select(segs: str) -> str:
+def _ks_select(segs: str, digits: int = 9) -> str:
     gap = "abs(cum_pos / nullif(tot_pos, 0) - cum_neg / nullif(tot_neg, 0))"
-    return f"SELECT cohort, score, {segs}, round(max({gap}), 9) AS ks FROM curve GROUP BY ALL"
+    return f"SELECT cohort, score, {segs}, round(max({gap}), {digits}) AS ks FROM curve GROUP BY ALL"
 
 
 def _price_cte() -> str:
@@ -637,7 +637,7 @@ SELECT 'percentiles' AS report, cohort, score, {_SEGS}, CAST(p AS DOUBLE) AS pct
 UNION ALL SELECT 'percentiles_baseline', cohort, score, {_SEGS}, CAST(p AS DOUBLE), round(tail_n / total * 100, 6)
   FROM own WHERE cohort = 'baseline'
 UNION ALL SELECT 'psi', cohort, score, {_SEGS}, NULL, psi FROM ({_PSI_SELECT})
-UNION ALL SELECT 'ks', cohort, score, {_SEGS}, NULL, round(ks, 6) FROM ({_ks_select(_SEGS)}) WHERE cohort <> 'baseline'
+UNION ALL SELECT 'ks', cohort, score, {_SEGS}, NULL, ks FROM ({_ks_select(_SEGS, 6)}) WHERE cohort <> 'baseline'
 UNION ALL SELECT 'capture', cohort, score, {_SEGS}, CAST(p AS DOUBLE), round({hits} / nullif(hits, 0) * 100, 6)
   FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL""",
     }
