@@ -53,6 +53,11 @@ from tidemark.sources.cohort_tables import (
 from tidemark.sources.results import ResultStore, result_schema
 from tidemark.sources.scratch import cut_lineage, scratch_path
 
+try:
+    from tidemark.llm import queries as llm_queries
+except ImportError:  # the package works without its training-data operators
+    llm_queries = None
+
 FIRST, LAST = 199601, 200111
 PPV, DIST = (5, 15, 25), tuple(range(10, 101, 10))
 CONFIG = MonitorConfig(
@@ -446,7 +451,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fraud_capture_stored": fraud_capture_stored,
         "fraud_precision": fraud_precision,
         "monitor_run": _monitor,
-    }
+    } | (llm_queries.queries() if llm_queries else {})
 
 
 # --- the same results in plain SQL over the raw rows ------------------------------------------
@@ -640,4 +645,4 @@ UNION ALL SELECT 'psi', cohort, score, {_SEGS}, NULL, psi FROM ({_PSI_SELECT})
 UNION ALL SELECT 'ks', cohort, score, {_SEGS}, NULL, ks FROM ({_ks_select(_SEGS, 6)}) WHERE cohort <> 'baseline'
 UNION ALL SELECT 'capture', cohort, score, {_SEGS}, CAST(p AS DOUBLE), round({hits} / nullif(hits, 0) * 100, 6)
   FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL""",
-    }
+    } | (llm_queries.oracle_sql() if llm_queries else {})
