@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, url_templates, warc_revisits
+from tidemark.llm import line_dedup, packing, url_templates, warc_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,11 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
+
+
 def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     judged = url_templates.judge_urls(url_templates.labelled_pages(pages, labels), url_templates.RULES)
@@ -47,6 +53,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_warc_revisits": op2_warc_revisits,
+        "op6_packing": op6_packing,
         "op8_url_templates": op8_url_templates,
     }
 
