@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, packing, url_templates, warc_revisits
+from tidemark.llm import line_dedup, packing, url_templates, warc_revisits, word_automaton
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,12 +49,18 @@ def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 9).alias("purity"))
 
 
+def op9_word_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return word_automaton.encode_decode(table(spark, sf_dir, "documents"), tokenizer)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_warc_revisits": op2_warc_revisits,
         "op6_packing": op6_packing,
         "op8_url_templates": op8_url_templates,
+        "op9_word_automaton": op9_word_automaton,
     }
 
 
