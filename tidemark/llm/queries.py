@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, packing, url_templates, warc_revisits, word_automaton
+from tidemark.llm import line_dedup, ngram_join, packing, url_templates, warc_revisits, word_automaton
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,11 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ngram_join.shingle_groups(table(spark, sf_dir, "documents"), words=3, threshold=90)
+    return groups.withColumnRenamed("id", "doc_id")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
@@ -58,6 +63,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_warc_revisits": op2_warc_revisits,
+        "op3_ngram_join": op3_ngram_join,
         "op6_packing": op6_packing,
         "op8_url_templates": op8_url_templates,
         "op9_word_automaton": op9_word_automaton,
