@@ -31,7 +31,7 @@ CAPACITY = 2048
 OPEN_WINDOWS = 32
 END_ID = 1
 #: Partitions whose leftovers are merged in one task.
-MERGED_PARTITIONS = 256
+MERGED_PARTITIONS = 32
 _BATCH_CHARS = 4_000_000
 
 _PIECES = T.StructType([
