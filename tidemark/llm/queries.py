@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, ngram_join, packing, url_templates, warc_revisits, word_automaton
+from tidemark.llm import (
+    line_dedup,
+    ngram_join,
+    packing,
+    suffix_dedup,
+    url_templates,
+    warc_revisits,
+    word_automaton,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +56,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     judged = url_templates.judge_urls(url_templates.labelled_pages(pages, labels), url_templates.RULES)
@@ -65,6 +77,7 @@ def queries() -> dict[str, Query]:
         "op2_warc_revisits": op2_warc_revisits,
         "op3_ngram_join": op3_ngram_join,
         "op6_packing": op6_packing,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_url_templates": op8_url_templates,
         "op9_word_automaton": op9_word_automaton,
     }
