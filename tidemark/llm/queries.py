@@ -13,6 +13,7 @@ from tidemark.llm import (
     ngram_join,
     packing,
     suffix_dedup,
+    toxicity,
     url_templates,
     warc_revisits,
     word_automaton,
@@ -51,6 +52,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumnRenamed("id", "doc_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), labels)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
@@ -76,6 +82,7 @@ def queries() -> dict[str, Query]:
         "op1_line_dedup": op1_line_dedup,
         "op2_warc_revisits": op2_warc_revisits,
         "op3_ngram_join": op3_ngram_join,
+        "op4_toxicity": op4_toxicity,
         "op6_packing": op6_packing,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_url_templates": op8_url_templates,
