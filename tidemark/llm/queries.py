@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    cover_tree,
     line_dedup,
     ngram_join,
     packing,
+    projection_forest,
     suffix_dedup,
     toxicity,
     url_templates,
@@ -57,6 +59,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), labels)
 
 
+def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    found = projection_forest.nearest_neighbours(rows, rows.filter("vec_id % 20 = 0"))
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer)
@@ -77,16 +85,23 @@ def op9_word_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_automaton.encode_decode(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = cover_tree.cosine_groups(table(spark, sf_dir, "embeddings"))
+    return groups.withColumnRenamed("id", "vec_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_warc_revisits": op2_warc_revisits,
         "op3_ngram_join": op3_ngram_join,
         "op4_toxicity": op4_toxicity,
+        "op5_projection_forest": op5_projection_forest,
         "op6_packing": op6_packing,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_url_templates": op8_url_templates,
         "op9_word_automaton": op9_word_automaton,
+        "op10_cover_tree": op10_cover_tree,
     }
 
 
