@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,6 +103,7 @@ def queries() -> dict[str, Query]:
         "op8_url_templates": op8_url_templates,
         "op9_word_automaton": op9_word_automaton,
         "op10_cover_tree": op10_cover_tree,
+        "pipeline": corpus_pipeline.run,
     }
 
 
