@@ -12,9 +12,13 @@ node from the start. The search has two steps, both exact:
   must be on. The longest lists are set aside, the short ones merged with a heap that skips documents
   that cannot reach the rest, and the long ones probed by binary search (DivideSkip).
 
-Only groups are asked for, so copies need not all be compared: first each node is searched for by one
-other node of its parts, the smallest; that joins large groups of near copies through few searches.
-Then the pairs that still lie in different groups, of all parts, are searched without exception.
+Only groups are asked for, so copies need not all be compared. Each node goes home to the smallest node
+it shares a part with, which searches for it. The sets of a home are then written as differences from
+the shingles that most of them have. Differences tell almost all: two sets are linked for certain if
+their differences are few enough together, and then both are linked with the set that has fewest; else
+they are linked only if they share some difference. So the pairs left to search are those that lie in
+different groups and share a difference of one home, or a part but no home. A large group of near
+copies thus costs its differences, not its pairs.
 
 Shingles are compared by 64-bit hashes, sets by the sum of theirs and their size.
 
@@ -31,7 +35,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_table, fresh_name, quoted
@@ -42,9 +46,6 @@ from tidemark.sources.scratch import cut_lineage, stored
 WORDS = 5
 THRESHOLD = 80
 CHUNK = 256
-#: Star searches go on while more pairs than this multiple of the part rows are undecided.
-PAIRS_PER_ROW = 2
-MOST_STARS = 6
 
 
 # --- parts -----------------------------------------------------------------------------------
@@ -256,16 +257,63 @@ def _link_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
-def _searched(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The links among (query, node) pairs. A query with many documents is searched in several chunks."""
+def _common_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each query the shingles that most of the sets have. Any set would do; this one is near all."""
+    for (query,), rows in sorted_groups(batches, "query"):
+        values, counts = np.unique(np.concatenate([np.frombuffer(r["shingles"], np.uint64) for r in rows]), return_counts=True)
+        most = values[2 * counts > len(rows)].tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([query]), pa.array([most], pa.binary())], ["query", "shingles"])
+
+
+def _differences(threshold: int):
+    """For each set of a home its differences from the common shingles. Two sets are certainly linked if
+    their ``surplus`` is at most 0 together, whatever they share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (query, _), rows in sorted_groups(batches, "query", "chunk"):
+            sets = {r["node"]: np.frombuffer(r["shingles"], np.uint64) for r in rows}
+            common = sets.pop(None)
+            away = [np.setxor1d(common, s, assume_unique=True).view(np.int64) for s in sets.values()]
+            surplus = [len(d) * (100 + threshold) - (100 - threshold) * len(s) for d, s in zip(away, sets.values())]
+            columns = [
+                pa.array([query] * len(sets), pa.int64()), pa.array(list(sets), pa.int64()), pa.array(surplus, pa.int64()),
+                pa.array(away, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["query", "node", "surplus", "away"])
+
+    return run
+
+
+def _in_chunks(pairs: DataFrame) -> DataFrame:
+    """(query, node, chunk): the documents of a query in chunks of about ``CHUNK``."""
     many = pairs.groupBy("query").agg(F.count("*").alias("n"))
     chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / CHUNK)).cast("int")
-    tasks = pairs.join(many, "query").select("query", "node", chunk.alias("chunk"))
+    return pairs.join(many, "query").select("query", "node", chunk.alias("chunk"))
+
+
+def _searched(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The links among (query, node) pairs."""
+    tasks = _in_chunks(pairs)
     asked = tasks.select("query", F.col("query").alias("node"), "chunk").distinct()
-    rows = tasks.unionByName(asked).join(sets, "node")
-    return cut_lineage(
-        rows.repartition("query", "chunk").sortWithinPartitions("query", "chunk").mapInArrow(_links(threshold), "a long, b long")
-    )
+    rows = tasks.unionByName(asked).join(sets, "node").repartition("query", "chunk").sortWithinPartitions("query", "chunk")
+    return cut_lineage(rows.mapInArrow(_links(threshold), "a long, b long"))
+
+
+def _home_differences(homes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(query, node, surplus, away) of every set in its home."""
+    rows = _in_chunks(homes).join(sets, "node").select("query", "chunk", "node", "shingles")
+    some = rows.filter("chunk = 0").repartition("query").sortWithinPartitions("query")
+    common = some.mapInArrow(_common_shingles, "query long, shingles binary")
+    chunks = _in_chunks(homes).select("query", "chunk").distinct().join(common, "query")
+    chunks = chunks.select("query", "chunk", F.lit(None).cast("long").alias("node"), "shingles")
+    both = rows.unionByName(chunks).repartition("query", "chunk").sortWithinPartitions("query", "chunk")
+    return stored(both.mapInArrow(_differences(threshold), "query long, node long, surplus long, away array<long>"), "away")
+
+
+def _grouped(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with the ``component`` of their node."""
+    groups = connected_components(links)
+    return rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def shingle_groups(
@@ -284,29 +332,24 @@ def shingle_groups(
     sets = stored(
         rows.join(wanted, "id").select("id", "text").mapInArrow(_set_rows(words), "node long, shingles binary"), "sets"
     ).dropDuplicates(["node"])  # ids may repeat
-    links, placed = None, parts.withColumn("component", F.col("node"))
-    for star in range(MOST_STARS):
-        if links is not None:
-            groups = connected_components(links)
-            placed = parts.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            placed = cut_lineage(placed.select("part", "node", "component"))
-        if star > 1 and _undecided(placed) <= PAIRS_PER_ROW * placed.count():
-            break
-        head = placed.groupBy("part").agg(F.min(F.struct("component", "node")).alias("head"))
-        stars = (
-            placed.join(head, "part")
-            .filter(F.col("component") != F.col("head.component"))
-            .groupBy("node")
-            .agg(F.min("head.node").alias("query"))
-        )
-        found = _searched(stars.select("query", "node"), sets, threshold)
-        if found.isEmpty() and star:
-            break
-        links = found if links is None else links.union(found)
-    a, b = placed.alias("a"), placed.alias("b")
-    apart = (F.col("a.part") == F.col("b.part")) & (F.col("a.component") < F.col("b.component"))
-    pairs = a.join(b, apart).select(F.col("a.node").alias("query"), F.col("b.node").alias("node")).distinct()
-    links = links.union(_searched(cut_lineage(pairs), sets, threshold))
+    heads = parts.groupBy("part").agg(F.min("node").alias("query"))
+    homes = cut_lineage(parts.join(heads, "part").groupBy("node").agg(F.min("query").alias("query")))
+    away = _home_differences(homes, sets, threshold)
+    least = away.groupBy("query").agg(F.min(F.struct("surplus", "node")).alias("least"))
+    certain = away.join(least, "query").filter(
+        (F.col("node") != F.col("least.node")) & (F.col("surplus") + F.col("least.surplus") <= 0)
+    )
+    links = _searched(homes.filter("query <> node").select("query", "node"), sets, threshold)
+    links = links.union(cut_lineage(certain.select(F.col("least.node").alias("a"), F.col("node").alias("b"))))
+    placed = cut_lineage(_grouped(homes, links).select("node", "query", "component"))
+    by_part = parts.join(placed, "node").select("part", "node", "component", "query")
+    differing = away.join(placed.select("node", "component"), "node").select(
+        "query", F.explode("away").alias("part"), "node", "component"
+    )
+    pairs = _pairs_apart(by_part, F.col("a.query") != F.col("b.query")).union(
+        _pairs_apart(differing, F.col("a.query") == F.col("b.query"))
+    )
+    links = links.union(_searched(cut_lineage(pairs.distinct()), sets, threshold))
     groups = connected_components(links)
     least = nodes.join(groups, "node").groupBy("component").agg(F.min("id").alias("component_id"))
     named = groups.join(least, "component").select(F.col("node").alias("grouped"), "component_id")
@@ -318,11 +361,14 @@ def shingle_groups(
     )
 
 
-def _undecided(placed: DataFrame) -> int:
-    """Pairs of nodes in one part but in different groups."""
-    sizes = placed.groupBy("part", "component").agg(F.count("*").alias("n"))
-    total = sizes.groupBy("part").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"))
-    return int(total.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0)
+def _pairs_apart(rows: DataFrame, condition: Column) -> DataFrame:
+    """(query, node) pairs of one part that lie in different components."""
+    spread = rows.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    spread = spread.filter("low <> high").select(F.col("part").alias("spread"))
+    rows = rows.join(spread, F.col("part") == F.col("spread"), "left_semi")
+    a, b = rows.alias("a"), rows.alias("b")
+    apart = (F.col("a.part") == F.col("b.part")) & (F.col("a.component") < F.col("b.component"))
+    return a.join(b, apart & condition).select(F.col("a.node").alias("query"), F.col("b.node").alias("node"))
 
 
 def _set_rows(words: int):
