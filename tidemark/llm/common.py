@@ -2,7 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import shutil
+import tempfile
+from weakref import WeakSet
+
+from pyspark import SparkContext
+from pyspark.sql import DataFrame, SparkSession
+
+import tidemark
+
+_SHIPPED: WeakSet[SparkContext] = WeakSet()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors, present and future, the code of this library, once per Spark context."""
+    context = spark.sparkContext
+    if context not in _SHIPPED:
+        code = os.path.dirname(os.path.abspath(tidemark.__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="tidemark-code-"), "tidemark")
+        archive = shutil.make_archive(target, "zip", os.path.dirname(code), os.path.basename(code))
+        context.addPyFile(archive)
+        _SHIPPED.add(context)
 
 
 def fresh_name(df: DataFrame, base: str) -> str:
@@ -20,7 +41,8 @@ def quoted(name: str) -> str:
 
 
 def as_table(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named columns, under the keyword's names: ``as_table(df, id="doc_id")``."""
+    """Only the named columns, under the keyword's names: ``as_table(df, id="doc_id")``; ready for Python tasks."""
+    ship_package(df.sparkSession)
     return df.select([df[quoted(old)].alias(new) for new, old in columns.items()])
 
 

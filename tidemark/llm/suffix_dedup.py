@@ -316,7 +316,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with the repeated bytes gone from the text, all other columns as they are."""
     key, spans = fresh_name(docs, "spans_of"), fresh_name(docs, "cut_spans")
     row = F.xxhash64(F.col(quoted(id_col)).cast("string"), F.col(quoted(text_col)))
-    rows = docs.select(row.alias("row"), F.col(quoted(text_col)).alias("text")).filter(F.length("text") > 0)
+    rows = as_table(docs.withColumn(key, row), row=key, text=text_col).filter(F.length("text") > 0)
     found = repeated_spans(rows).select(F.col("spans_of").alias(key), F.col("spans").alias(spans))
     joined = docs.join(found, row == found[key], "left")
     kept = fresh_name(docs, "kept")
