@@ -6,8 +6,8 @@ sorting and adjacent common prefixes. What must meet in one buffer is brought to
 * Every string holds one anchor, its smallest run of ``ANCHOR`` bytes by a hash, so equal strings
   have equal anchors. Consecutive strings of a document with the same anchor are one segment. A scan
   gives a row per segment (anchor, checksum of the segment, place), about one for 75 bytes of text.
-* Rows are dealt by anchor; anchors that occur once end there. Of segments with the same bytes two
-  are enough: what is found for them holds for all. So a group of copies is two segments.
+* Rows are dealt by anchor; anchors that occur once end there. Of segments with the same bytes one
+  goes on, marked as having a twin: what is found for it holds for all. So copies are one segment.
 * These segments' bytes are fetched and sorted, several anchors to a buffer.
 * An anchor with more than ``MOST_SEGMENTS`` different segments (the edges of a passage that a large
   part of the corpus contains) is not gathered: its strings are dealt by their own checksums.
@@ -119,36 +119,40 @@ def _run_positions(same: np.ndarray) -> np.ndarray:
 
 
 def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (anchor, segment), those of anchors that occur again, with the position among
-    rows of the same segment (``copy``) and of the segment among those of the anchor (``kind``)."""
-    held: pa.RecordBatch | None = None  # the last row so far
-    given, copy0, kind0 = False, 0, 0
+    """Of rows sorted by (anchor, segment), those of anchors that occur again, with whether the row is the
+    ``first`` of its segment, whether that occurs again (``twin``), and its number within the anchor (``kind``)."""
+    held: pa.RecordBatch | None = None  # the last row waits for the next
+    before, copy0, kind0 = False, 0, 0
+
+    def chosen(batch: pa.RecordBatch, keep: np.ndarray, lead: np.ndarray, twin: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
+        out = batch.filter(pa.array(keep))
+        extra = [pa.array(lead[keep]), pa.array(twin[keep]), pa.array(kind[keep].astype(np.int64))]
+        return pa.RecordBatch.from_arrays([*out.columns, *extra], [*out.schema.names, "lead", "twin", "kind"])
+
     for batch in batches:
         if not batch.num_rows:
             continue
         if held is not None:
             batch = pa.concat_batches([held, batch])
         anchor, segment = batch.column("anchor").to_numpy(), batch.column("segment").to_numpy()
-        same_anchor = np.zeros(len(anchor) + 1, bool)
-        same_anchor[1:-1] = anchor[1:] == anchor[:-1]
-        same_segment = same_anchor[:-1].copy()
+        same_anchor = np.zeros(len(anchor), bool)
+        same_anchor[1:] = anchor[1:] == anchor[:-1]
+        same_segment = same_anchor.copy()
         same_segment[1:] &= segment[1:] == segment[:-1]
         copy = _run_positions(same_segment)
         steps = np.cumsum(~same_segment)
-        kind = steps - steps[np.arange(len(anchor)) - _run_positions(same_anchor[:-1])]
-        if held is not None:  # its own run goes on
+        kind = steps - steps[np.arange(len(anchor)) - _run_positions(same_anchor)]
+        if held is not None:  # its own runs go on
             copy[_leading(same_segment)] += copy0
-            kind[_leading(same_anchor[:-1])] += kind0
-        several = same_anchor[1:] | same_anchor[:-1]
-        last_given = bool(several[-1]) or (held is not None and given and len(anchor) == 1)
-        if held is not None and given:
-            several[0] = False
-        out = batch.filter(pa.array(several))
-        yield pa.RecordBatch.from_arrays(
-            [*out.columns, pa.array(np.minimum(copy[several], 2).astype(np.int32)), pa.array(kind[several].astype(np.int64))],
-            [*out.schema.names, "copy", "kind"],
-        )
-        held, given, copy0, kind0 = batch.slice(batch.num_rows - 1), last_given, int(copy[-1]), int(kind[-1])
+            kind[_leading(same_anchor)] += kind0
+            same_anchor[0] = before
+        keep = same_anchor[:-1] | same_anchor[1:]
+        twin = (copy[:-1] > 0) | same_segment[1:]
+        n = len(anchor) - 1
+        yield chosen(batch.slice(0, n), keep, copy[:-1] == 0, twin, kind[:-1])
+        held, before, copy0, kind0 = batch.slice(n), bool(same_anchor[-1]), int(copy[-1]), int(kind[-1])
+    if held is not None and before:
+        yield chosen(held, np.ones(1, bool), np.array([copy0 == 0]), np.array([copy0 > 0]), np.array([kind0]))
 
 
 def _leading(same: np.ndarray) -> slice:
@@ -163,21 +167,21 @@ def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for text, wanted in zip(batch.column("text").cast(pa.binary()), batch.column("wanted").to_pylist()):
             text = text.as_py()
             parts = [text[w["first"] : w["first"] + w["n"] + LENGTH - 1] for w in wanted]
-            columns = [[w["anchor"] for w in wanted], [w["segment"] for w in wanted], parts]
+            columns = [*([w[c] for w in wanted] for c in ("anchor", "segment", "twin")), parts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))],
-                ["anchor", "segment", "bytes"],
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_(), pa.binary()))],
+                ["anchor", "segment", "twin", "bytes"],
             )
 
 
 def _found_runs(rows: list[dict]) -> list[tuple[int, int, int, int]]:
-    """(anchor, segment, from, to) of the bytes under repeated strings, once for each segment."""
-    runs, seen = [], set()
-    for row, starts in zip(rows, repeated_starts([r["bytes"] for r in rows], LENGTH)):
-        key = (row["anchor"], row["segment"])
-        if key in seen or not len(starts):
+    """(anchor, segment, from, to) of the bytes under repeated strings."""
+    runs = []
+    found = repeated_starts([r["bytes"] for r in rows], LENGTH, [r["twin"] for r in rows])
+    for row, starts in zip(rows, found):
+        if not len(starts):
             continue
-        seen.add(key)
+        key = (row["anchor"], row["segment"])
         cuts = np.flatnonzero(np.diff(starts) > LENGTH)
         for a, b in zip(starts[np.append(0, cuts + 1)].tolist(), starts[np.append(cuts, len(starts) - 1)].tolist()):
             runs.append((*key, a, b + LENGTH))
@@ -212,8 +216,10 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for salt in (np.uint64(0), np.uint64(0x632BE59BD9B4E019)):
                 total = np.concatenate([[np.uint64(0)], np.cumsum((_BYTE[data] ^ salt) * up[:-1])])
                 sums.append(pa.array(mixed((total[at + LENGTH] - total[at]) * down[at]).view(np.int64)))
-            fixed = [pa.array(np.full(len(at), row[c], np.int64)) for c in ("anchor", "segment")]
-            yield pa.RecordBatch.from_arrays([*fixed, pa.array(at), *sums], ["anchor", "segment", "begin", "one", "two"])
+            fixed = [pa.array(np.full(len(at), int(row[c]), np.int64)) for c in ("anchor", "segment", "twin")]
+            yield pa.RecordBatch.from_arrays(
+                [*fixed, pa.array(at), *sums], ["anchor", "segment", "twin", "begin", "one", "two"]
+            )
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -222,18 +228,18 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     dealt = dealt.repartition("anchor").sortWithinPartitions("anchor", "segment", "row", "first")
     members = stored(
         dealt.mapInArrow(
-            _repeated_rows, "anchor long, segment long, row long, first long, n long, copy int, kind long"
+            _repeated_rows, "anchor long, segment long, row long, first long, n long, lead boolean, twin boolean, kind long"
         ),
         "segments",
     )
-    shown = members.filter("copy < 2")
+    shown = members.filter("lead")
     large = cut_lineage(shown.filter(F.col("kind") == MOST_SEGMENTS).select("anchor").distinct())
     wanted = (
         shown.groupBy(F.col("row").alias("asked"))
-        .agg(F.collect_list(F.struct("anchor", "segment", "first", "n")).alias("wanted"))
+        .agg(F.collect_list(F.struct("anchor", "segment", "first", "n", "twin")).alias("wanted"))
     )
     cut = rows.join(wanted, rows["row"] == F.col("asked")).select("text", "wanted")
-    cut = cut.mapInArrow(_cut_segments, "anchor long, segment long, bytes binary")
+    cut = cut.mapInArrow(_cut_segments, "anchor long, segment long, twin boolean, bytes binary")
     kind = "anchor long, segment long, begin long, stop long"
     if large.isEmpty():
         runs = cut.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted_buffers, kind)
@@ -241,13 +247,13 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         cut = stored(cut, "segment-bytes")
         small = cut.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
         strings = cut.join(large, "anchor", "left_semi").mapInArrow(
-            _strings, "anchor long, segment long, begin long, one long, two long"
+            _strings, "anchor long, segment long, twin long, begin long, one long, two long"
         )
-        again = strings.groupBy("one", "two").agg(F.count("*").alias("times")).filter("times > 1").select("one", "two")
+        again = strings.groupBy("one", "two").agg(F.sum(F.col("twin") + 1).alias("times")).filter("times > 1").select("one", "two")
         single = strings.join(again, ["one", "two"]).select(
             "anchor", "segment", "begin", (F.col("begin") + LENGTH).alias("stop")
         )
-        runs = small.mapInArrow(_sorted_buffers, kind).unionByName(single.distinct())
+        runs = small.mapInArrow(_sorted_buffers, kind).unionByName(single)
     spans = members.join(stored(runs, "runs"), ["anchor", "segment"]).select(
         "row", F.struct((F.col("first") + F.col("begin")).alias("begin"), (F.col("first") + F.col("stop")).alias("stop")).alias("span")
     )

@@ -57,8 +57,11 @@ def common_prefix_reaches(data: bytes, a: np.ndarray, b: np.ndarray, depth: int)
     return reached
 
 
-def repeated_starts(texts: list[bytes], depth: int) -> list[np.ndarray]:
-    """For each text the starts of its strings of ``depth`` bytes that stand in the texts a second time."""
+def repeated_starts(texts: list[bytes], depth: int, twins: list[bool]) -> list[np.ndarray]:
+    """For each text the starts of its strings of ``depth`` bytes that stand in the texts a second time.
+
+    A text with a twin stands for two equal ones: their suffixes would be neighbours all the way.
+    """
     data = SEPARATOR.join(texts) + SEPARATOR
     length = np.fromiter(map(len, texts), np.int64, len(texts))
     begin = np.cumsum(length + 1) - length - 1
@@ -71,4 +74,7 @@ def repeated_starts(texts: list[bytes], depth: int) -> list[np.ndarray]:
     found = np.zeros(len(data), bool)
     found[order[:-1][same]] = True
     found[order[1:][same]] = True
+    for a, n, twin in zip(begin.tolist(), length.tolist(), twins):
+        if twin:
+            found[a : a + n] = whole[a : a + n]
     return [np.flatnonzero(found[a : a + n]) for a, n in zip(begin.tolist(), length.tolist())]
