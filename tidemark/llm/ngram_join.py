@@ -16,9 +16,9 @@ Only groups are asked for, so copies need not all be compared. Each node goes ho
 it shares a part with, which searches for it. The sets of a home are then written as differences from
 the shingles that most of them have. Differences tell almost all: two sets are linked for certain if
 their differences are few enough together, and then both are linked with the set that has fewest; else
-they are linked only if they share some difference. So the pairs left to search are those that lie in
-different groups and share a difference of one home, or a part but no home. A large group of near
-copies thus costs its differences, not its pairs.
+they are linked only if they share differences, and how many is known. So the pairs left to search are
+those that lie in different groups and share a part but no home, or rare differences of one home. A
+large group of near copies thus costs its differences, not its pairs.
 
 Shingles are compared by 64-bit hashes, sets by the sum of theirs and their size.
 
@@ -35,7 +35,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_table, fresh_name, quoted
@@ -343,13 +343,20 @@ def shingle_groups(
     links = links.union(cut_lineage(certain.select(F.col("least.node").alias("a"), F.col("node").alias("b"))))
     placed = cut_lineage(_grouped(homes, links).select("node", "query", "component"))
     by_part = parts.join(placed, "node").select("part", "node", "component", "query")
-    differing = away.join(placed.select("node", "component"), "node").select(
-        "query", F.explode("away").alias("part"), "node", "component"
-    )
-    pairs = _pairs_apart(by_part, F.col("a.query") != F.col("b.query")).union(
-        _pairs_apart(differing, F.col("a.query") == F.col("b.query"))
-    )
-    links = links.union(_searched(cut_lineage(pairs.distinct()), sets, threshold))
+    pairs = _pairs_apart(by_part, F.col("a.query") != F.col("b.query"))
+    links = links.union(_searched(stored(pairs.distinct(), "pairs"), sets, threshold))
+    spread = _grouped(away, links).select("query", "node", "surplus", "away", "component")
+    shared = stored(spread, "spread").select("*", F.explode("away").alias("part"))
+    heads = shared.groupBy("query", "part").agg(F.min(F.struct("surplus", "node", "component")).alias("head"))
+    stars = shared.join(heads, ["query", "part"]).filter(F.col("component") != F.col("head.component"))
+    stars = stars.select(F.col("head.node").alias("query"), "node").distinct()
+    links = links.union(_searched(stored(stars, "pairs"), sets, threshold))
+    differing = stored(_grouped(away, links).select("query", "node", "surplus", "away", "component"), "spread")
+    rarest = _rarest_differences(differing, threshold)
+    most = (1 + F.least("a.after", "b.after")) * (2 * (100 + threshold))  # if this is their first in common
+    enough = most >= F.col("a.surplus") + F.col("b.surplus")
+    pairs = _pairs_apart(rarest, (F.col("a.query") == F.col("b.query")) & enough)
+    links = links.union(_searched(stored(pairs.distinct(), "pairs"), sets, threshold))
     groups = connected_components(links)
     least = nodes.join(groups, "node").groupBy("component").agg(F.min("id").alias("component_id"))
     named = groups.join(least, "component").select(F.col("node").alias("grouped"), "component_id")
@@ -371,6 +378,28 @@ def _pairs_apart(rows: DataFrame, condition: Column) -> DataFrame:
     return a.join(b, apart & condition).select(F.col("a.node").alias("query"), F.col("b.node").alias("node"))
 
 
+def _rarest_differences(away: DataFrame, threshold: int) -> DataFrame:
+    """(query, node, component, part, surplus, after): of each set the rarest differences, as many as a link
+    must show in, and how many more follow each.
+
+    Linked sets of different groups share at least half their surplus over ``100 + threshold``
+    differences; so one of them is among the rarest of both, all but that number.
+    """
+    away = away.filter("size(away) > 0")
+    first = away.groupBy("query").agg(F.min(F.struct("surplus", "component")).alias("first"))
+    with_first = away.join(first, "query")
+    second = with_first.filter(F.col("component") != F.col("first.component")).groupBy("query")
+    second = second.agg(F.min("surplus").alias("second"))  # homes of one group have none and leave
+    other = F.when(F.col("component") == F.col("first.component"), F.col("second")).otherwise(F.col("first.surplus"))
+    shared = F.greatest(F.ceil((F.col("surplus") + other) / (2 * (100 + threshold))), F.lit(1))
+    wanted = with_first.join(second, "query").withColumn("shown", F.size("away") - shared + 1).filter("shown > 0")
+    listed = wanted.select("query", "node", "component", "surplus", "shown", F.size("away").alias("n_away"), F.explode("away").alias("part"))
+    often = away.select("query", F.explode("away").alias("part")).groupBy("query", "part").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("query", "node").orderBy("n", "part"))
+    ranked = listed.join(often, ["query", "part"]).withColumn("rank", rank).withColumn("after", F.col("n_away") - F.col("rank"))
+    return ranked.filter("rank <= shown").select("query", "node", "component", "part", "surplus", "after")
+
+
 def _set_rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_batches(batches):
