@@ -25,7 +25,6 @@ from tidemark.operators import capture as capture_ops
 from tidemark.operators import cohorts as cohort_ops
 from tidemark.operators import ks as ks_ops
 from tidemark.operators import percentiles as pctl_ops
-from tidemark.operators.bins import ScoreBins
 from tidemark.operators.histogram import base_histogram, cubed_histogram, leveled_histogram, score_rows
 from tidemark.operators.profile import score_histogram as histogram_of
 from tidemark.operators.profile import score_profile
@@ -41,6 +40,7 @@ from tidemark.plans.jobs import (
     percentile_tables,
     production_profile,
     production_tails,
+    run_and_store,
 )
 from tidemark.plans.percentile_plan import percentile_plan as plan_table
 from tidemark.plans.percentile_plan import target_rank
@@ -158,7 +158,8 @@ def csv_cohort_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     yearly = _mon(spark, sf_dir).withColumn("safra", F.expr("safra div 100 * 100 + 1").cast("int"))
     write_cohort_csv(yearly, config, years)
-    return cohort_csv(spark, config, config.production_cohorts)
+    read = cohort_csv(spark, config, config.production_cohorts)
+    return read.withColumns({s: F.col(s).cast("int") for s in CONFIG.score_names})
 
 
 def baseline_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +279,7 @@ def segment_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = base_histogram(_long(spark, sf_dir), CONFIG)
-    cubed = cubed_histogram(leveled_histogram(base, CONFIG, ScoreBins()))
+    cubed = cubed_histogram(leveled_histogram(base, CONFIG))
     return cubed.select(
         "cohort", "score", F.col("level.gid").alias("gid"), *level_columns(SEGMENTS), "value", "n", "pos", "neg"
     )
@@ -378,12 +379,12 @@ def fraud_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _price_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    histogram = histogram_of(score_rows(_price(spark, sf_dir), PRICE), PRICE, rows_per_bin=4096)
+    histogram = histogram_of(score_rows(_price(spark, sf_dir), PRICE), PRICE)
     return score_profile(histogram, PRICE)
 
 
 def cutoffs_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cut-offs and tails of a score with almost no repeated value, through several bins."""
+    """Cut-offs and tails of a score with almost no repeated value."""
     tails = _own_tails(_price_profile(spark, sf_dir), PRICE)
     return _rounded(pctl_ops.baseline_report(tails, PRICE.segments), tail_pct=9)
 
@@ -392,22 +393,46 @@ def ks_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(ks_ops.ks(_price_profile(spark, sf_dir), PRICE.segments), ks=9)
 
 
+def _stacked(tables: dict[str, DataFrame], segments) -> DataFrame:
+    """Result tables as (report, keys, measured value)."""
+    keys = ["cohort", "score", *segments]
+    no_pctl = F.lit(None).cast("double").alias("pctl")
+    pctl = F.col("pctl")
+    measured = {
+        "percentiles": (pctl, "tail_pct"),
+        "percentiles_baseline": (pctl, "tail_pct"),
+        "psi": (no_pctl, "psi"),
+        "ks": (no_pctl, "ks"),
+        "capture": (pctl, "base_capture_pct"),
+    }
+    return cohort_ops.union_results(
+        *(
+            tables[name].select(F.lit(name).alias("report"), *keys, at, F.round(value, 6).alias("measured"))
+            for name, (at, value) in measured.items()
+        )
+    )
+
+
 def _monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole run, its four result tables stacked as (report, keys, measured value)."""
+    """The whole run, its four result tables stacked."""
     reports = monitor(_mon(spark, sf_dir), CONFIG)
-    keys = ["cohort", "score", *SEGMENTS]
-    no_pctl = F.lit(None).cast("double").alias("pctl")
+    return _stacked(reports.tables() | {"percentiles_baseline": reports.percentiles_baseline}, SEGMENTS)
 
-    def part(name: str, table: DataFrame, pctl, value: str) -> DataFrame:
-        return table.select(F.lit(name).alias("report"), *keys, pctl, F.round(value, 6).alias("measured"))
 
-    return cohort_ops.union_results(
-        part("percentiles", reports.percentiles, "pctl", "tail_pct"),
-        part("percentiles_baseline", reports.percentiles_baseline, "pctl", "tail_pct"),
-        part("psi", reports.psi, no_pctl, "psi"),
-        part("ks", reports.ks, no_pctl, "ks"),
-        part("capture", reports.capture, "pctl", "base_capture_pct"),
-    )
+def monitor_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run over a score with almost no repeated value; the baseline is 1995."""
+    config = replace(PRICE, first_cohort=FIRST, baseline_cohorts=month_list(199501, 199512))
+    reports = monitor(_price(spark, sf_dir), config)
+    return _stacked(reports.tables() | {"percentiles_baseline": reports.percentiles_baseline}, PRICE.segments)
+
+
+def monitor_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored runs, the second only over the months the first has left out; all tables read back."""
+    rows, store = _mon(spark, sf_dir), ResultStore(spark, scratch_path(spark, "monitor"))
+    run_and_store(rows, replace(CONFIG, last_cohort=199812), store)
+    run_and_store(rows, CONFIG, store)
+    names = ("percentiles", "percentiles_baseline", "psi", "ks", "capture")
+    return _stacked({name: store.read(name) for name in names}, SEGMENTS)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -451,6 +476,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fraud_capture_stored": fraud_capture_stored,
         "fraud_precision": fraud_precision,
         "monitor_run": _monitor,
+        "monitor_continuous": monitor_continuous,
+        "monitor_stored": monitor_stored,
     } | (llm_queries.queries() if llm_queries else {})
 
 
@@ -541,17 +568,17 @@ def _ks_select(segs: str, digits: int = 9) -> str:
     return f"SELECT cohort, score, {segs}, round(max({gap}), {digits}) AS ks FROM curve GROUP BY ALL"
 
 
-def _price_cte() -> str:
+def _price_cte(cohort: str = _MONTH) -> str:
     segs = "o_orderstatus, o_orderpriority"
     cube = _cube_of("scored", "o_orderstatus", "o_orderpriority", "cohort, score, value, flag")
     return f"""WITH mon AS ({PRICE_SQL}),
-scored AS (SELECT CAST(safra AS VARCHAR) AS cohort, 'price' AS score, {segs}, price AS value, flag_1 AS flag
+scored AS (SELECT {cohort} AS cohort, 'price' AS score, {segs}, price AS value, flag_1 AS flag
   FROM mon WHERE price IS NOT NULL),
 cubed AS ({cube}), {_plan_sql(PRICE)}, {_CUT_SQL.format(segs=segs)}"""
 
 
 def oracle_sql() -> dict[str, str]:
-    """The queries in SQL for DuckDB, written over raw rows without histogram or bins."""
+    """The queries in SQL for DuckDB, written over raw rows without histogram."""
     mon = f"WITH mon AS ({MON_SQL})"
     monthly, split = _scored_sql(_MONTH), _scored_sql(_SPLIT) + _BOTH_SQL
     inputs = f"{_SEGS}, score_1, score_2, score_1_status, score_2_status, flag_1"
@@ -569,6 +596,15 @@ def oracle_sql() -> dict[str, str]:
   tail_pos AS prod_hits, hits AS total_hits, round({hits} / nullif(hits, 0) * 100, 9) AS base_capture_pct,
   round(tail_pos / nullif(hits, 0) * 100, 9) AS prod_capture_pct, cohort, score
 FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL"""
+    run = f"""{split}, {ks_pieces}
+SELECT 'percentiles' AS report, cohort, score, {_SEGS}, CAST(p AS DOUBLE) AS pctl,
+  round(tail_n / total * 100, 6) AS measured FROM prod
+UNION ALL SELECT 'percentiles_baseline', cohort, score, {_SEGS}, CAST(p AS DOUBLE), round(tail_n / total * 100, 6)
+  FROM own WHERE cohort = 'baseline'
+UNION ALL SELECT 'psi', cohort, score, {_SEGS}, NULL, psi FROM ({_PSI_SELECT})
+UNION ALL SELECT 'ks', cohort, score, {_SEGS}, NULL, ks FROM ({_ks_select(_SEGS, 6)}) WHERE cohort <> 'baseline'
+UNION ALL SELECT 'capture', cohort, score, {_SEGS}, CAST(p AS DOUBLE), round({hits} / nullif(hits, 0) * 100, 6)
+  FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL"""
     return {
         "cohort_source": f"{mon} SELECT safra, {inputs} FROM mon WHERE safra >= {FIRST}",
         "csv_cohort_source": f"{mon} SELECT CAST(safra // 100 * 100 + 1 AS INT) AS safra, {inputs} FROM mon",
@@ -636,13 +672,9 @@ FROM curve JOIN whole USING (cohort, score) GROUP BY ALL""",
   round(base_pos / nullif(base_tail_n, 0) * 100, 9) AS base_precision_pct,
   round(tail_pos / nullif(tail_n, 0) * 100, 9) AS prod_precision_pct, cohort, score
 FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL""",
-        "monitor_run": f"""{split}, {ks_pieces}
-SELECT 'percentiles' AS report, cohort, score, {_SEGS}, CAST(p AS DOUBLE) AS pctl,
-  round(tail_n / total * 100, 6) AS measured FROM prod
-UNION ALL SELECT 'percentiles_baseline', cohort, score, {_SEGS}, CAST(p AS DOUBLE), round(tail_n / total * 100, 6)
-  FROM own WHERE cohort = 'baseline'
-UNION ALL SELECT 'psi', cohort, score, {_SEGS}, NULL, psi FROM ({_PSI_SELECT})
-UNION ALL SELECT 'ks', cohort, score, {_SEGS}, NULL, ks FROM ({_ks_select(_SEGS, 6)}) WHERE cohort <> 'baseline'
-UNION ALL SELECT 'capture', cohort, score, {_SEGS}, CAST(p AS DOUBLE), round({hits} / nullif(hits, 0) * 100, 6)
-  FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL""",
+        "monitor_run": run,
+        "monitor_stored": run,
+        "monitor_continuous": run.replace(split, _price_cte(_SPLIT) + _BOTH_SQL)
+        .replace("group_ab", "o_orderstatus")
+        .replace("group_xy", "o_orderpriority"),
     } | (llm_queries.oracle_sql() if llm_queries else {})

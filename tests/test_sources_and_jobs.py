@@ -1,6 +1,7 @@
 import csv
 import glob
 import json
+from dataclasses import replace
 
 import pytest
 from brute_force import report, table
@@ -42,13 +43,55 @@ def test_csv_source_reads_asked_months_once(spark, rows, tmp_path):
     cfg = config(data_folder=str(tmp_path))
     src.write_cohort_csv(rows, cfg, [202301, 202304, 202305, 202307])
     found = src.cohort_csv(spark, cfg, cfg.production_cohorts)
-    expected = src.cohort_rows(rows, cfg, cfg.production_cohorts)
+    expected = src.cohort_rows(rows, cfg, cfg.production_cohorts).withColumn("score_1", F.col("score_1").cast("double"))
     assert dict(found.dtypes) == dict(expected.dtypes)
     assert same(found, expected)
     typed = src.cohort_csv(spark, cfg, [202305], schema=rows.schema)
     assert same(typed.select(*expected.columns), src.cohort_rows(rows, cfg, [202305]))
 
 
+def test_csv_months_may_differ(spark, tmp_path):
+    """Columns in another order, fractional scores, flags as 1.0, a prefix of pattern signs, no month at all."""
+    cfg = config(data_folder=str(tmp_path), data_prefix="t.[1]", last_cohort=202305)
+    texts = {
+        202304: "group_ab,score_1,flag_1,score_1_status,group_xy\nA,10,1,score válido,X\n",
+        202305: "flag_1,group_xy,group_ab,score_1_status,score_1,more\n1.0,X,B,score válido,512.7,z\n,,B,score válido,3,z\n",
+    }
+    assert src.cohort_csv(spark, cfg, cfg.production_cohorts).count() == 0
+    assert [r[0] for r in monitor(src.cohort_csv(spark, cfg, cfg.production_cohorts), cfg).missing.collect()] == [202304, 202305]
+    assert src.baseline_csv(spark, cfg) is None
+    for month, text in texts.items():
+        (tmp_path / f"t.[1]_{month}.csv").write_text(text, encoding="utf-8")
+    found = {tuple(r) for r in src.cohort_csv(spark, cfg, cfg.production_cohorts).select("safra", "group_ab", "group_xy", "score_1", "flag_1").collect()}
+    assert found == {(202304, "A", "X", 10.0, 1), (202305, "B", "X", 512.7, 1), (202305, "B", None, 3.0, None)}
+
+
+def test_one_table_for_each_cohort(spark, rows):
+    for name, month in (("sc_202304", 202304), ("sc_202305", 202305), ("sc_baseline", 202301)):
+        rows.filter(F.col("safra") == month).createOrReplaceTempView(name)
+    read = src.cohort_tables(spark, "sc_{cohort}", config(), [202304, 202305, 202306])
+    assert same(read, src.cohort_rows(rows, config(), [202304, 202305]))
+    base = src.cohort_tables(spark, "sc_{cohort}", config(), ["baseline"])
+    assert same(base, src.baseline_rows(rows, config()))
+
+
+def test_cohorts_as_strings(spark, rows):
+    named = rows.withColumn("safra", F.when(F.col("safra") == 202301, "baseline").otherwise(F.col("safra").cast("string")))
+    assert src.cohort_rows(named, config(), [202304, 202305]).count() == 200
+    assert {r[0] for r in src.cohort_rows(named, config(), ["baseline"]).select("safra").distinct().collect()} == {"baseline"}
+
+
+def test_a_finished_month_inside_the_period_is_kept(spark, rows, tmp_path):
+    """The stored month is the baseline's too, and lies between two pending ones."""
+    store = ResultStore(spark, str(tmp_path))
+    cfg = config(baseline_cohorts=(202305,))
+    assert run_and_store(rows, replace(cfg, first_cohort=202305, last_cohort=202305), store) == [202305]
+    kept = sorted(map(str, store.read("percentiles").collect()))
+    changed = rows.withColumn("score_1", F.lit(1))
+    assert run_and_store(changed, cfg, store) == [202304, 202306, 202307]
+    assert sorted(map(str, store.read("percentiles").filter("cohort = '202305'").collect())) == kept
+
+
 def test_catalog_source(spark, rows):
     rows.createOrReplaceTempView("scored")
     assert same(src.cohort_table(spark, "scored", config(), [202304]), src.cohort_rows(rows, config(), [202304]))
@@ -130,8 +173,7 @@ def test_file_based_run(spark, rows, tmp_path):
     }
     (tmp_path / "e.json").write_text(json.dumps(execution), encoding="utf-8")
     (tmp_path / "m.json").write_text(json.dumps(monitoring), encoding="utf-8")
-    reports = monitor_files(spark, str(tmp_path / "e.json"), str(tmp_path / "m.json"))
-    assert [r[0] for r in reports.missing.collect()] == [202306]
+    assert monitor_files(spark, str(tmp_path / "e.json"), str(tmp_path / "m.json")) == [202304, 202305, 202307]
 
     def read(name):
         lines = []
@@ -144,17 +186,28 @@ def test_file_based_run(spark, rows, tmp_path):
         f"{n}_{m}.csv" for n in ("percentis_prod", "psi", "ks", "pct_fraude") for m in (202304, 202305, 202307)
     }
     expected = report([r.asDict() for r in rows.collect()], cfg)
-    found = {(r["group_ab"], r["group_xy"] or None, float(r["percentil"])): (int(r["score_percentil"]), int(r["count"]), int(r["count_baseline"]))
+    found = {(r["group_ab"], r["group_xy"] or None, float(r["percentil"])): (float(r["score_percentil"]), int(r["count"]), int(r["count_baseline"]))
              for r in read("percentis_prod_202305.csv")}
     wanted = {(a, x, p): (v[0], v[1], v[4]) for (_, c, a, x, p), v in expected["percentiles"].items() if c == "202305"}
     assert found == wanted
     ks = {(r["group_ab"], r["group_xy"] or None): round(float(r["ks_value"]), 9) for r in read("ks_202304.csv")}
     assert ks == {(a, x): round(v[0], 9) for (_, c, a, x), v in expected["ks_cohort"].items() if c == "202304"}
 
-    # Without the baseline input, the stored baseline percentiles are used.
-    execution["incluir_baseline"] = False
+    # A second run leaves finished months alone, also on changed input and without the baseline file.
+    stored = read("psi_202305.csv")
+    src.write_cohort_csv(rows.withColumn("score_1", F.col("score_1") + 400), cfg, [202305])
+    execution |= {"overwrite_percentis": False}
+    (data / "tbl_baseline.csv").rename(data / "other.csv")
     (tmp_path / "e.json").write_text(json.dumps(execution), encoding="utf-8")
-    again = monitor_files(spark, str(tmp_path / "e.json"), str(tmp_path / "m.json"))
-    key = ["cohort", *SEGMENTS]
-    one, two = (table(r.psi.withColumn("psi", F.round("psi", 9)), key, ["psi"]) for r in (reports, again))
-    assert one == two
+    files = str(tmp_path / "e.json"), str(tmp_path / "m.json")
+    assert monitor_files(spark, *files) == []
+    assert read("psi_202305.csv") == stored
+
+    # A new month is measured against the stored baseline percentiles; its status comes from the special scores.
+    late = rows.filter("safra = 202304").drop("score_1_status").withColumn("safra", F.lit(202306))
+    late.withColumn("score_1", F.when(F.col("score_1") > 90, -1).otherwise(F.col("score_1"))).write.option("header", True).csv(
+        str(data / "tbl_202306.csv")
+    )
+    assert monitor_files(spark, *files) == [202306]
+    assert read("psi_202305.csv") == stored and len(read("psi_202306.csv")) > 0
+    assert min(float(r["score_percentil"]) for r in read("percentis_prod_202306.csv")) >= 0

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scores import is_valid
-from tidemark.operators.bins import ScoreBins
 from tidemark.operators.segments import checked_segment, expand_levels
 from tidemark.plans.config import MonitorConfig
 
@@ -54,36 +53,28 @@ def base_histogram(long_rows: DataFrame, config: MonitorConfig) -> DataFrame:
     )
 
 
-def leveled_histogram(
-    base: DataFrame, config: MonitorConfig, bins: ScoreBins, points: DataFrame | None = None
-) -> DataFrame:
-    """The base histogram once per segment combination, with the bin of each value.
+def leveled_histogram(base: DataFrame, config: MonitorConfig, points: DataFrame | None = None) -> DataFrame:
+    """The base histogram once per segment combination.
 
     ``points`` are extra empty entries (``cohort, score, level, value``) at which running totals will
     be read; they add no rows to any count.
     """
     levels = expand_levels(base, config.segments, config.total_label).withColumn("is_point", F.lit(False))
-    if points is not None:
-        zero = F.lit(0).cast("bigint")
-        empty = {"n": zero, "pos": zero, "neg": zero, "is_point": F.lit(True)}
-        levels = levels.unionByName(points.withColumns(empty))
-    return levels if bins.single else levels.withColumn("bin", bins.column())
+    if points is None:
+        return levels
+    zero = F.lit(0).cast("bigint")
+    return levels.unionByName(points.withColumns({"n": zero, "pos": zero, "neg": zero, "is_point": F.lit(True)}))
 
 
 def cubed_histogram(leveled: DataFrame) -> DataFrame:
-    """One entry per (group, value), partitioned by group, or by (group, bin) where there are bins.
+    """One entry per (group, value).
 
-    One shuffle serves the aggregate here and the windows that follow, because it is made on their
-    keys and not on those of the aggregate.
+    The grand total of a cohort gets every entry of the base histogram; they are combined on the map
+    side, so what is shuffled for a value is one entry per task at most.
     """
-    keys = [*GROUP, "bin"] if "bin" in leveled.columns else [*GROUP]
-    return (
-        leveled.repartition(*keys)
-        .groupBy(*keys, "value")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.bool_or("is_point").alias("is_point"),
-        )
+    return leveled.groupBy(*GROUP, "value").agg(
+        F.sum("n").alias("n"),
+        F.sum("pos").alias("pos"),
+        F.sum("neg").alias("neg"),
+        F.bool_or("is_point").alias("is_point"),
     )

@@ -38,15 +38,18 @@ def ks(profile: DataFrame, segments: Sequence[str], whole: DataFrame | None = No
     ``cohort_totals``) they are taken of the whole cohort's, which scales a segment's value by its
     share of either class.
     """
+    profile, gap = with_gap(profile, whole)
+    return profile.groupBy(*GROUP).agg(F.max(gap).alias("ks")).select("cohort", "score", *level_columns(segments), "ks")
+
+
+def with_gap(profile: DataFrame, whole: DataFrame | None = None) -> tuple[DataFrame, Column]:
+    """The profile and the gap between its two rates, of the segment's classes or of the whole cohort's."""
     pos, neg = F.col("total_pos"), F.col("total_neg")
     if whole is not None:
         # At most one row per configured month and score.
         profile = profile.join(F.broadcast(whole), ["cohort", "score"])
         pos, neg = F.col("cohort_pos"), F.col("cohort_neg")
-    gap = F.abs(_rate("pos", pos) - _rate("neg", neg))
-    return (
-        profile.groupBy(*GROUP).agg(F.max(gap).alias("ks")).select("cohort", "score", *level_columns(segments), "ks")
-    )
+    return profile, F.abs(_rate("pos", pos) - _rate("neg", neg))
 
 
 def _rate(count: str, total: Column) -> Column:

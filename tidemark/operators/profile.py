@@ -1,59 +1,57 @@
-"""Running totals over the histogram, the common ground of cut-offs, tails and KS."""
+"""Running totals over the histogram, the common ground of cut-offs, tails and KS.
+
+Entries are laid out by range over (group, value), so a part holds a stretch of one group's axis or
+several small groups, whatever the type of the scores and the size of a group. Sums run inside a part;
+what the earlier parts of a group hold is one row per group and part, added by a join.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.literals import is_one_of
-from tidemark.operators.bins import ROWS_PER_BIN, ScoreBins, measure_bins
 from tidemark.operators.histogram import GROUP, base_histogram, cubed_histogram, leveled_histogram
 from tidemark.plans.config import MonitorConfig
+from tidemark.plans.percentile_plan import may_reach_any
 from tidemark.sources.scratch import cut_lineage, stored
 
 COUNTS = ("n", "pos", "neg")
 
 
-def bin_offsets(leveled: DataFrame) -> DataFrame:
-    """Per bin, the totals of the group's earlier bins and of the whole group.
+def laid_out(cubed: DataFrame) -> DataFrame:
+    """The entries in parts that are ranges of (group, value); stored, as the parts must stay as they are."""
+    return stored(cubed.repartitionByRange(*GROUP, "value").withColumn("part", F.spark_partition_id()), "cube")
 
-    Sums are combined map-side, so the shuffle carries (group, bin) entries only, and each window
-    holds the bins of one group.
-    """
+
+def part_offsets(laid: DataFrame) -> DataFrame:
+    """Per group and part, the totals of the group's earlier parts and of the whole group."""
     group = Window.partitionBy(*GROUP)
-    earlier = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        leveled.groupBy(*GROUP, "bin")
+        laid.groupBy(*GROUP, "part")
         .agg(*[F.sum(c).alias(c) for c in COUNTS])
         .select(
             *GROUP,
-            "bin",
+            "part",
             *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"before_{c}") for c in COUNTS],
             *[F.sum(c).over(group).alias(f"total_{c}") for c in COUNTS],
         )
     )
 
 
-def running_totals(cubed: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
-    """Add ``cum_*`` (up to and including the value, ascending) and ``total_*`` (whole group).
-
-    With bins, each bin is summed on its own and the offsets of the bins before it are added, so no
-    task ever holds a whole group.
-    """
-    keys = [*GROUP] if offsets is None else [*GROUP, "bin"]
-    inside = Window.partitionBy(*keys)
-    upto = inside.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = cubed.withColumns({f"cum_{c}": F.sum(c).over(upto) for c in COUNTS})
-    if offsets is None:
-        return summed.withColumns({f"total_{c}": F.sum(c).over(inside) for c in COUNTS})
+def running_totals(laid: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Add ``cum_*`` (up to and including the value, ascending) and ``total_*`` (whole group)."""
+    keys = [*GROUP, "part"]
+    upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        summed.join(offsets, keys)
+        laid.withColumns({f"cum_{c}": F.sum(c).over(upto) for c in COUNTS})
+        .join(offsets, keys)
         .withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"before_{c}") for c in COUNTS})
-        .drop("bin", *[f"before_{c}" for c in COUNTS])
+        .drop("part", *[f"before_{c}" for c in COUNTS])
     )
 
 
@@ -64,40 +62,35 @@ def from_value(count: str) -> Column:
 
 @dataclass(frozen=True)
 class Histogram:
-    """Base histogram by cohort, with the bins its running totals use."""
+    """Base histogram by cohort."""
 
     base: DataFrame
-    bins: ScoreBins
 
     def of(self, cohorts: Sequence[int], label: str | None = None) -> Histogram:
         """Some cohorts only; with a label they count as a single cohort."""
         chosen = self.base.filter(is_one_of("cohort", map(str, cohorts)))
-        if label is not None:
-            # Not a plain literal: constants are dropped from partitioning keys, which costs a shuffle.
-            chosen = chosen.withColumn("cohort", F.when(F.col("cohort").isNotNull(), F.lit(label)))
-        return replace(self, base=chosen)
+        return replace(self, base=chosen if label is None else chosen.withColumn("cohort", F.lit(label)))
 
 
-def score_histogram(long_rows: DataFrame, config: MonitorConfig, rows_per_bin: int = ROWS_PER_BIN) -> Histogram:
-    """Histogram of score rows, stored and ready for running totals.
-
-    This is the only scan of the rows. The job that stores the base histogram also counts it; only
-    where that count could make a group too large for one task are bins measured, on the stored
-    table.
-    """
-    size = Observation()
-    base = base_histogram(long_rows, config).observe(size, F.count(F.lit(1)).alias("rows"))
-    base = stored(base, "histogram")
-    if size.get["rows"] <= rows_per_bin:
-        return Histogram(base, ScoreBins())
-    values = base.select("score", "value")
-    if isinstance(base.schema["value"].dataType, T.IntegralType):
-        values = values.distinct()  # a group has one entry per value; whole scores repeat across groups
-    return Histogram(base, measure_bins(values, rows_per_bin))
+def score_histogram(long_rows: DataFrame, config: MonitorConfig, reused: bool = False) -> Histogram:
+    """Histogram of score rows, the only scan of them; stored where more than one step reads it."""
+    base = base_histogram(long_rows, config)
+    return Histogram(stored(base, "histogram") if reused else base)
 
 
 def score_profile(histogram: Histogram, config: MonitorConfig, points: DataFrame | None = None) -> DataFrame:
     """Histogram at all segment levels with running totals."""
-    leveled = leveled_histogram(histogram.base, config, histogram.bins, points)
-    offsets = None if histogram.bins.single else cut_lineage(bin_offsets(leveled))
-    return running_totals(cubed_histogram(leveled), offsets).filter(F.col("total_n") > 0)
+    laid = laid_out(cubed_histogram(leveled_histogram(histogram.base, config, points)))
+    return running_totals(laid, cut_lineage(part_offsets(laid))).filter(F.col("total_n") > 0)
+
+
+def profile_summary(profile: DataFrame, config: MonitorConfig, gap: Column) -> tuple[DataFrame, DataFrame]:
+    """Both things a run needs of a profile, in one pass over it: (largest ``gap`` per group as ``ks``, the
+    profile rows at which a percentile may be reached or a point was placed).
+
+    A group keeps about one row per percentile and point, collected on the map side.
+    """
+    fields = [c for c in profile.columns if c not in GROUP]
+    marked = F.when(F.col("is_point") | may_reach_any(config.scores), F.struct(*fields))
+    summary = cut_lineage(profile.groupBy(*GROUP).agg(F.max(gap).alias("ks"), F.collect_list(marked).alias("marks")))
+    return summary.select(*GROUP, "ks"), summary.select(*GROUP, F.inline("marks"))

@@ -62,6 +62,7 @@ class ScoreSpec:
             dist_percentiles=tuple(params.get("percentis_dist", [])),
             high_tail=params.get("acumula_maiores", True),
             special_values=tuple(SpecialValue(s["valor"], s["significado"]) for s in specials),
+            valid_range=tuple(params["intervalo_valido"]) if "intervalo_valido" in params else None,
         )
 
 
@@ -87,6 +88,7 @@ class MonitorConfig:
     data_folder: str = "./"
     data_prefix: str = "tbl"
     result_folder: str = "./results"
+    only_cohorts: tuple[int, ...] | None = None
     score_names: tuple[str, ...] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -104,7 +106,9 @@ class MonitorConfig:
 
     @property
     def production_cohorts(self) -> tuple[int, ...]:
-        return month_list(self.first_cohort, self.last_cohort)
+        """The months of the period; only those of ``only_cohorts`` where that is given."""
+        months = month_list(self.first_cohort, self.last_cohort)
+        return months if self.only_cohorts is None else tuple(m for m in months if m in self.only_cohorts)
 
     @classmethod
     def from_params(
@@ -134,7 +138,7 @@ class MonitorConfig:
 
 # Column names the result tables use themselves.
 RESERVED_COLUMNS = frozenset(
-    "cohort score level gid value bin n pos neg pctl cutoff tail_n tail_pct base_cutoff base_tail_n "
+    "cohort score level gid value part n pos neg pctl cutoff tail_n tail_pct base_cutoff base_tail_n "
     "base_tail_pct psi ks base_hits prod_hits total_hits base_capture_pct prod_capture_pct".split()
 )
 

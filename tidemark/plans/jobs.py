@@ -8,11 +8,11 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.literals import is_one_of
+from tidemark.functions.literals import cohorts_in, is_one_of
 from tidemark.operators.capture import capture, precision
 from tidemark.operators.cohorts import cohort_list, missing_cohorts, pending_cohorts
 from tidemark.operators.histogram import GROUP, score_rows
-from tidemark.operators.ks import cohort_totals, ks
+from tidemark.operators.ks import cohort_totals, ks, with_gap
 from tidemark.operators.percentiles import (
     baseline_report,
     compared_tails,
@@ -25,17 +25,18 @@ from tidemark.operators.percentiles import (
     tails_of_report,
     tails_under_baseline,
 )
-from tidemark.operators.profile import Histogram, score_histogram, score_profile
+from tidemark.operators.profile import Histogram, profile_summary, score_histogram, score_profile
+from tidemark.operators.segments import level_columns
 from tidemark.operators.psi import cumulative_psi
 from tidemark.plans.config import BASELINE_COHORT, MonitorConfig
-from tidemark.sources.cohort_tables import baseline_csv, cohort_csv, cohort_rows, needed_columns
-from tidemark.sources.results import ResultStore, export_csv, result_schema
-from tidemark.sources.scratch import cut_lineage, stored
+from tidemark.sources.cohort_tables import baseline_csv, cohort_csv, cohort_rows, has_status, needed_columns
+from tidemark.sources.results import ResultStore, csv_path, export_csv, exported, result_schema
+from tidemark.sources.scratch import cut_lineage, scratch_scope
 
 
 @dataclass(frozen=True)
 class Reports:
-    """Results of a run; lazy, over tables the run has already stored."""
+    """Results of a run: small plans over tables that the run has computed and stored."""
 
     percentiles_baseline: DataFrame
     percentiles: DataFrame
@@ -66,7 +67,7 @@ def monitored_histogram(
         )
         wanted = wanted.withColumn(config.cohort_column, F.col(config.cohort_column).cast("string"))
         wanted = wanted.unionByName(labelled)
-    return score_histogram(score_rows(wanted, config), config)
+    return score_histogram(score_rows(wanted, config), config, reused=True)
 
 
 def baseline_tails(histogram: Histogram, config: MonitorConfig) -> DataFrame:
@@ -100,7 +101,8 @@ def percentile_tables(
 
 def ks_table(rows: DataFrame, config: MonitorConfig, totals: str = "segment") -> DataFrame:
     """KS of the monitored cohorts; needs no baseline. ``totals`` is ``segment`` or ``cohort``."""
-    histogram = monitored_histogram(rows, replace(config, baseline_cohorts=()))
+    wanted = cohort_rows(rows, config, config.production_cohorts)
+    histogram = score_histogram(score_rows(wanted, config), config, reused=totals != "segment")
     return ks(score_profile(histogram, config), config.segments, _whole(histogram, totals))
 
 
@@ -151,18 +153,19 @@ def monitor(
         base_tails = baseline_tails(histogram, config)
         base_table = baseline_report(base_tails, segments)
 
-    # Tails and KS both read the profile; storing it saves the second shuffle and sort.
-    profile = stored(production_profile(histogram, config, base_tails), "profile")
-    tails = cut_lineage(production_tails(profile, base_tails, config))
+    whole = _whole(histogram.of(config.production_cohorts), ks_totals)
+    profile, gap = with_gap(production_profile(histogram, config, base_tails), whole)
+    largest, marked = profile_summary(profile, config, gap)
+    tails = cut_lineage(compared_tails(milestones(marked, config), base_tails))
     percentiles = production_report(tails, segments)
     requested = cohort_list(spark, config.production_cohorts)
     # Months without any valid score are reported like months without input.
-    present = profile.select(F.col("cohort").cast("int").alias("cohort"))
+    present = largest.select(F.col("cohort").cast("int").alias("cohort"))
     return Reports(
         percentiles_baseline=base_table,
         percentiles=percentiles,
         psi=cumulative_psi(percentiles, base_table, segments, config.total_label),
-        ks=ks(profile, segments, _whole(histogram.of(config.production_cohorts), ks_totals)),
+        ks=largest.select("cohort", "score", *level_columns(segments), "ks"),
         capture=capture(tails, segments),
         precision=precision(tails, segments),
         missing=missing_cohorts(requested, present),
@@ -192,43 +195,60 @@ def run_and_store(
     if store.exists("percentiles_baseline") and not (config.include_baseline and config.overwrite):
         columns = ["score", *config.segments, "pctl", "cutoff", "tail_n", "tail_pct", "cohort"]
         known = store.read("percentiles_baseline", result_schema(columns, config.segments))
-    reports = monitor(
-        rows.filter(is_one_of(config.cohort_column, (*months, *config.baseline_cohorts))),
-        replace(config, first_cohort=months[0], last_cohort=months[-1]),
-        baseline_rows,
-        known,
-        ks_totals,
-    )
-    if known is None:
-        store.write("percentiles_baseline", reports.percentiles_baseline)
-    for name, table in reports.tables().items():
-        store.write(name, table)
+    # Exactly the pending months, and the baseline's only where it is computed: finished ones stay as they are.
+    read = (*months, *(config.baseline_cohorts if known is None else ()))
+    with scratch_scope(spark):
+        reports = monitor(
+            rows.filter(cohorts_in(rows, config.cohort_column, read)),
+            replace(config, only_cohorts=tuple(months)),
+            baseline_rows,
+            known,
+            ks_totals,
+        )
+        if known is None:
+            store.write("percentiles_baseline", reports.percentiles_baseline)
+        for name, table in reports.tables().items():
+            store.write(name, table)
     return months
 
 
-def monitor_files(spark: SparkSession, execution_path: str, monitoring_path: str) -> Reports:
-    """The file-based run: two JSON parameter documents in, one CSV directory per result and cohort out."""
+def monitor_files(spark: SparkSession, execution_path: str, monitoring_path: str) -> list[int]:
+    """The file-based run: two JSON parameter documents in, one CSV directory per result and cohort out.
+
+    Months that have all results are left alone unless ``overwrite_percentis`` says so; likewise the
+    baseline's percentiles, which also stand in where there is no baseline file. Scores with configured
+    special values and no status column in the files have their status derived. Returns the months
+    that were written.
+    """
     config = MonitorConfig.from_files(execution_path, monitoring_path, cohort_column="safra")
-    rows = cohort_csv(spark, config, config.production_cohorts)
+    names = ("percentiles", "psi", "capture", "ks")
+
+    def complete(month: int) -> bool:
+        return all(exported(spark, f"{csv_path(n, config.result_folder, month)}/_SUCCESS") for n in names)
+
+    pending = [c for c in config.production_cohorts if config.overwrite or not complete(c)]
+    if not pending:
+        return []
+    config = replace(config, only_cohorts=tuple(pending), derive_status=not has_status(spark, config, pending))
     baseline = known = None
-    if config.include_baseline:
+    is_stored = exported(spark, csv_path("percentiles", config.result_folder, BASELINE_COHORT))
+    if config.include_baseline and (config.overwrite or not is_stored):
         baseline = baseline_csv(spark, config)
-    else:
+    if baseline is None:
         known = stored_baseline_csv(spark, config)
-    reports = monitor(rows, config, baseline, known, ks_totals="cohort")
-    if config.include_baseline:
-        export_csv("percentiles", reports.percentiles_baseline, config.result_folder, [BASELINE_COHORT])
-    # The loop below writes month by month; without this each month would compute KS anew.
-    reports = replace(reports, ks=cut_lineage(reports.ks))
-    missing = {r["cohort"] for r in reports.missing.collect()}
-    months = [str(c) for c in config.production_cohorts if c not in missing]
-    for name in ("percentiles", "psi", "ks", "capture"):
-        export_csv(name, reports.tables()[name], config.result_folder, months)
-    return reports
+    with scratch_scope(spark):
+        reports = monitor(cohort_csv(spark, config, pending), config, baseline, known, ks_totals="cohort")
+        if baseline is not None:
+            export_csv("percentiles", reports.percentiles_baseline, config.result_folder, [BASELINE_COHORT])
+        missing = {r["cohort"] for r in reports.missing.collect()}
+        months = [c for c in pending if c not in missing]
+        for name in names:  # small stored tables, so a month costs no more than its rows
+            export_csv(name, cut_lineage(reports.tables()[name]), config.result_folder, map(str, months))
+    return months
 
 
 def stored_baseline_csv(spark: SparkSession, config: MonitorConfig) -> DataFrame:
     """The baseline percentile table an earlier file-based run exported."""
     columns = ["score", "cohort", *config.segments, "pctl", "cutoff", "tail_n", "tail_pct"]
-    path = f"{config.result_folder.rstrip('/')}/percentis_baseline.csv"
+    path = csv_path("percentiles", config.result_folder, BASELINE_COHORT)
     return spark.read.option("header", True).schema(result_schema(columns, config.segments)).csv(path)

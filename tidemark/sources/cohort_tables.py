@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.literals import is_one_of
+from tidemark.functions.literals import cohorts_in
 from tidemark.plans.config import BASELINE_COHORT, MonitorConfig
 
 
-def input_schema(config: MonitorConfig, score_type: T.DataType = T.IntegerType()) -> T.StructType:
-    """The columns a run reads from cohort files, for when no schema is given."""
+def input_schema(config: MonitorConfig, score_type: T.DataType = T.DoubleType()) -> T.StructType:
+    """The columns a run reads from cohort files; scores may be fractional."""
     fields = [T.StructField(s, T.StringType()) for s in config.segments]
     fields += [T.StructField(s.name, score_type) for s in config.scores]
     if not config.derive_status:
@@ -32,7 +35,7 @@ def cohort_table(spark: SparkSession, name: str, config: MonitorConfig, cohorts:
 
 
 def cohort_rows(rows: DataFrame, config: MonitorConfig, cohorts: Iterable[int]) -> DataFrame:
-    return rows.filter(is_one_of(config.cohort_column, cohorts)).select(*needed_columns(config))
+    return rows.filter(cohorts_in(rows, config.cohort_column, cohorts)).select(*needed_columns(config))
 
 
 def baseline_rows(rows: DataFrame, config: MonitorConfig) -> DataFrame:
@@ -41,41 +44,97 @@ def baseline_rows(rows: DataFrame, config: MonitorConfig) -> DataFrame:
     return chosen.withColumn(config.cohort_column, F.lit(BASELINE_COHORT))
 
 
-def cohort_csv(
-    spark: SparkSession, config: MonitorConfig, cohorts: Iterable[int], schema: T.StructType | None = None
-) -> DataFrame:
-    """All cohort files ``<folder>/<prefix>_<YYYYMM>.csv`` as one table, in one read.
+def cohort_tables(spark: SparkSession, pattern: str, config: MonitorConfig, cohorts: Iterable[object]) -> DataFrame:
+    """One catalog table per cohort, named by ``pattern`` with ``{cohort}``; the cohort is the table's.
 
-    The cohort comes from the path, and the alternation in the glob lists requested months only, so
-    a month without a file is simply absent. The header names the columns in the files' order.
+    A cohort without a table is absent. Also reads a baseline table: its cohort is ``baseline``.
     """
-    wanted = ",".join(str(c) for c in cohorts)
-    path = f"{config.data_folder.rstrip('/')}/{config.data_prefix}_{{{wanted}}}.csv"
-    files = _csv(spark, path, schema, config)
-    in_path = rf"{config.data_prefix}_(\d{{6}})\.csv"
-    cohort = F.regexp_extract("_metadata.file_path", in_path, 1).cast("int")
-    return files.select(cohort.alias(config.cohort_column), *_without_cohort(files, config))
-
-
-def baseline_csv(spark: SparkSession, config: MonitorConfig, schema: T.StructType | None = None) -> DataFrame:
-    """The baseline file ``<folder>/<prefix>_baseline.csv``."""
-    path = f"{config.data_folder.rstrip('/')}/{config.data_prefix}_{BASELINE_COHORT}.csv"
-    files = _csv(spark, path, schema, config)
-    return files.select(F.lit(BASELINE_COHORT).alias(config.cohort_column), *_without_cohort(files, config))
-
+    found = [(c, name) for c in cohorts if spark.catalog.tableExists(name := pattern.format(cohort=c))]
+    columns = [c for c in needed_columns(config) if c != config.cohort_column]
+    tables = [spark.table(name).select(_cohort(c, config), *columns) for c, name in found]
+    return _stacked(spark, tables, config)
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType | None, config: MonitorConfig) -> DataFrame:
-    reader = spark.read.option("header", True)
-    if schema is None:
-        # Names from the header, types from the config: no inference pass over the data.
-        known = {f.name: f.dataType for f in input_schema(config).fields}
-        text = reader.option("inferSchema", False).csv(path)
-        return text.select(*[F.col(c).cast(t).alias(c) for c, t in known.items()], "_metadata")
-    return reader.option("enforceSchema", False).schema(schema).csv(path).select("*", "_metadata")
 
+def cohort_csv(
+    spark: SparkSession, config: MonitorConfig, cohorts: Iterable[int], schema: T.StructType | None = None
+) -> DataFrame:
+    """All cohort files ``<folder>/<prefix>_<YYYYMM>.csv`` as one table.
 
-def _without_cohort(files: DataFrame, config: MonitorConfig) -> list[str]:
-    return [c for c in files.columns if c not in (config.cohort_column, "_metadata")]
+    Every month is read by its own header, so months may order their columns differently; months with
+    the same header are one read. The headers are the only thing read ahead. A month without a file is
+    absent; without any the table is empty. Types: ``schema``, else that of ``input_schema``; whole
+    numbers may be written as ``1.0``.
+    """
+    by_header: dict[tuple[str, ...], dict[int, str]] = defaultdict(dict)
+    for cohort in cohorts:
+        path = _csv_path(config, cohort)
+        header = _header(spark, path)
+        if header is not None:
+            by_header[header][cohort] = path
+    tables = []
+    in_path = r"_(\d{6})\.csv(/[^/]*)?$"
+    for paths in by_header.values():
+        cohort = F.regexp_extract("_metadata.file_path", in_path, 1).cast("int").alias(config.cohort_column)
+        text = spark.read.option("header", True).option("inferSchema", False).csv([*paths.values()])
+        tables.append(text.select(cohort, *_typed(text, config, schema)))
+    return _stacked(spark, tables, config, schema)
+
+
+def baseline_csv(spark: SparkSession, config: MonitorConfig, schema: T.StructType | None = None) -> DataFrame | None:
+    """The baseline file ``<folder>/<prefix>_baseline.csv``; None where there is none."""
+    path = _csv_path(config, BASELINE_COHORT)
+    if _header(spark, path) is None:
+        return None
+    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return text.select(_cohort(BASELINE_COHORT, config), *_typed(text, config, schema))
+
+
+def _csv_path(config: MonitorConfig, cohort: object) -> str:
+    """The path of a cohort's file, taken as it is: signs that would make it a pattern are escaped."""
+    escaped = re.sub(r"([\[\]{}*?\\])", r"\\\1", f"{config.data_folder.rstrip('/')}/{config.data_prefix}")
+    return f"{escaped}_{cohort}.csv"
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """Column names of a CSV file or directory; None where there is none."""
+    try:
+        return tuple(spark.read.option("header", True).option("inferSchema", False).csv(path).columns)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def has_status(spark: SparkSession, config: MonitorConfig, cohorts: Iterable[int]) -> bool:
+    """Whether the files of the cohorts bring a status for each score; told from their headers."""
+    headers = filter(None, (_header(spark, _csv_path(config, c)) for c in cohorts))
+    return all(s.status_column in header for header in headers for s in config.scores)
+
+
+def _typed(text: DataFrame, config: MonitorConfig, schema: T.StructType | None) -> list[Column]:
+    columns = []
+    for f in (schema or input_schema(config)).fields:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.IntegralType):
+            value = value.cast("double")
+        columns.append(value.cast(f.dataType).alias(f.name))
+    return [c for c, f in zip(columns, (schema or input_schema(config)).fields) if f.name != config.cohort_column]
+
+
+def _cohort(cohort: object, config: MonitorConfig) -> Column:
+    return F.lit(cohort).alias(config.cohort_column)
+
+
+def _stacked(
+    spark: SparkSession, tables: list[DataFrame], config: MonitorConfig, schema: T.StructType | None = None
+) -> DataFrame:
+    if not tables:
+        fields = [f for f in (schema or input_schema(config)).fields if f.name != config.cohort_column]
+        return spark.createDataFrame([], T.StructType([T.StructField(config.cohort_column, T.IntegerType()), *fields]))
+    stacked = tables[0]
+    for table in tables[1:]:
+        stacked = stacked.unionByName(table)
+    return stacked
 
 
 def write_cohort_csv(rows: DataFrame, config: MonitorConfig, cohorts: Iterable[int]) -> None:

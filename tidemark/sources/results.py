@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans.config import BASELINE_COHORT
+from tidemark.sources.scratch import scratch_path
 
 # The CSV layout existing consumers read. Per result, the directory prefix and the
 # column names of each of our columns.
@@ -86,13 +87,7 @@ class ResultStore:
         return stored.withColumn("cohort", F.col("cohort").cast("string"))
 
     def exists(self, result: str) -> bool:
-        try:
-            self.spark.read.format("text").load(self.path(result))
-            return True
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
+        return exported(self.spark, self.path(result))
 
     def cohorts(self, result: str) -> DataFrame:
         """Cohorts already stored, told from the partition directories."""
@@ -109,14 +104,29 @@ def save_table(table: DataFrame, name: str) -> None:
     if not spark.catalog.tableExists(name):
         table.write.partitionBy("cohort").saveAsTable(name)
         return
-    # Inserting into a table takes the overwrite mode from the session, not from a write option.
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
+    # A session of its own: inserting takes the overwrite mode from the session, not from a write option.
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    columns = spark.table(name).columns
+    path = scratch_path(spark, "table")
+    table.select(*columns).write.parquet(path)
+    own.read.schema(table.select(*columns).schema).parquet(path).write.insertInto(name, overwrite=True)
+
+
+def exported(spark: SparkSession, path: str) -> bool:
+    """Whether an earlier run has completed this CSV directory."""
     try:
-        table.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+        spark.read.format("text").load(path)
+        return True
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+def csv_path(result: str, folder: str, cohort: object) -> str:
+    name = "percentis_baseline" if cohort == BASELINE_COHORT else f"{CSV_NAMES[result]}_{cohort}"
+    return f"{folder.rstrip('/')}/{name}.csv"
 
 
 def export_csv(result: str, table: DataFrame, folder: str, cohorts: Iterable[str]) -> list[str]:
@@ -124,8 +134,7 @@ def export_csv(result: str, table: DataFrame, folder: str, cohorts: Iterable[str
     renamed = table.withColumnsRenamed({k: v for k, v in CSV_COLUMNS.items() if k in table.columns})
     paths = []
     for cohort in cohorts:
-        name = "percentis_baseline" if cohort == BASELINE_COHORT else f"{CSV_NAMES[result]}_{cohort}"
-        path = f"{folder.rstrip('/')}/{name}.csv"
+        path = csv_path(result, folder, cohort)
         one = renamed.filter(F.col(CSV_COLUMNS["cohort"]) == str(cohort))
         one.write.mode("overwrite").option("header", True).csv(path)
         paths.append(path)

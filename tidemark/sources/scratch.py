@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPE: ContextVar[list[str] | None] = ContextVar("tidemark_scratch", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only for a local session without one."""
+    """The session's ``spark.checkpoint.dir``; without one, a folder below the warehouse."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if folder is None:
-        if context.getCheckpointDir() is not None:
-            return context.getCheckpointDir()
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
+        folder = context.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidemark-scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -25,7 +25,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder, for tables a job writes and reads back."""
-    return f"{shared_folder(spark).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Whatever is stored inside is deleted at the end; results must have been written by then."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+            path.getFileSystem(hadoop).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -37,5 +55,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Compute a small result once: later steps neither repeat the work nor depend on living executors."""
+    if _SCOPE.get() is not None:
+        return stored(df, "step")
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
