@@ -27,11 +27,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         lowered = labels.join(seen, labels["node"] == seen["a"]).select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
-        lowered = cut_lineage(lowered)
-        roots = lowered.select(F.col("node").alias("root"), F.col("label").alias("root_label"))
-        jumped = cut_lineage(
-            lowered.join(roots, F.col("label") == F.col("root")).select("node", "old", F.col("root_label").alias("label"))
-        )
+        roots = labels.select(F.col("node").alias("root"), F.col("label").alias("root_label"))
+        jumped = lowered.join(roots, F.col("label") == F.col("root"))
+        jumped = cut_lineage(jumped.select("node", "old", F.least("label", "root_label").alias("label")))
         labels = jumped.select("node", "label")
         if jumped.filter("old <> label").isEmpty():
             return labels.withColumnRenamed("label", "component")

@@ -344,13 +344,12 @@ def shingle_groups(
     placed = cut_lineage(_grouped(homes, links).select("node", "query", "component"))
     by_part = parts.join(placed, "node").select("part", "node", "component", "query")
     pairs = _pairs_apart(by_part, F.col("a.query") != F.col("b.query"))
-    links = links.union(_searched(stored(pairs.distinct(), "pairs"), sets, threshold))
-    spread = _grouped(away, links).select("query", "node", "surplus", "away", "component")
-    shared = stored(spread, "spread").select("*", F.explode("away").alias("part"))
+    spread = away.join(placed.select("node", "component"), "node")
+    shared = spread.select("query", "node", "surplus", "component", F.explode("away").alias("part"))
     heads = shared.groupBy("query", "part").agg(F.min(F.struct("surplus", "node", "component")).alias("head"))
     stars = shared.join(heads, ["query", "part"]).filter(F.col("component") != F.col("head.component"))
-    stars = stars.select(F.col("head.node").alias("query"), "node").distinct()
-    links = links.union(_searched(stored(stars, "pairs"), sets, threshold))
+    pairs = pairs.union(stars.select(F.col("head.node").alias("query"), "node")).distinct()
+    links = links.union(_searched(stored(pairs, "pairs"), sets, threshold))
     differing = stored(_grouped(away, links).select("query", "node", "surplus", "away", "component"), "spread")
     rarest = _rarest_differences(differing, threshold)
     most = (1 + F.least("a.after", "b.after")) * (2 * (100 + threshold))  # if this is their first in common
