@@ -82,7 +82,7 @@ def grow_tree(x: np.ndarray, leaf: int, random: np.random.Generator) -> Tree:
         return -leaves
 
     grow(np.arange(len(x)))
-    return Tree(np.array(normals).reshape(len(cuts), -1), np.array(cuts), np.array(children, np.int64).reshape(-1, 2), leaves)
+    return Tree(np.array(normals, float).reshape(len(cuts), x.shape[1]), np.array(cuts), np.array(children, np.int64).reshape(-1, 2), leaves)
 
 
 def visited_leaves(trees: list[Tree], query: np.ndarray, share: float) -> list[np.ndarray]:
@@ -173,7 +173,7 @@ def nearest_neighbours(
     """(query_id, rank, vec_id, score): the ``k`` best candidates of each query, its own id left out."""
     usable = vector_rows(rows, id_col, vector_col)
     sample = usable.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").collect()
-    trees = fitted_forest(np.array([r[0] for r in sample], float).reshape(len(sample), -1))
+    trees = fitted_forest(np.array([r[0] for r in sample], float) if sample else np.zeros((0, 1)))
     kind = "id long, vector array<double>, marks binary, cell long"
     index = stored(usable.mapInArrow(_indexed(trees, share, False), kind), "leaves")
     asked = vector_rows(queries, id_col, vector_col).repartition("id").mapInArrow(_indexed(trees, share, True), kind)
