@@ -114,8 +114,9 @@ def test_suffix_dedup_edges(clashing, odd_docs):
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(2)
     for letters in (b"ab", b"abc", b"a", b"abcdefgh"):
-        data = bytes(rng.choice(list(letters), 400)) + b"\xff" + bytes(rng.choice(list(letters), 300)) + b"\xff"
-        order = suffix_sort.suffix_array(data, 1000).tolist()
+        one, two = (rng.choice(list(letters), n).astype(np.uint8).tobytes() for n in (400, 300))
+        data = one + b"\xff" + two + b"\xff"
+        order = suffix_sort.suffix_array(data, len(data)).tolist()
         assert order == sorted(range(len(data)), key=lambda p: data[p:])
 
 
