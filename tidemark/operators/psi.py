@@ -27,9 +27,12 @@ def cumulative_psi(
         "score", "cohort", level.alias("level"), "pctl", (F.col("base_tail_pct") + SMOOTHING).alias("p")
     )
     expected = baseline.select("score", level.alias("level"), "pctl", (F.col("tail_pct") + SMOOTHING).alias("q"))
+    term = ((F.col("p") - F.col("q")) * F.ln(F.col("p") / F.col("q"))).alias("term")
+    # One term per percentile of the plan, added in their order: the last digit does not depend on the layout.
+    terms = F.array_sort(F.collect_list(F.struct("pctl", term)))
     return (
         monitored.join(expected, ["score", "level", "pctl"])
         .groupBy("score", "cohort", "level")
-        .agg(F.sum((F.col("p") - F.col("q")) * F.ln(F.col("p") / F.col("q"))).alias("psi"))
+        .agg(F.aggregate(terms, F.lit(0.0), lambda total, t: total + t["term"]).alias("psi"))
         .select("score", "cohort", *level_columns(segments), "psi")
     )

@@ -64,10 +64,11 @@ class ResultStore:
         """Replace the cohorts the table holds; other stored cohorts stay as they are.
 
         Rows are first brought together by cohort, which keeps the files few; the rebalance splits a
-        cohort that is too large for one task.
+        cohort that is too large for one task. Cut-offs are doubles in every cohort, whatever the scores.
         """
+        cutoffs = {c: F.col(c).cast("double") for c in ("cutoff", "base_cutoff") if c in table.columns}
         (
-            table.withColumn("cohort", F.col("cohort").cast("string"))
+            table.withColumns(cutoffs | {"cohort": F.col("cohort").cast("string")})
             .hint("rebalance", "cohort")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
