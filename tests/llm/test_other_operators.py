@@ -219,6 +219,26 @@ def test_impure_templates_are_rejected(spark):
     assert {r.template for r in found if "/words/" in r.path} <= {"/words/*/#", "/words/*/~", "/~/*/#"}
 
 
+@pytest.mark.parametrize("siblings", [11, 12, 40])
+def test_siblings_do_not_hide_a_bad_section(spark, siblings):
+    names = ["s" + "abcdefghij"[i // 10] + "abcdefghij"[i % 10] for i in range(siblings)]
+    rows = [(i, f"http://h/bad/{i}", 0) for i in range(100)] + [(i, f"http://h/{n}/{i}", 1) for n in names for i in range(80)]
+    rows += [(1, "http://h/rare/1", None), (1, "http://h/bad/900", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, label int")
+    found = {(r.path.split("/")[1], r.template, r.verdict) for r in url_templates.judge_urls(pages).collect()}
+    assert {x for x in found if x[0] == "bad"} == {("bad", "/bad/#", "block")}
+    assert {v for n, _, v in found if n != "bad"} == {"allow"}
+    assert {t for n, t, _ in found if n == "rare"} == {"/~/#" if siblings < 11 else "/*/#"}
+
+
+def test_deep_branches_have_their_own_purity(spark):
+    rows = [(i, f"http://h/a/b/c/d/{n}/x/{i}", int(n == "good")) for n in ("good", "bad") for i in range(100)]
+    rows += [(1, "http://h/a/b/c/d/bad/x/777", None), (1, "http://h/a/b/c/d/good/x/777", None), (1, "http://g/" + "q/" * 60, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, label int")
+    found = {(r.template, r.verdict) for r in url_templates.judge_urls(pages).collect()}
+    assert found >= {("/a/b/c/d/good/x/#", "allow"), ("/a/b/c/d/bad/x/#", "block")} and len(found) == 3
+
+
 def test_revisits(spark):
     head = {"Content-Type": "text/html", "Date": "1"}
     rows = [

@@ -1,12 +1,14 @@
 """URL verdicts from a tree of path templates per host, with DataFrame functions only.
 
 Digits in path segments become ``#``, so pages of one kind share a shape, and everything after that
-works on one row per (host, shape). The tree of a host is grown level by level: under each node
+works on one row per (host, shape). The tree of a host is grown level by level, to the last segment:
 
-* a node with more than ``MAX_CHILDREN`` children has variable segments: they become ``*``;
 * children whose share of good labels does not differ from that of all their siblings (a z-test on
-  the counts) are one branch, ``~``; the others keep their literal segment;
-* what lies below ``DEPTH`` segments is one variable tail, ``**``.
+  the counts; children without labels never differ) are one branch; the others keep their literal
+  segment, however many siblings there are;
+* the branch is written ``*`` under a node with more than ``MAX_CHILDREN`` children and ``~`` under
+  others, which says how variable the segment is and decides nothing;
+* a shape that no other shares its node with has one child a level, so the rest of it is literal.
 
 A template's purity is its share of good labels, smoothed by its host's, which is smoothed by that of
 all urls. Templates under ``MIN_PURITY`` are rejected. Explicit rules go first: the longest that fits
@@ -20,6 +22,7 @@ on its own row; other columns pass through, those named like a result column are
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import as_table
 from tidemark.sources.scratch import cut_lineage
 
+#: Levels that ``ORACLE_SQL`` unrolls; the operator has no such limit.
 DEPTH = 4
 MAX_CHILDREN = 12
 Z = 1.96
@@ -66,45 +70,43 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
 
 
 def _shapes(path: Column) -> Column:
-    """The path's segments with runs of digits as ``#``, at most ``DEPTH`` and then ``**``."""
-    parts = F.filter(F.split(F.regexp_replace(path, "[0-9]+", "#"), "/"), lambda s: s != "")
-    tail = F.when(F.size(parts) > DEPTH, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.slice(parts, 1, DEPTH), tail)
+    """The path's segments with runs of digits as ``#``."""
+    return F.filter(F.split(F.regexp_replace(path, "[0-9]+", "#"), "/"), lambda s: s != "")
 
 
 def path_templates(shapes: DataFrame) -> DataFrame:
     """(host, shape, template) from (host, shape, labelled, good), one row per host and shape."""
-    tree = shapes.select("host", "shape", "labelled", "good", F.lit("").alias("node"))
-    for level in range(DEPTH + 1):
-        segment = F.when(F.size("shape") > level, F.element_at("shape", F.least(F.size("shape"), F.lit(level + 1))))
-        at = tree.withColumn("segment", segment)
-        kids = (
-            at.filter("segment is not null")
-            .groupBy("host", "node", "segment")
-            .agg(F.sum("labelled").alias("n"), F.sum("good").alias("g"))
+    columns = ["host", "shape", "labelled", "good", "node"]
+    tree = cut_lineage(shapes.select(*columns[:-1], F.lit("").alias("node")))
+    ended, growing, level = [tree.filter("size(shape) = 0")], tree.filter("size(shape) > 0"), 0
+    while True:
+        at = growing.withColumn("segment", F.element_at("shape", level + 1))
+        kids = at.groupBy("host", "node", "segment").agg(
+            F.sum("labelled").alias("n"), F.sum("good").alias("g"), F.count("*").alias("shapes")
         )
         pool = kids.groupBy("host", "node").agg(
-            F.count("*").alias("children"), F.sum("n").alias("all_n"), F.sum("g").alias("all_g")
-        )
+            F.count("*").alias("children"), F.sum("n").alias("all_n"), F.sum("g").alias("all_g"),
+            F.sum("shapes").alias("all_shapes"),
+        )
         share = (F.col("all_g") + 1.0) / (F.col("all_n") + 2.0)
         gap = F.col("g") - F.col("n") * share
         alike = gap * gap <= F.lit(Z * Z) * F.col("n") * share * (1.0 - share)
-        token = (
-            F.when(F.col("segment") == "**", F.col("segment"))
-            .when(F.col("children") > MAX_CHILDREN, F.lit("*"))
-            .when((F.col("children") > 1) & alike, F.lit("~"))
-            .otherwise(F.col("segment"))
-        )
-        tokens = kids.join(pool, ["host", "node"]).select("host", "node", "segment", token.alias("token"))
-        grown = at.join(tokens, ["host", "node", "segment"], "left").select(
-            "host",
-            "shape",
-            "labelled",
-            "good",
-            F.concat("node", F.coalesce(F.concat(F.lit("/"), "token"), F.lit(""))).alias("node"),
+        token = F.when(
+            (F.col("children") > 1) & alike, F.when(F.col("children") > MAX_CHILDREN, "*").otherwise("~")
+        ).otherwise(F.col("segment"))
+        tokens = kids.join(pool, ["host", "node"]).select("host", "node", "segment", token.alias("token"), "all_shapes")
+        rest = F.array_join(F.slice("shape", level + 1, F.size("shape")), "/")
+        alone = F.col("all_shapes") == 1
+        grown = at.join(tokens, ["host", "node", "segment"]).select(
+            *columns[:-1],
+            F.concat("node", F.lit("/"), F.when(alone, rest).otherwise(F.col("token"))).alias("node"),
+            (alone | (F.size("shape") == level + 1)).alias("ends"),
         )
-        tree = cut_lineage(grown)  # each level reads the one above twice
-    return tree.withColumnRenamed("node", "template")
+        grown = cut_lineage(grown)  # each level reads the one above twice
+        ended.append(grown.filter("ends").select(columns))
+        growing, level = grown.filter("not ends").select(columns), level + 1
+        if growing.isEmpty():
+            return reduce(DataFrame.unionByName, ended).withColumnRenamed("node", "template")
 
 
 def template_purity(tree: DataFrame) -> DataFrame:
