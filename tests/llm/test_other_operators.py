@@ -84,6 +84,25 @@ def test_patterns_of_clauses():
     assert matched("vexnuts and unzorkel") == set() == matched("")
 
 
+GERMAN = "Die Frau, die er sah, will die Stadt. Das ist die, die sie und ihr Mann kennen. So ist es eben die\nalte. " * 30
+
+
+def test_german_articles_are_no_threats(labelled):
+    grammar = toxicity.Grammar({}, {})
+    assert not grammar.features(GERMAN).any()
+    for text in ("I hope you die", "You'll die", "they all deserve to die", "he will die"):
+        assert grammar.features(text)[1:].sum() > 0
+    assert grammar.features("you, will you kill the man")[1:].sum() > 0
+    docs, labels = labelled
+    german = docs.withColumn("text", F.concat(F.lit(GERMAN), "text"))
+    clean = docs.limit(1).select(F.lit(GERMAN).alias("text"))
+    fitted = toxicity.fit_toxicity(german, labels)
+    threats = [toxicity.PATTERNS.index(p) + 1 for p in ("threat", "aimed_threat")]
+    assert np.allclose(fitted.weights[threats], toxicity.PRIOR_WEIGHTS[[i - 1 for i in threats]])
+    for model in (toxicity.fit_toxicity(docs, labels.filter("label = 1")), fitted):
+        assert clean.select(toxicity.toxicity_score("text", model).alias("s")).first().s < toxicity.THRESHOLD
+
+
 def test_composition_follows_every_part():
     parts = [toxicity._latch("I", 2), toxicity._negated_insult(3), toxicity._reported_first()]
     table, states = toxicity.composed(parts)

@@ -47,7 +47,7 @@ NEGATION_REACH = 3
 
 # Word lists of the fixed transducers, in English, French, German and Spanish.
 THREATS = frozenset(
-    "kill hurt destroy attack murder shoot stab burn beat punish die tuer frapper mourir crever töten umbringen "
+    "kill hurt destroy attack murder shoot stab burn beat punish tuer frapper mourir crever töten umbringen "
     "schlagen sterben matar golpear morir".split()
 )
 TARGETS = frozenset(
@@ -62,6 +62,14 @@ REPORTS = frozenset(
     "said says say told wrote writes called calls claimed claims quoted quote reported according dit disait appelle "
     "selon sagte sagt schrieb nannte laut dijo dice llamó según".split()
 )
+#: ``die`` is also the German article and relative pronoun, and there is no language input. It is a threat after
+#: an English pronoun only, with nothing but helping words between them (``you will die``, ``they deserve to die``).
+DIE = "die"
+DIERS = frozenset("you he she him they them those people you'll they'll".split())
+HELPERS = frozenset(
+    "will would shall should must can could may might ought deserve deserves need needs have has going gonna to all both "
+    "just now soon slowly".split()
+)
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»]")
 _QUOTES = frozenset("\"“”«»")
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
@@ -132,6 +140,14 @@ def composed(parts: list[Transducer]) -> tuple[list[dict[str, int]], list[tuple[
     return table, states
 
 
+def somebody_dies(words: list[str], i: int) -> bool:
+    """Whether the ``die`` at ``i`` is the English verb of a pronoun before it."""
+    before = i - 1
+    while before >= 0 and words[before] in HELPERS:
+        before -= 1
+    return before >= 0 and words[before].replace("’", "'") in DIERS
+
+
 class Grammar:
     """The composed automaton with a lexicon of insults: words and word beginnings with their log-odds."""
 
@@ -141,7 +157,7 @@ class Grammar:
         machines = [_latch("I", 2), _latch("T"), _latch("P"), _negated_insult(NEGATION_REACH), _reported_first()]
         self.table, states = composed(machines)
         self.patterns = [self._pattern(*state) for state in states]
-        heads = sorted([*(re.escape(w) + r"\b" for w in [*words, *THREATS]), *map(re.escape, stems)], key=len, reverse=True)
+        heads = sorted([*(re.escape(w) + r"\b" for w in [*words, *THREATS, DIE]), *map(re.escape, stems)], key=len, reverse=True)
         self.trigger = re.compile(r"(?<![^\W\d_])(?:" + "|".join(heads) + ")")
 
     @staticmethod
@@ -164,12 +180,13 @@ class Grammar:
     def clause(self, text: str) -> tuple[float, np.ndarray]:
         """Strongest insult and matched patterns of one clause in lower case."""
         state, strongest = 0, 0.0
-        for word in _WORD.findall(text):
+        words = _WORD.findall(text)
+        for i, word in enumerate(words):
             weight = self.insult(word)
             strongest = max(strongest, weight)
             if weight > 0:
                 symbol = "I"
-            elif word in THREATS:
+            elif word in THREATS or (word == DIE and somebody_dies(words, i)):
                 symbol = "T"
             elif word in TARGETS:
                 symbol = "P"
