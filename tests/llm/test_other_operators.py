@@ -286,6 +286,19 @@ def test_revisits(spark):
     assert all(r.base_id == r.record_id // 97 * 97 for r in hot)
 
 
+def test_revisits_of_index_pages(spark):
+    urls = ["http://a/", "http://a/index.html", "http://a/d/index.php?b=1", "http://a/d?b=1", "http://a/myindex.html", "http://a/index.html/x"]
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "record_id long, url string")
+    names = [r.c for r in frame.select("record_id", warc_revisits.canonical_url(F.col("url")).alias("c")).orderBy("record_id").collect()]
+    assert names == ["http://a", "http://a", "http://a/d?b=1", "http://a/d?b=1", "http://a/myindex.html", "http://a/index.html/x"]
+    records = frame.filter("record_id < 2").selectExpr(
+        "record_id", "url", "record_id AS ts", "IF(record_id = 0, 200, 304) AS status", "'e' AS etag", "CAST(NULL AS LONG) AS last_modified",
+        "CAST(NULL AS MAP<STRING,STRING>) AS headers", "CAST(record_id AS STRING) AS digest",
+    )
+    found = warc_revisits.resolve_revisits(records).filter("record_id = 1").first()
+    assert (found.outcome, found.base_id) == ("resolved", 0)
+
+
 # --- the pipeline ----------------------------------------------------------------------------
 
 

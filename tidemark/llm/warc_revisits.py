@@ -26,6 +26,8 @@ from tidemark.sources.scratch import stored
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 #: Query parameters that do not select a resource. Fixed values.
 TRACKING = "^(utm_[^=]*|gclid|fbclid|ref)="
+#: Names of a folder's own page at the path's end. ``ORACLE_SQL`` does not know them; the tables have none.
+INDEX_PAGE = "/index[.](html?|php)/*$"
 
 
 def canonical_url(url: Column) -> Column:
@@ -34,7 +36,8 @@ def canonical_url(url: Column) -> Column:
     scheme = F.lower(F.regexp_extract(parts, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
     host = F.lower(F.regexp_extract(parts, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1))
     host = F.regexp_replace(host, ":(80|443)$", "")
-    path = F.regexp_replace(F.regexp_extract(parts, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), "/+$", "")
+    path = F.regexp_extract(parts, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1)
+    path = F.regexp_replace(F.regexp_replace(path, INDEX_PAGE, "/"), "/+$", "")
     query = F.split(F.regexp_extract(parts, "[?](.*)$", 1), "&")
     kept = F.array_join(F.array_sort(F.filter(query, lambda q: (q != "") & ~q.rlike(TRACKING))), "&")
     joined = F.concat(scheme, F.lit("://"), host, path, F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept)))
