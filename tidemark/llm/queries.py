@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     cover_tree,
     line_dedup,
+    merkle_manifest,
     ngram_join,
     packing,
     projection_forest,
+    source_divergence,
+    source_mixing,
     suffix_dedup,
     toxicity,
     url_templates,
@@ -91,6 +94,18 @@ def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumnRenamed("id", "vec_id")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.taken_words(source_mixing.mix_sources(table(spark, sf_dir, "documents")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.merkle_manifest(table(spark, sf_dir, "documents")).drop("copies")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -103,6 +118,9 @@ def queries() -> dict[str, Query]:
         "op8_url_templates": op8_url_templates,
         "op9_word_automaton": op9_word_automaton,
         "op10_cover_tree": op10_cover_tree,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_source_mixing": op12_source_mixing,
+        "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -112,4 +130,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_line_dedup": line_dedup.ORACLE_SQL,
         "op2_warc_revisits": warc_revisits.ORACLE_SQL,
         "op8_url_templates": url_templates.ORACLE_SQL,
+        "op11_source_divergence": source_divergence.ORACLE_SQL,
+        "op12_source_mixing": source_mixing.ORACLE_SQL,
+        "op13_merkle_manifest": merkle_manifest.ORACLE_SQL,
     }
