@@ -2,8 +2,8 @@
 
 The main fixture turns ``lineitem`` into scored rows: month of shipping as cohort, return flag and
 line status as segments, two integer scores (one risky at the high end, one at the low end) and a
-binary response. The months of 1995 are the baseline, all later months are monitored, so every query
-works on the whole table.
+binary response. The months of 1995 are the baseline, all later months up to the last one in the table are
+monitored, so every query works on the whole table.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import os
 import sys
 from collections.abc import Callable
 from dataclasses import replace
+from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -36,6 +37,7 @@ from tidemark.plans.jobs import (
     capture_table,
     ks_table,
     monitor,
+    monitor_files,
     monitored_histogram,
     percentile_tables,
     production_profile,
@@ -45,20 +47,24 @@ from tidemark.plans.jobs import (
 from tidemark.plans.percentile_plan import percentile_plan as plan_table
 from tidemark.plans.percentile_plan import target_rank
 from tidemark.sources.cohort_tables import (
+    baseline_csv,
     baseline_rows,
     cohort_csv,
     cohort_table,
+    cohort_tables,
     write_cohort_csv,
 )
-from tidemark.sources.results import ResultStore, result_schema
+from tidemark.sources.histogram_state import HistogramState
+from tidemark.sources.results import ResultStore, read_csv, result_schema
 from tidemark.sources.scratch import cut_lineage, scratch_path
 
-try:
+# The package works without its training-data operators; where they are there, a broken import shows.
+if find_spec("tidemark.llm") and find_spec("tidemark.llm.queries") and find_spec("corpus_pipeline"):
     from tidemark.llm import queries as llm_queries
-except ImportError:  # the package works without its training-data operators
+else:
     llm_queries = None
 
-FIRST, LAST = 199601, 200111
+FIRST = 199601  # the last month is the table's own, see _to_the_end
 PPV, DIST = (5, 15, 25), tuple(range(10, 101, 10))
 CONFIG = MonitorConfig(
     scores=(
@@ -67,7 +73,7 @@ CONFIG = MonitorConfig(
     ),
     segments=("group_ab", "group_xy"),
     first_cohort=FIRST,
-    last_cohort=LAST,
+    last_cohort=FIRST,
     baseline_cohorts=month_list(199501, 199512),
 )
 SEGMENTS = list(CONFIG.segments)
@@ -75,7 +81,7 @@ PRICE = MonitorConfig(
     scores=(ScoreSpec("price", PPV, DIST),),
     segments=("o_orderstatus", "o_orderpriority"),
     first_cohort=199501,
-    last_cohort=200112,
+    last_cohort=199501,
     derive_status=True,
 )
 
@@ -115,6 +121,11 @@ def _price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PRICE_SQL.replace("FROM orders", "FROM {orders}"), orders=orders)
 
 
+def _to_the_end(rows: DataFrame, config: MonitorConfig) -> MonitorConfig:
+    """The configuration with the table's last month as the last one: one number to the driver."""
+    return replace(config, last_cohort=rows.agg(F.max(config.cohort_column)).first()[0] or config.first_cohort)
+
+
 def _as_double(df: DataFrame, *names: str) -> DataFrame:
     """Nullable counts as doubles, the one numeric type that clients represent alike when it has nulls."""
     return df.withColumns({c: F.col(c).cast("double") for c in names})
@@ -133,9 +144,11 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    histogram = monitored_histogram(_mon(spark, sf_dir), CONFIG)
-    base = baseline_tails(histogram, CONFIG)
-    return base, production_tails(production_profile(histogram, CONFIG, base), base, CONFIG)
+    rows = _mon(spark, sf_dir)
+    config = _to_the_end(rows, CONFIG)
+    histogram = monitored_histogram(rows, config)
+    base = baseline_tails(histogram, config)
+    return base, production_tails(production_profile(histogram, config, base), base, config)
 
 
 def _own_tails(profile: DataFrame, config: MonitorConfig) -> DataFrame:
@@ -146,22 +159,42 @@ def _own_tails(profile: DataFrame, config: MonitorConfig) -> DataFrame:
 
 
 def cohort_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _mon(spark, sf_dir).createOrReplaceTempView("scored_rows")
-    return cohort_table(spark, "scored_rows", CONFIG, CONFIG.production_cohorts)
+    rows = _mon(spark, sf_dir)
+    rows.createOrReplaceTempView("scored_rows")
+    config = _to_the_end(rows, CONFIG)
+    return cohort_table(spark, "scored_rows", config, config.production_cohorts)
+
+
+def _yearly(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, MonitorConfig, list[int]]:
+    """The fixture with one cohort a year."""
+    rows = _mon(spark, sf_dir).withColumn("safra", F.expr("safra div 100 * 100 + 1").cast("int"))
+    config = _to_the_end(rows, MonitorConfig(CONFIG.scores, CONFIG.segments, 199501, data_folder=scratch_path(spark, "csv")))
+    return rows, config, [c for c in config.production_cohorts if c % 100 == 1]
 
 
 def csv_cohort_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly cohorts written as one CSV directory each and read back as one table."""
-    years = [y * 100 + 1 for y in range(1995, 2002)]
-    config = MonitorConfig(
-        CONFIG.scores, CONFIG.segments, years[0], years[-1], data_folder=scratch_path(spark, "csv")
-    )
-    yearly = _mon(spark, sf_dir).withColumn("safra", F.expr("safra div 100 * 100 + 1").cast("int"))
-    write_cohort_csv(yearly, config, years)
+    rows, config, years = _yearly(spark, sf_dir)
+    write_cohort_csv(rows, config, years)
     read = cohort_csv(spark, config, config.production_cohorts)
     return read.withColumns({s: F.col(s).cast("int") for s in CONFIG.score_names})
 
 
+def cohort_tables_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One catalog table for each yearly cohort; months without a table are absent."""
+    rows, config, years = _yearly(spark, sf_dir)
+    for year in years:
+        rows.filter(F.col("safra") == year).createOrReplaceTempView(f"scored_{year}")
+    return cohort_tables(spark, "scored_{cohort}", config, config.production_cohorts)
+
+
+def baseline_csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline months written as the baseline file and read back."""
+    config = replace(CONFIG, data_folder=scratch_path(spark, "csv"))
+    write_cohort_csv(baseline_rows(_mon(spark, sf_dir), CONFIG), config, [BASELINE_COHORT])
+    return baseline_csv(spark, config).withColumns({s: F.col(s).cast("int") for s in CONFIG.score_names})
+
+
 def baseline_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return baseline_rows(_mon(spark, sf_dir), CONFIG)
 
@@ -342,13 +375,15 @@ def ks_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ks_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = replace(CONFIG, first_cohort=199501, baseline_cohorts=())
-    return _rounded(ks_table(_mon(spark, sf_dir), config), ks=9)
+    rows = _mon(spark, sf_dir)
+    config = _to_the_end(rows, replace(CONFIG, first_cohort=199501, baseline_cohorts=()))
+    return _rounded(ks_table(rows, config), ks=9)
 
 
 def ks_global_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = replace(CONFIG, first_cohort=199501, baseline_cohorts=())
-    return _rounded(ks_table(_mon(spark, sf_dir), config, totals="cohort"), ks=9)
+    rows = _mon(spark, sf_dir)
+    config = _to_the_end(rows, replace(CONFIG, first_cohort=199501, baseline_cohorts=()))
+    return _rounded(ks_table(rows, config, totals="cohort"), ks=9)
 
 
 def fraud_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,12 +399,13 @@ def fraud_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fraud_capture_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capture under percentile tables that were stored by an earlier step."""
     rows = _mon(spark, sf_dir)
+    config = _to_the_end(rows, CONFIG)
     store = ResultStore(spark, scratch_path(spark, "percentiles"))
-    for table in percentile_tables(rows, CONFIG):
+    for table in percentile_tables(rows, config):
         store.write("percentiles", table.select("score", "cohort", *SEGMENTS, "pctl", "cutoff", "tail_n", "tail_pct"))
     stored = store.read("percentiles")
     is_base = F.col("cohort") == BASELINE_COHORT
-    capture = capture_table(rows, CONFIG, stored.filter(is_base), stored.filter(~is_base))
+    capture = capture_table(rows, config, stored.filter(is_base), stored.filter(~is_base))
     return _as_double(_rounded(capture, base_capture_pct=9, prod_capture_pct=9), "base_hits")
 
 
@@ -415,14 +451,16 @@ def _stacked(tables: dict[str, DataFrame], segments) -> DataFrame:
 
 def _monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run, its four result tables stacked."""
-    reports = monitor(_mon(spark, sf_dir), CONFIG)
+    rows = _mon(spark, sf_dir)
+    reports = monitor(rows, _to_the_end(rows, CONFIG))
     return _stacked(reports.tables() | {"percentiles_baseline": reports.percentiles_baseline}, SEGMENTS)
 
 
 def monitor_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run over a score with almost no repeated value; the baseline is 1995."""
-    config = replace(PRICE, first_cohort=FIRST, baseline_cohorts=month_list(199501, 199512))
-    reports = monitor(_price(spark, sf_dir), config)
+    rows = _price(spark, sf_dir)
+    config = _to_the_end(rows, replace(PRICE, first_cohort=FIRST, baseline_cohorts=month_list(199501, 199512)))
+    reports = monitor(rows, config)
     return _stacked(reports.tables() | {"percentiles_baseline": reports.percentiles_baseline}, PRICE.segments)
 
 
@@ -430,11 +468,88 @@ def monitor_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stored runs, the second only over the months the first has left out; all tables read back."""
     rows, store = _mon(spark, sf_dir), ResultStore(spark, scratch_path(spark, "monitor"))
     run_and_store(rows, replace(CONFIG, last_cohort=199812), store)
-    run_and_store(rows, CONFIG, store)
+    run_and_store(rows, _to_the_end(rows, CONFIG), store)
+    return _stored(store)
+
+
+def _stored(store: ResultStore) -> DataFrame:
     names = ("percentiles", "percentiles_baseline", "psi", "ks", "capture")
     return _stacked({name: store.read(name) for name in names}, SEGMENTS)
 
 
+class _Killed(Exception):
+    """Stands for the end of a driver."""
+
+
+class _KilledStore(ResultStore):
+    """A store whose runs end in the middle: after so many writes, before they publish anything."""
+
+    writes = 3
+
+    def run(self):
+        run, write = super().run(), ResultStore.run(self).write
+        left = iter(range(self.writes))
+
+        def some(*table):
+            if next(left, None) is None:
+                raise _Killed
+            return write(*table)
+
+        run.write = some
+        return run
+
+
+def crash_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is killed between two of its writes, the same run again, and all tables read back."""
+    rows, folder = _mon(spark, sf_dir), scratch_path(spark, "crash")
+    config = _to_the_end(rows, CONFIG)
+    try:
+        run_and_store(rows, config, _KilledStore(spark, folder))
+    except _Killed:
+        pass
+    store = ResultStore(spark, folder)
+    if store.exists("percentiles_baseline") or run_and_store(rows, config, store) != list(config.production_cohorts):
+        raise AssertionError("the killed run has left results behind")
+    return _stored(store)
+
+
+def monitor_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run from a stored histogram: made under other percentiles and directions, a tenth of the rows added
+    late and twice under one name, and no rows at hand when the reports are made."""
+    rows, store = _mon(spark, sf_dir), ResultStore(spark, scratch_path(spark, "state"))
+    config = _to_the_end(rows, CONFIG)
+    others = tuple(replace(s, ppv_percentiles=(1,), dist_percentiles=(), high_tail=not s.high_tail) for s in config.scores)
+    is_late = F.col("score_1") % 10 == 3
+    early = HistogramState(store, replace(config, scores=others))
+    early.refresh(rows.filter(~is_late), month_list(199501, config.last_cohort))
+    for _ in range(2):
+        early.add(rows.filter(is_late), "late")
+    reports = monitor(None, config, state=HistogramState(store, config))
+    return _stacked(reports.tables() | {"percentiles_baseline": reports.percentiles_baseline}, SEGMENTS)
+
+
+def monitor_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file-based run: months and baseline as CSV directories, two parameter documents, results as CSV."""
+    rows, folder = _mon(spark, sf_dir), scratch_path(spark, "files")
+    config = replace(_to_the_end(rows, CONFIG), data_folder=f"{folder}/data", result_folder=f"{folder}/results")
+    months = list(config.production_cohorts)
+    write_cohort_csv(rows, config, months)
+    write_cohort_csv(baseline_rows(rows, config), config, [BASELINE_COHORT])
+    scores = {
+        s.name: {"percentis_ppv": s.ppv_percentiles, "percentis_dist": s.dist_percentiles, "acumula_maiores": s.high_tail}
+        for s in config.scores
+    }
+    period = {"data_inicio": config.first_cohort, "data_fim": config.last_cohort}
+    execution = {"periodo_monitoramento": period, "incluir_baseline": True}
+    monitoring = {"aberturas": SEGMENTS, "data_folder": config.data_folder, "result_folder": config.result_folder, "scores": scores}
+    monitor_files(spark, execution, monitoring)
+    done = [c for c in months if c in {r["safra"] for r in rows.select("safra").distinct().collect()}]
+    names = ("percentiles", "psi", "ks", "capture")
+    tables = {n: read_csv(spark, n, config.result_folder, done, SEGMENTS) for n in names}
+    tables["percentiles_baseline"] = read_csv(spark, "percentiles", config.result_folder, [BASELINE_COHORT], SEGMENTS)
+    return _stacked(tables, SEGMENTS)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: a complete monitoring run on sf0.001."""
     return _monitor(spark, "/root/testdata/sf0.001")
@@ -445,7 +560,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "cohort_source": cohort_source,
         "csv_cohort_source": csv_cohort_source,
+        "cohort_tables_source": cohort_tables_source,
         "baseline_source": baseline_source,
+        "baseline_csv_source": baseline_csv_source,
         "month_spine": month_spine,
         "missing_cohorts": missing_cohorts,
         "incremental_cohorts": incremental_cohorts,
@@ -478,6 +595,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "monitor_run": _monitor,
         "monitor_continuous": monitor_continuous,
         "monitor_stored": monitor_stored,
+        "monitor_state": monitor_state,
+        "monitor_csv": monitor_csv,
+        "crash_rerun": crash_rerun,
     } | (llm_queries.queries() if llm_queries else {})
 
 
@@ -605,10 +725,15 @@ UNION ALL SELECT 'psi', cohort, score, {_SEGS}, NULL, psi FROM ({_PSI_SELECT})
 UNION ALL SELECT 'ks', cohort, score, {_SEGS}, NULL, ks FROM ({_ks_select(_SEGS, 6)}) WHERE cohort <> 'baseline'
 UNION ALL SELECT 'capture', cohort, score, {_SEGS}, CAST(p AS DOUBLE), round({hits} / nullif(hits, 0) * 100, 6)
   FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL"""
+    whole_ks = f"""SELECT cohort, score, {_SEGS}, max(abs(cum_pos / nullif(p, 0) - cum_neg / nullif(n, 0))) AS raw
+FROM curve JOIN (SELECT DISTINCT cohort, score, tot_pos AS p, tot_neg AS n FROM curve
+  WHERE group_ab = 'TODOS' AND group_xy = 'TODOS') USING (cohort, score) GROUP BY ALL"""
     return {
         "cohort_source": f"{mon} SELECT safra, {inputs} FROM mon WHERE safra >= {FIRST}",
         "csv_cohort_source": f"{mon} SELECT CAST(safra // 100 * 100 + 1 AS INT) AS safra, {inputs} FROM mon",
+        "cohort_tables_source": f"{mon} SELECT CAST(safra // 100 * 100 + 1 AS INT) AS safra, {inputs} FROM mon",
         "baseline_source": f"{mon} SELECT 'baseline' AS safra, {inputs} FROM mon WHERE safra < {FIRST}",
+        "baseline_csv_source": f"{mon} SELECT 'baseline' AS safra, {inputs} FROM mon WHERE safra < {FIRST}",
         "month_spine": f"{ends} SELECT {as_cohort} FROM (SELECT {spine.format(pad=0)} FROM ends)",
         "missing_cohorts": f"""{ends} SELECT {as_cohort} FROM (SELECT {spine.format(pad=3)} FROM ends)
 WHERE year(m) * 100 + month(m) NOT IN (SELECT safra FROM mon)""",
@@ -659,11 +784,8 @@ FROM cubed GROUP BY ALL""",
         "ks_curve": f"""{monthly}, {ks_pieces} SELECT cohort, score, {_SEGS}, value, cum_pos, cum_neg,
   round(cum_pos / nullif(tot_pos, 0), 9) AS pos_rate, round(cum_neg / nullif(tot_neg, 0), 9) AS neg_rate FROM curve""",
         "ks_segment": f"{monthly}, {ks_pieces} {_ks_select(_SEGS)}",
-        "ks_global_totals": f"""{monthly}, {ks_pieces},
-whole AS (SELECT DISTINCT cohort, score, tot_pos AS p, tot_neg AS n FROM curve
-  WHERE group_ab = 'TODOS' AND group_xy = 'TODOS')
-SELECT cohort, score, {_SEGS}, round(max(abs(cum_pos / nullif(p, 0) - cum_neg / nullif(n, 0))), 9) AS ks
-FROM curve JOIN whole USING (cohort, score) GROUP BY ALL""",
+        "ks_global_totals": f"""{monthly}, {ks_pieces}
+SELECT * EXCLUDE (raw), round(raw, 9) AS ks FROM ({whole_ks})""",
         "ks_continuous": f"{_price_cte()}, {_curve_sql(price_segs)} {_ks_select(price_segs)}",
         "fraud_totals": f"{monthly} SELECT cohort, score, {_SEGS}, hits AS total_hits FROM totals",
         "fraud_capture": capture,
@@ -674,6 +796,9 @@ FROM curve JOIN whole USING (cohort, score) GROUP BY ALL""",
 FROM prod WHERE is_ppv AND base_cutoff IS NOT NULL""",
         "monitor_run": run,
         "monitor_stored": run,
+        "monitor_state": run,
+        "monitor_csv": run.replace(_ks_select(_SEGS, 6), f"SELECT *, round(raw, 6) AS ks FROM ({whole_ks})"),
+        "crash_rerun": run,
         "monitor_continuous": run.replace(split, _price_cte(_SPLIT) + _BOTH_SQL)
         .replace("group_ab", "o_orderstatus")
         .replace("group_xy", "o_orderpriority"),

@@ -131,9 +131,16 @@ class MonitorConfig:
         return cls(**(values | overrides))
 
     @classmethod
-    def from_files(cls, execution_path: str, monitoring_path: str, **overrides: Any) -> MonitorConfig:
-        with open(execution_path, encoding="utf-8") as e, open(monitoring_path, encoding="utf-8") as m:
-            return cls.from_params(json.load(e), json.load(m), **overrides)
+    def from_files(
+        cls, execution: str | Mapping[str, Any], monitoring: str | Mapping[str, Any], **overrides: Any
+    ) -> MonitorConfig:
+        """The same from the paths of the two documents, or from what they hold."""
+        return cls.from_params(*[d if isinstance(d, Mapping) else _document(d) for d in (execution, monitoring)], **overrides)
+
+
+def _document(path: str) -> dict[str, Any]:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
 
 
 # Column names the result tables use themselves.

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,8 @@ from tidemark.operators.segments import level_columns
 from tidemark.operators.psi import cumulative_psi
 from tidemark.plans.config import BASELINE_COHORT, MonitorConfig
 from tidemark.sources.cohort_tables import baseline_csv, cohort_csv, cohort_rows, has_status, needed_columns
-from tidemark.sources.results import ResultStore, csv_path, export_csv, exported, result_schema
+from tidemark.sources.histogram_state import HistogramState, fingerprint
+from tidemark.sources.results import ResultStore, complete, csv_path, export_csv, read_csv, result_schema
 from tidemark.sources.scratch import cut_lineage, scratch_scope
 
 
@@ -70,6 +72,20 @@ def monitored_histogram(
     return score_histogram(score_rows(wanted, config), config, reused=True)
 
 
+def state_histogram(state: HistogramState, rows: DataFrame | None, config: MonitorConfig) -> Histogram:
+    """The histogram from stored state; only cohorts that it doesn't have are scanned, where there are rows."""
+    if fingerprint(config) != fingerprint(state.config):
+        raise ValueError("the stored histogram was made under another configuration")
+    wanted = sorted({*config.production_cohorts, *config.baseline_cohorts})
+    if rows is not None:
+        state.refresh(rows, wanted)
+    if not state.cohorts():
+        if rows is None:
+            raise ValueError("the stored histogram is empty and there are no rows to make it of")
+        return monitored_histogram(rows, config)
+    return Histogram(state.base(wanted))
+
+
 def baseline_tails(histogram: Histogram, config: MonitorConfig) -> DataFrame:
     """Baseline cut-offs and tails, computed once and kept: a few rows per segment level and score."""
     cohorts = config.baseline_cohorts or (BASELINE_COHORT,)
@@ -130,26 +146,33 @@ def capture_table(
 
 
 def monitor(
-    rows: DataFrame,
+    rows: DataFrame | None,
     config: MonitorConfig,
     baseline_rows: DataFrame | None = None,
     baseline_table: DataFrame | None = None,
     ks_totals: str = "segment",
+    state: HistogramState | None = None,
 ) -> Reports:
     """Compute every report for the configured cohorts.
 
     ``rows`` holds all cohorts in one table. The baseline comes from ``baseline_table`` (a percentile
     table of an earlier run), else from ``baseline_rows``, else from the baseline cohorts in ``rows``.
-    The rows are scanned once, whatever the number of cohorts, scores, segments and reports.
+    The rows are scanned once, whatever the number of cohorts, scores, segments and reports. With ``state`` only
+    cohorts that the state lacks are scanned, and none without ``rows``; its baseline is that of the baseline cohorts.
     """
-    spark, segments = rows.sparkSession, config.segments
+    if state is not None and baseline_rows is not None:
+        raise ValueError("the baseline of a stored histogram is one of its cohorts")
+    spark, segments = (rows.sparkSession if rows is not None else state.store.spark), config.segments
     if baseline_table is not None:
         config = replace(config, baseline_cohorts=())
-        histogram = monitored_histogram(rows, config)
+    if state is not None:
+        histogram = state_histogram(state, rows, config)
+    else:
+        histogram = monitored_histogram(rows, config, baseline_rows)
+    if baseline_table is not None:
         base_table = baseline_table.filter(F.col("cohort") == BASELINE_COHORT)
         base_tails = tails_of_report(base_table, config)
     else:
-        histogram = monitored_histogram(rows, config, baseline_rows)
         base_tails = baseline_tails(histogram, config)
         base_table = baseline_report(base_tails, segments)
 
@@ -178,11 +201,12 @@ def run_and_store(
     store: ResultStore,
     baseline_rows: DataFrame | None = None,
     ks_totals: str = "segment",
+    state: HistogramState | None = None,
 ) -> list[int]:
-    """Monitor the cohorts that have no stored result yet (all of them when overwriting) and store them.
+    """Monitor the cohorts that have no stored result yet (all of them when overwriting) and publish them.
 
-    The KS table is written last and so marks a cohort as done; a run that was cut short repeats its
-    cohorts. Returns the cohorts that were computed.
+    All tables of a run, its baseline included, are published in one step: a run that is cut short anywhere leaves the
+    store as it was. A baseline without any valid score stops the run. Returns the cohorts that were computed.
     """
     spark = rows.sparkSession
     done = store.cohorts("ks").select(F.expr("try_cast(cohort AS int)").alias("cohort"))
@@ -197,6 +221,7 @@ def run_and_store(
         known = store.read("percentiles_baseline", result_schema(columns, config.segments))
     # Exactly the pending months, and the baseline's only where it is computed: finished ones stay as they are.
     read = (*months, *(config.baseline_cohorts if known is None else ()))
+    run = store.run()
     with scratch_scope(spark):
         reports = monitor(
             rows.filter(cohorts_in(rows, config.cohort_column, read)),
@@ -204,37 +229,45 @@ def run_and_store(
             baseline_rows,
             known,
             ks_totals,
+            state,
         )
         if known is None:
-            store.write("percentiles_baseline", reports.percentiles_baseline)
+            found = run.write("percentiles_baseline", reports.percentiles_baseline)
+            if not found and (config.baseline_cohorts or baseline_rows is not None):
+                raise ValueError("the baseline has no valid score; nothing is published")
         for name, table in reports.tables().items():
-            store.write(name, table)
+            run.write(name, table)
+    run.commit()
     return months
 
 
-def monitor_files(spark: SparkSession, execution_path: str, monitoring_path: str) -> list[int]:
-    """The file-based run: two JSON parameter documents in, one CSV directory per result and cohort out.
+def monitor_files(
+    spark: SparkSession, execution: str | Mapping[str, Any], monitoring: str | Mapping[str, Any]
+) -> list[int]:
+    """The file-based run: two JSON parameter documents (paths or contents) in, one CSV directory per result and cohort out.
 
     Months that have all results are left alone unless ``overwrite_percentis`` says so; likewise the
     baseline's percentiles, which also stand in where there is no baseline file. Scores with configured
-    special values and no status column in the files have their status derived. Returns the months
-    that were written.
+    special values and no status column in the files have their status derived. The number of jobs does not depend on
+    the number of months. Returns the months that were written.
     """
-    config = MonitorConfig.from_files(execution_path, monitoring_path, cohort_column="safra")
+    config = MonitorConfig.from_files(execution, monitoring, cohort_column="safra")
     names = ("percentiles", "psi", "capture", "ks")
 
-    def complete(month: int) -> bool:
-        return all(exported(spark, f"{csv_path(n, config.result_folder, month)}/_SUCCESS") for n in names)
+    def finished(month: int) -> bool:
+        return all(complete(spark, csv_path(n, config.result_folder, month)) for n in names)
 
-    pending = [c for c in config.production_cohorts if config.overwrite or not complete(c)]
+    pending = [c for c in config.production_cohorts if config.overwrite or not finished(c)]
     if not pending:
         return []
     config = replace(config, only_cohorts=tuple(pending), derive_status=not has_status(spark, config, pending))
     baseline = known = None
-    is_stored = exported(spark, csv_path("percentiles", config.result_folder, BASELINE_COHORT))
+    is_stored = complete(spark, csv_path("percentiles", config.result_folder, BASELINE_COHORT))
     if config.include_baseline and (config.overwrite or not is_stored):
         baseline = baseline_csv(spark, config)
     if baseline is None:
+        if not is_stored:
+            raise FileNotFoundError(f"neither a baseline file nor stored baseline percentiles for {config.data_prefix}")
         known = stored_baseline_csv(spark, config)
     with scratch_scope(spark):
         reports = monitor(cohort_csv(spark, config, pending), config, baseline, known, ks_totals="cohort")
@@ -242,13 +275,11 @@ def monitor_files(spark: SparkSession, execution_path: str, monitoring_path: str
             export_csv("percentiles", reports.percentiles_baseline, config.result_folder, [BASELINE_COHORT])
         missing = {r["cohort"] for r in reports.missing.collect()}
         months = [c for c in pending if c not in missing]
-        for name in names:  # small stored tables, so a month costs no more than its rows
-            export_csv(name, cut_lineage(reports.tables()[name]), config.result_folder, map(str, months))
+        for name in names:
+            export_csv(name, reports.tables()[name], config.result_folder, months)
     return months
 
 
 def stored_baseline_csv(spark: SparkSession, config: MonitorConfig) -> DataFrame:
     """The baseline percentile table an earlier file-based run exported."""
-    columns = ["score", "cohort", *config.segments, "pctl", "cutoff", "tail_n", "tail_pct"]
-    path = csv_path("percentiles", config.result_folder, BASELINE_COHORT)
-    return spark.read.option("header", True).schema(result_schema(columns, config.segments)).csv(path)
+    return read_csv(spark, "percentiles", config.result_folder, [BASELINE_COHORT], config.segments)

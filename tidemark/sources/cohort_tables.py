@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections import defaultdict
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.literals import cohorts_in
 from tidemark.plans.config import BASELINE_COHORT, MonitorConfig
+from tidemark.sources.files import SharedFiles
+from tidemark.sources.results import write_folders
 
 
 def input_schema(config: MonitorConfig, score_type: T.DataType = T.DoubleType()) -> T.StructType:
@@ -67,10 +69,9 @@ def cohort_csv(
     """
     by_header: dict[tuple[str, ...], dict[int, str]] = defaultdict(dict)
     for cohort in cohorts:
-        path = _csv_path(config, cohort)
-        header = _header(spark, path)
+        header = _header(spark, _file(config, cohort))
         if header is not None:
-            by_header[header][cohort] = path
+            by_header[header][cohort] = _csv_path(config, cohort)
     tables = []
     in_path = r"_(\d{6})\.csv(/[^/]*)?$"
     for paths in by_header.values():
@@ -82,32 +83,30 @@ def cohort_csv(
 
 def baseline_csv(spark: SparkSession, config: MonitorConfig, schema: T.StructType | None = None) -> DataFrame | None:
     """The baseline file ``<folder>/<prefix>_baseline.csv``; None where there is none."""
-    path = _csv_path(config, BASELINE_COHORT)
-    if _header(spark, path) is None:
+    if _header(spark, _file(config, BASELINE_COHORT)) is None:
         return None
-    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    text = spark.read.option("header", True).option("inferSchema", False).csv(_csv_path(config, BASELINE_COHORT))
     return text.select(_cohort(BASELINE_COHORT, config), *_typed(text, config, schema))
 
 
+def _file(config: MonitorConfig, cohort: object) -> str:
+    return f"{config.data_folder.rstrip('/')}/{config.data_prefix}_{cohort}.csv"
+
+
 def _csv_path(config: MonitorConfig, cohort: object) -> str:
     """The path of a cohort's file, taken as it is: signs that would make it a pattern are escaped."""
-    escaped = re.sub(r"([\[\]{}*?\\])", r"\\\1", f"{config.data_folder.rstrip('/')}/{config.data_prefix}")
-    return f"{escaped}_{cohort}.csv"
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", _file(config, cohort))
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
-    """Column names of a CSV file or directory; None where there is none."""
-    try:
-        return tuple(spark.read.option("header", True).option("inferSchema", False).csv(path).columns)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    """Column names of a CSV file or directory, from its first line, without a job; None where there is none."""
+    line = SharedFiles(spark).first_line(path)
+    return None if line is None else tuple(next(csv.reader([line.removeprefix("\ufeff")]), ()))
 
 
 def has_status(spark: SparkSession, config: MonitorConfig, cohorts: Iterable[int]) -> bool:
     """Whether the files of the cohorts bring a status for each score; told from their headers."""
-    headers = filter(None, (_header(spark, _csv_path(config, c)) for c in cohorts))
+    headers = filter(None, (_header(spark, _file(config, c)) for c in cohorts))
     return all(s.status_column in header for header in headers for s in config.scores)
 
 
@@ -138,8 +137,5 @@ def _stacked(
 
 
 def write_cohort_csv(rows: DataFrame, config: MonitorConfig, cohorts: Iterable[int]) -> None:
-    """One CSV directory per cohort, under the names ``cohort_csv`` reads."""
-    for cohort in cohorts:
-        path = f"{config.data_folder.rstrip('/')}/{config.data_prefix}_{cohort}.csv"
-        one = rows.filter(F.col(config.cohort_column) == cohort)
-        one.write.mode("overwrite").option("header", True).csv(path)
+    """One CSV directory per cohort, under the names ``cohort_csv`` reads; one job for all."""
+    write_folders(rows, config.cohort_column, {str(c): _file(config, c) for c in cohorts})
