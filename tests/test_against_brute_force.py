@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import percentiles as pctl
 from tidemark.operators.ks import ks
-from tidemark.operators.histogram import GROUP, cubed_histogram, leveled_histogram
-from tidemark.operators.profile import part_offsets, running_totals, score_histogram, score_profile
-from tidemark.sources.scratch import cut_lineage
+from tidemark.operators import profile as profile_ops
+from tidemark.operators.profile import score_histogram, score_profile
 from tidemark.operators.histogram import score_rows
 from tidemark.plans.config import MonitorConfig, ScoreSpec
 from tidemark.plans.jobs import monitor
@@ -100,24 +99,31 @@ def test_one_segment_and_none(spark):
 
 
 @pytest.mark.parametrize("score_type", ["int", "double"])
-def test_more_parts_change_nothing(spark, score_type):
-    """Running totals over many ranges are those over one."""
+def test_more_stretches_change_nothing(spark, score_type, monkeypatch):
+    """Running totals over many stretches of the axis are those over one."""
     cfg = config()
     odd = [7.0, math.inf, -math.inf, math.nan]
     draw = lambda rng: rng.randint(0, 500) if score_type == "int" else rng.choice([*odd, *(rng.gauss(0, 50) for _ in odd)])
     rows = spark.createDataFrame(make_rows(9, 600, draw), schema(score_type))
-    cubed = cubed_histogram(leveled_histogram(score_histogram(score_rows(rows, cfg), cfg).base, cfg))
+    histogram = score_histogram(score_rows(rows, cfg), cfg)
     counts = ["n", "pos", "neg", "cum_n", "cum_pos", "cum_neg", "total_n", "total_pos", "total_neg"]
     flat = ["cohort", "score", "level.*", "value", *counts]
+    one = score_profile(histogram, cfg).select(*flat).cache()
+    assert not profile_ops.buckets_of(histogram.base).stretches
+    monkeypatch.setattr(profile_ops, "LEAST_ENTRIES", 5)
+    buckets = profile_ops.buckets_of(histogram.base)
+    assert buckets.placed(histogram.base).select("cohort", "score", "bucket").distinct().count() > len(buckets.stretches) + 5
+    many = score_profile(histogram, cfg).select(*flat).cache()
+    assert one.count() > 500
+    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
 
-    def totals(parts):
-        laid = cubed.repartitionByRange(parts, *GROUP, "value").withColumn("part", F.spark_partition_id())
-        laid = cut_lineage(laid)
-        return laid.select("part").distinct().count(), running_totals(laid, part_offsets(laid)).select(*flat)
 
-    (n_one, one), (n_many, many) = totals(1), totals(40)
-    assert n_one == 1 and n_many > 30 and one.count() > 500
-    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+@pytest.mark.parametrize("score_type", ["int", "double"])
+def test_all_reports_over_many_stretches(spark, score_type, monkeypatch):
+    """Baseline cut-offs also fall into stretches in which a group has no entry."""
+    monkeypatch.setattr(profile_ops, "LEAST_ENTRIES", 4)
+    rows = make_rows(11, 400, lambda rng: rng.randint(0, 90) if score_type == "int" else rng.gauss(0, 50))
+    check(rows, spark.createDataFrame(rows, schema(score_type)), config())
 
 
 def test_a_value_holding_a_third_of_all_rows(spark):
@@ -169,3 +175,40 @@ def test_approximate_cutoffs_meet_exact_ones_at_high_accuracy(spark):
     differing = [k for k in a if a[k] != b[k]]
     # Sketches rank with binary fractions, which may miss a rank where p * n / 100 is whole.
     assert len(differing) <= len(a) * 0.02
+
+
+def test_approximate_cutoffs_keep_their_rank_error(spark):
+    """At the default accuracy a cut-off's rank is off by 1 % of its group at most, also in merged levels."""
+    spec = ScoreSpec("score_1", (1, 5), (10, 25, 50, 75, 90, 100))
+    cfg = MonitorConfig((spec,), SEGMENTS, 202304, 202304)
+    rows = spark.range(60_000).select(
+        F.lit(202304).alias("safra"),
+        F.expr("IF(id % 7 = 0, 'A', concat('B', id % 5))").alias("group_ab"),
+        F.expr("IF(id % 3 = 0, NULL, 'X')").alias("group_xy"),
+        F.expr("exp(10 * rand(3)) + id / 1e9").alias("score_1"),
+        F.lit("score válido").alias("score_1_status"),
+        F.lit(1).alias("flag_1"),
+    )
+    long_rows = score_rows(rows, cfg).cache()
+    profile = score_profile(score_histogram(long_rows, cfg), cfg).select(
+        "level.*", "value", "cum_n", "n", "total_n"
+    ).toPandas()
+    found = pctl.approximate_cutoffs(long_rows, cfg).toPandas()
+    assert len(found) == len(profile.groupby(["gid", "group_ab", "group_xy"], dropna=False)) * 8
+    worst = 0
+    for group, own in profile.groupby(["group_ab", "group_xy"], dropna=False):
+        ranks = own.set_index("value")
+        same = found[(found.group_ab == group[0]) & ((found.group_xy == group[1]) | (found.group_xy.isna() & (group[1] != group[1])))]
+        assert len(same) == 8
+        for r in same.itertuples():
+            worst = max(worst, abs(ranks.loc[r.cutoff, "cum_n"] / ranks["total_n"].iloc[0] - r.pctl / 100))
+    assert 0 < worst <= 0.01
+
+
+def test_sketches_are_fed_rows_once(spark):
+    cfg = config()
+    rows = spark.createDataFrame(make_rows(4, 50, lambda rng: rng.randint(0, 300)), schema("int"))
+    text = pctl.approximate_cutoffs(score_rows(rows, cfg), cfg)._jdf.queryExecution().executedPlan().toString()
+    below = text[text.index("partial_kll_sketch_agg") : text.index("BroadcastExchange")]
+    assert "Generate" not in below and below.count("Expand") == 1  # the expansion that makes scores rows
+    assert text.count("partial_kll_merge_agg") == 1

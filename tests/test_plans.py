@@ -6,11 +6,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.histogram import GROUP, base_histogram, cubed_histogram, leveled_histogram, score_rows
-from tidemark.operators.percentiles import milestones
+from tidemark.operators import profile as profile_ops
+from tidemark.operators.histogram import GROUP, base_histogram, cubed_histogram, leveled_histogram, present_groups, score_rows
+from tidemark.operators.percentiles import cutoff_points, milestones
 from tidemark.operators.profile import score_histogram, score_profile
 from tidemark.plans.config import MonitorConfig, ScoreSpec
-from tidemark.plans.jobs import ks_table, monitor, run_and_store
+from tidemark.plans.jobs import baseline_tails, ks_table, monitor, run_and_store
 from tidemark.sources.cohort_tables import cohort_rows
 from tidemark.sources.results import ResultStore
 from tidemark.sources.scratch import scratch_path, shared_folder
@@ -50,7 +51,7 @@ def test_scan_reads_needed_columns_and_months(rows):
 
 
 def test_entries_are_combined_before_they_are_shuffled(rows):
-    histogram = score_histogram(score_rows(rows, CONFIG), CONFIG, reused=True)
+    histogram = score_histogram(score_rows(rows, CONFIG), CONFIG)
     text = plan(cubed_histogram(leveled_histogram(histogram.base, CONFIG)))
     assert text.count("Exchange") == 1
     assert text.index("partial_sum") > text.index("Exchange")
@@ -71,15 +72,33 @@ def test_the_grand_total_gets_few_entries(spark):
     assert laid.filter("level.gid = 1").count() == values
 
 
-def test_groups_are_laid_out_by_range(rows):
+def test_entries_move_once(rows, monkeypatch):
+    """The base entries are dealt once; cube, windows and running totals stay where they are."""
+    histogram = score_histogram(score_rows(rows, CONFIG), CONFIG)
+    for least, place in ((10**6, "cohort, score"), (10, "cohort, score, bucket")):
+        monkeypatch.setattr(profile_ops, "LEAST_ENTRIES", least)
+        profile = score_profile(histogram, CONFIG)
+        text = re.sub(r"#\d+L?", "", plan(profile))
+        above = text[: text.index("Generate")]  # from the result down to the expansion to levels
+        assert "Window" in above and "HashAggregate" in above and "Exchange" not in above
+        dealt = text[text.index("Generate") :]
+        assert f"hashpartitioning({place}, " in dealt.split("Exchange ")[1]
+        # What else moves are sums by finest cell and by group.
+        others = [part.split(", 4)")[0] for part in dealt.split("Exchange hashpartitioning(")[2:]]
+        assert others and all("value" not in keys for keys in others)
+        assert plan(milestones(profile, CONFIG)).count("BroadcastExchange") >= 1
+
+
+def test_points_are_placed_only_where_a_group_is(rows):
+    """The baseline and 202305 have level A, 202304 has level B: it gets points at its total only."""
     histogram = score_histogram(score_rows(rows, CONFIG), CONFIG)
-    cubed = cubed_histogram(leveled_histogram(histogram.base, CONFIG))
-    text = plan(cubed.repartitionByRange(*GROUP, "value"))
-    assert "rangepartitioning" in text
-    profile = score_profile(histogram, CONFIG)
-    text = plan(profile)
-    assert "part" in text[text.index("hashpartitioning") :].split("]")[0]  # windows hold a part, not a group
-    assert plan(milestones(profile, CONFIG)).count("BroadcastExchange") >= 1
+    tails = baseline_tails(histogram, CONFIG)
+    groups = present_groups(histogram.of([202304, 202305]).base, CONFIG)
+    assert groups.count() == 4
+    points = cutoff_points(tails, groups, histogram.base.schema["value"].dataType)
+    found = {(r["cohort"], r["group_ab"]) for r in points.select("cohort", "level.group_ab").collect()}
+    assert found == {("202304", "TODOS"), ("202305", "TODOS"), ("202305", "A")}
+    assert points.count() == 3 * len(found)
 
 
 def test_nothing_is_left_in_scratch(spark, rows, tmp_path):

@@ -53,17 +53,15 @@ def base_histogram(long_rows: DataFrame, config: MonitorConfig) -> DataFrame:
     )
 
 
-def leveled_histogram(base: DataFrame, config: MonitorConfig, points: DataFrame | None = None) -> DataFrame:
-    """The base histogram once per segment combination.
+def leveled_histogram(base: DataFrame, config: MonitorConfig) -> DataFrame:
+    """The base histogram once per segment combination."""
+    return expand_levels(base, config.segments, config.total_label)
 
-    ``points`` are extra empty entries (``cohort, score, level, value``) at which running totals will
-    be read; they add no rows to any count.
-    """
-    levels = expand_levels(base, config.segments, config.total_label).withColumn("is_point", F.lit(False))
-    if points is None:
-        return levels
-    zero = F.lit(0).cast("bigint")
-    return levels.unionByName(points.withColumns({"n": zero, "pos": zero, "neg": zero, "is_point": F.lit(True)}))
+
+def present_groups(base: DataFrame, config: MonitorConfig) -> DataFrame:
+    """The groups that have any entry, ``cohort, score, level``: from the finest cells, not from the entries."""
+    cells = base.select("cohort", "score", *config.segments).distinct()
+    return expand_levels(cells, config.segments, config.total_label).distinct()
 
 
 def cubed_histogram(leveled: DataFrame) -> DataFrame:
@@ -76,5 +74,4 @@ def cubed_histogram(leveled: DataFrame) -> DataFrame:
         F.sum("n").alias("n"),
         F.sum("pos").alias("pos"),
         F.sum("neg").alias("neg"),
-        F.bool_or("is_point").alias("is_point"),
     )

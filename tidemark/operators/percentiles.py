@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -53,11 +54,14 @@ def own_tails(marks: DataFrame) -> DataFrame:
     )
 
 
-def cutoff_points(base_tails: DataFrame, cohorts: Sequence[int], value_type: T.DataType) -> DataFrame:
-    """The baseline cut-offs as points on the score axis of every monitored cohort."""
-    return base_tails.select(
-        F.explode(F.expr(texts(cohorts))).alias("cohort"), "score", "level", _point(value_type).alias("value")
-    )
+def cutoff_points(base_tails: DataFrame, groups: DataFrame, value_type: T.DataType) -> DataFrame:
+    """The baseline cut-offs as points on the score axes of the monitored groups (``present_groups``).
+
+    A group gets the points of its own level, so there are as many as groups times percentiles at most; baseline levels
+    that a month does not have get none there.
+    """
+    cutoffs = base_tails.select("score", "level", _point(value_type).alias("value"))
+    return groups.join(cutoffs, ["score", "level"]).select(*GROUP, "value")
 
 
 def _point(value_type: T.DataType) -> Column:
@@ -168,25 +172,53 @@ def tails_of_report(report: DataFrame, config: MonitorConfig) -> DataFrame:
     )
 
 
+# The largest sketch Spark offers; and how a sketch's size relates to its rank error, from the sketch's own description.
+MOST_SKETCH = 65_535
+_ERROR_FACTOR, _ERROR_POWER = 2.296, 0.9021
+
+
+def sketch_size(accuracy: int) -> int:
+    """Size parameter of a sketch whose ranks are off by ``1 / accuracy`` of the rows at most, with 99 % confidence."""
+    return min(MOST_SKETCH, max(8, math.ceil((_ERROR_FACTOR * accuracy) ** (1 / _ERROR_POWER))))
+
+
+def quantile_sketches(long_rows: DataFrame, config: MonitorConfig, accuracy: int = 100) -> DataFrame:
+    """A mergeable sketch of the values of every group: ``cohort, score, gid, <segments>, sketch``.
+
+    Rows feed one sketch per finest cell, combined map-side. Only those sketches are expanded to the segment
+    combinations and merged, again map-side, so a group receives one sketch of bounded size per task.
+    """
+    size, kind = F.lit(sketch_size(accuracy)), _sketch_kind(long_rows)
+    feed, merge = getattr(F, f"kll_sketch_agg_{kind}"), getattr(F, f"kll_merge_agg_{kind}")
+    cells = long_rows.groupBy("cohort", "score", *config.segments).agg(feed(F.col("value").cast(kind), size).alias("sketch"))
+    levels = expand_levels(cells, config.segments, config.total_label)
+    flat = levels.select(F.col("cohort").cast("string").alias("cohort"), "score", "level.gid", *level_columns(config.segments), "sketch")
+    return flat.groupBy("cohort", "score", "gid", *config.segments).agg(merge("sketch", size).alias("sketch"))
+
+
+def _sketch_kind(long_rows: DataFrame) -> str:
+    return "bigint" if isinstance(long_rows.schema["value"].dataType, T.IntegralType) else "double"
+
+
 def approximate_cutoffs(long_rows: DataFrame, config: MonitorConfig, accuracy: int = 100) -> DataFrame:
     """Cut-offs from mergeable quantile sketches instead of the histogram.
 
-    One sketch per group answers all percentiles; the rank error is about ``1 / accuracy``.
+    One sketch per group answers all percentiles; the rank error is about ``1 / accuracy``. Groups of fewer values than
+    the sketch's size are exact.
     """
     wanted = plan_percentiles(config.scores)
-    sketches = (
-        expand_levels(long_rows.drop("flag"), config.segments, config.total_label)
-        .groupBy(*GROUP)
-        .agg(F.percentile_approx("value", [p / 100 for p in wanted], accuracy).alias("cutoffs"))
-        .select(
-            "score", F.col("cohort").cast("string").alias("cohort"), *level_columns(config.segments), "cutoffs"
-        )
-    )
+    sketches = quantile_sketches(long_rows, config, accuracy)
+    ranks = F.expr(doubles(p / 100 for p in wanted))
+    cutoffs = getattr(F, f"kll_sketch_get_quantile_{_sketch_kind(long_rows)}")("sketch", ranks)
     plan = percentile_plan(long_rows.sparkSession, config.scores).select("score", "pctl")
     return (
         sketches.select(
-            *sketches.columns[:-1], F.inline(F.arrays_zip(F.expr(doubles(wanted)).alias("pctl"), F.col("cutoffs").alias("cutoff")))
+            "score",
+            "cohort",
+            *config.segments,
+            F.inline(F.arrays_zip(F.expr(doubles(wanted)).alias("pctl"), cutoffs.alias("cutoff"))),
         )
+        .withColumn("cutoff", F.col("cutoff").cast(long_rows.schema["value"].dataType))
         .join(F.broadcast(plan), ["score", "pctl"], "left_semi")
     )
 

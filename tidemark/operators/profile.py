@@ -1,58 +1,31 @@
 """Running totals over the histogram, the common ground of cut-offs, tails and KS.
 
-Entries are laid out by range over (group, value), so a part holds a stretch of one group's axis or
-several small groups, whatever the type of the scores and the size of a group. Sums run inside a part;
-what the earlier parts of a group hold is one row per group and part, added by a join.
+Base entries are dealt once, by (cohort, score, bucket); a bucket is a stretch of the score's axis, and groups that hold
+few entries are one. All segment levels of a stretch are then at one place: they are expanded, combined and summed up
+there, without another exchange. What the earlier stretches of a group hold comes along as the stretch's first entry.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+import math
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.literals import is_one_of
-from tidemark.operators.histogram import GROUP, base_histogram, cubed_histogram, leveled_histogram
+from tidemark.functions.literals import is_one_of, text
+from tidemark.operators.histogram import GROUP, base_histogram
+from tidemark.operators.segments import expand_levels, level_structs
 from tidemark.plans.config import MonitorConfig
 from tidemark.plans.percentile_plan import may_reach_any
 from tidemark.sources.scratch import cut_lineage, stored
 
 COUNTS = ("n", "pos", "neg")
-
-
-def laid_out(cubed: DataFrame) -> DataFrame:
-    """The entries in parts that are ranges of (group, value); stored, as the parts must stay as they are."""
-    return stored(cubed.repartitionByRange(*GROUP, "value").withColumn("part", F.spark_partition_id()), "cube")
-
-
-def part_offsets(laid: DataFrame) -> DataFrame:
-    """Per group and part, the totals of the group's earlier parts and of the whole group."""
-    group = Window.partitionBy(*GROUP)
-    earlier = group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        laid.groupBy(*GROUP, "part")
-        .agg(*[F.sum(c).alias(c) for c in COUNTS])
-        .select(
-            *GROUP,
-            "part",
-            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"before_{c}") for c in COUNTS],
-            *[F.sum(c).over(group).alias(f"total_{c}") for c in COUNTS],
-        )
-    )
-
-
-def running_totals(laid: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Add ``cum_*`` (up to and including the value, ascending) and ``total_*`` (whole group)."""
-    keys = [*GROUP, "part"]
-    upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        laid.withColumns({f"cum_{c}": F.sum(c).over(upto) for c in COUNTS})
-        .join(offsets, keys)
-        .withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"before_{c}") for c in COUNTS})
-        .drop("part", *[f"before_{c}" for c in COUNTS])
-    )
+#: Stretches a score's axis is cut into at most, and entries of a cohort and score that one stretch is meant for.
+STRETCHES = 64
+LEAST_ENTRIES = 100_000
 
 
 def from_value(count: str) -> Column:
@@ -72,16 +45,112 @@ class Histogram:
         return replace(self, base=chosen if label is None else chosen.withColumn("cohort", F.lit(label)))
 
 
-def score_histogram(long_rows: DataFrame, config: MonitorConfig, reused: bool = False) -> Histogram:
-    """Histogram of score rows, the only scan of them; stored where more than one step reads it."""
-    base = base_histogram(long_rows, config)
-    return Histogram(stored(base, "histogram") if reused else base)
+def score_histogram(long_rows: DataFrame, config: MonitorConfig) -> Histogram:
+    """Histogram of score rows, the only scan of them; stored, since more than one step reads it."""
+    return Histogram(stored(base_histogram(long_rows, config), "histogram"))
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """How large groups are cut: stretches by (cohort, score), and the ends of a score's finest stretches."""
+
+    stretches: Mapping[tuple[str, str], int] = field(default_factory=dict)
+    ends: Mapping[str, Sequence[float]] = field(default_factory=dict)
+
+    @property
+    def columns(self) -> list[str]:
+        return ["bucket"] if self.stretches else []
+
+    def placed(self, entries: DataFrame) -> DataFrame:
+        """Entries with their ``bucket``, where there is any; it never falls along the axis."""
+        if not self.stretches:
+            return entries
+        rows = [(c, s, n) for (c, s), n in self.stretches.items()]
+        counts = entries.sparkSession.createDataFrame(rows, "cohort string, score string, stretches int")
+        finest = "0"
+        for score, ends in self.ends.items():
+            finest = f"IF(score = {text(score)}, {_stretch(ends, 0, len(ends))}, {finest})"
+        bucket = F.expr(f"coalesce(({finest}) * stretches div {STRETCHES}, 0)").cast("int")
+        # A row for each month and score of the configuration at most.
+        return entries.join(F.broadcast(counts), ["cohort", "score"], "left").withColumn("bucket", bucket).drop("stretches")
+
+
+def _stretch(ends: Sequence[float], low: int, high: int) -> str:
+    """SQL of a binary search: how many of the ends are below the value."""
+    if low == high:
+        return str(low)
+    middle = (low + high) // 2
+    end = f"{ends[middle]}L" if isinstance(ends[middle], int) else f"{ends[middle]!r}D"
+    return f"IF(value > {end}, {_stretch(ends, middle + 1, high)}, {_stretch(ends, low, middle)})"
+
+
+def buckets_of(base: DataFrame) -> Buckets:
+    """Stretches in proportion to the entries of each cohort and score, with ends from a quantile sketch per score.
+
+    To the driver go a number for each month and score, and the ends.
+    """
+    sizes = {(r["cohort"], r["score"]): r["count"] for r in base.groupBy("cohort", "score").count().collect()}
+    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    meant = max(LEAST_ENTRIES, sum(sizes.values()) / (4 * parts))
+    stretches = {group: min(STRETCHES, math.ceil(n / meant)) for group, n in sizes.items() if n > meant}
+    if not stretches:
+        return Buckets()
+    kind = "bigint" if isinstance(base.schema["value"].dataType, T.IntegralType) else "double"
+    sketch = getattr(F, f"kll_sketch_agg_{kind}")(F.col("value").cast(kind))
+    ranks = F.array(*[F.lit(i / STRETCHES) for i in range(1, STRETCHES)])
+    ends = getattr(F, f"kll_sketch_get_quantile_{kind}")(sketch, ranks).alias("ends")
+    cut = base.filter(is_one_of("score", {s for _, s in stretches})).groupBy("score").agg(ends).collect()
+    return Buckets(stretches, {r["score"]: sorted({e for e in r["ends"] if math.isfinite(e)}) for r in cut})
+
+
+def _starts(entries: DataFrame, points: DataFrame | None, config: MonitorConfig, bucket: Sequence[str]) -> DataFrame:
+    """An entry without a value for each stretch of a group: what the earlier stretches hold, and the whole group."""
+    sums = [F.sum(c).alias(c) for c in COUNTS]
+    cells = entries.groupBy("cohort", "score", *config.segments, *bucket).agg(*sums)
+    cells = expand_levels(cells, config.segments, config.total_label)
+    if bucket and points is not None:  # a point may lie in a stretch where its group has no entry
+        cells = cells.unionByName(points.select(*cells.columns))
+    cells = cells.groupBy(*GROUP, *bucket).agg(*sums)
+    group = Window.partitionBy(*GROUP)
+    earlier = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    return cells.select(
+        *GROUP,
+        *bucket,
+        *[(F.coalesce(F.sum(c).over(earlier), zero) if bucket else zero).alias(c) for c in COUNTS],
+        *[(F.sum(c).over(group) if bucket else F.col(c)).alias(f"total_{c}") for c in COUNTS],
+    )
 
 
 def score_profile(histogram: Histogram, config: MonitorConfig, points: DataFrame | None = None) -> DataFrame:
-    """Histogram at all segment levels with running totals."""
-    laid = laid_out(cubed_histogram(leveled_histogram(histogram.base, config, points)))
-    return running_totals(laid, cut_lineage(part_offsets(laid))).filter(F.col("total_n") > 0)
+    """Histogram at all segment levels with ``cum_*`` (up to and including the value, ascending) and ``total_*`` (whole group).
+
+    ``points`` are extra empty entries (``cohort, score, level, value``) at which running totals will be read; they add
+    no rows to any count. Points of groups without entries are dropped.
+    """
+    buckets = buckets_of(histogram.base)
+    bucket, zero, segments = buckets.columns, F.lit(0).cast("bigint"), config.segments
+    entries = buckets.placed(histogram.base)
+    if points is not None:
+        points = buckets.placed(points.withColumns({c: zero for c in COUNTS}))
+    starts = _starts(entries, points, config, bucket)
+    dealt = entries.withColumn("is_point", F.lit(False)).unionByName(starts, allowMissingColumns=True)
+    if points is not None:
+        dealt = dealt.unionByName(points.withColumn("is_point", F.lit(True)), allowMissingColumns=True)
+
+    place = ["cohort", "score", *bucket]
+    levels = F.when(F.col("level").isNull(), F.array(*level_structs(segments, config.total_label))).otherwise(F.array("level"))
+    totals = [f"total_{c}" for c in COUNTS]
+    cubed = (
+        dealt.repartition(*place)
+        .select(*place, "value", *COUNTS, "is_point", *totals, F.explode(levels).alias("level"))
+        .groupBy(*place, "level", "value")
+        .agg(*[F.sum(c).alias(c) for c in COUNTS], F.bool_or("is_point").alias("is_point"), *[F.max(t).alias(t) for t in totals])
+    )
+    # The entry without a value comes first.
+    upto = Window.partitionBy(*place, "level").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = {f"cum_{c}": F.sum(c).over(upto) for c in COUNTS} | {t: F.first(t).over(upto) for t in totals}
+    return cubed.withColumns(running).filter("value IS NOT NULL AND total_n > 0").drop(*bucket)
 
 
 def profile_summary(profile: DataFrame, config: MonitorConfig, gap: Column) -> tuple[DataFrame, DataFrame]:

@@ -65,14 +65,18 @@ def expand_levels(
     a plain join and window key.
     """
     others = [c for c in df.columns if c not in segments]
-    levels = [
+    return df.select(*others, F.explode(F.array(*level_structs(segments, total_label))).alias(level))
+
+
+def level_structs(segments: Sequence[str], total_label: str = TOTAL_LABEL) -> list[Column]:
+    """The levels that a row with segment columns belongs to."""
+    return [
         F.struct(
             F.lit(grouping_bits(segments, subset)).alias("gid"),
             *[(F.col(s) if s in subset else F.lit(total_label)).cast("string").alias(s) for s in segments],
         )
         for subset in segment_subsets(segments)
     ]
-    return df.select(*others, F.explode(F.array(*levels)).alias(level))
 
 
 def level_columns(segments: Sequence[str]) -> list[Column]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.literals import cohorts_in, is_one_of
 from tidemark.operators.capture import capture, precision
 from tidemark.operators.cohorts import cohort_list, missing_cohorts, pending_cohorts
-from tidemark.operators.histogram import GROUP, score_rows
+from tidemark.operators.histogram import GROUP, present_groups, score_rows
 from tidemark.operators.ks import cohort_totals, ks, with_gap
 from tidemark.operators.percentiles import (
     baseline_report,
@@ -69,7 +69,7 @@ def monitored_histogram(
         )
         wanted = wanted.withColumn(config.cohort_column, F.col(config.cohort_column).cast("string"))
         wanted = wanted.unionByName(labelled)
-    return score_histogram(score_rows(wanted, config), config, reused=True)
+    return score_histogram(score_rows(wanted, config), config)
 
 
 def state_histogram(state: HistogramState, rows: DataFrame | None, config: MonitorConfig) -> Histogram:
@@ -95,9 +95,10 @@ def baseline_tails(histogram: Histogram, config: MonitorConfig) -> DataFrame:
 
 def production_profile(histogram: Histogram, config: MonitorConfig, base_tails: DataFrame) -> DataFrame:
     """Profile of the monitored cohorts, with the baseline cut-offs as points in it."""
-    months = config.production_cohorts
-    points = cutoff_points(base_tails, months, histogram.base.schema["value"].dataType)
-    return score_profile(histogram.of(months), config, points)
+    monitored = histogram.of(config.production_cohorts)
+    groups = present_groups(monitored.base, config)
+    points = cutoff_points(base_tails, groups, monitored.base.schema["value"].dataType)
+    return score_profile(monitored, config, points)
 
 
 def production_tails(profile: DataFrame, base_tails: DataFrame, config: MonitorConfig) -> DataFrame:
@@ -118,7 +119,7 @@ def percentile_tables(
 def ks_table(rows: DataFrame, config: MonitorConfig, totals: str = "segment") -> DataFrame:
     """KS of the monitored cohorts; needs no baseline. ``totals`` is ``segment`` or ``cohort``."""
     wanted = cohort_rows(rows, config, config.production_cohorts)
-    histogram = score_histogram(score_rows(wanted, config), config, reused=totals != "segment")
+    histogram = score_histogram(score_rows(wanted, config), config)
     return ks(score_profile(histogram, config), config.segments, _whole(histogram, totals))
 
 
@@ -137,7 +138,7 @@ def capture_table(
     base = tails_of_report(baseline_table, config)
     own = tails_of_report(production_table, config)
     months = config.production_cohorts
-    points = cutoff_points(base, months, value_type).unionByName(
+    points = cutoff_points(base, present_groups(histogram.base, config), value_type).unionByName(
         own_points(own.filter(is_one_of("cohort", map(str, months))), value_type)
     )
     marks = cut_lineage(milestones(score_profile(histogram, config, points), config))
