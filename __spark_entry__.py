@@ -29,7 +29,8 @@ from tidemark.operators import percentiles as pctl_ops
 from tidemark.operators.histogram import base_histogram, cubed_histogram, leveled_histogram, score_rows
 from tidemark.operators.profile import score_histogram as histogram_of
 from tidemark.operators.profile import score_profile
-from tidemark.operators.psi import cumulative_psi
+from tidemark.operators.counters import RunCounts
+from tidemark.operators.psi import binned_psi, cumulative_psi
 from tidemark.operators.segments import level_columns, segment_cube as cube_rows
 from tidemark.plans.config import BASELINE_COHORT, MonitorConfig, ScoreSpec, SpecialValue, month_list
 from tidemark.plans.jobs import (
@@ -370,6 +371,21 @@ def psi_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(psi, psi=6)
 
 
+def psi_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, tails = _compared(spark, sf_dir)
+    psi = binned_psi(pctl_ops.production_report(tails, SEGMENTS), pctl_ops.baseline_report(base, SEGMENTS), SEGMENTS)
+    return _rounded(psi, psi=6)
+
+
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run has read of each score, observed while its histogram was made."""
+    rows = _mon(spark, sf_dir)
+    config = _to_the_end(rows, CONFIG)
+    counts = RunCounts(config)
+    monitored_histogram(rows, config, counts=counts)
+    return counts.table(spark)
+
+
 def ks_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(ks_ops.ks_curve(_profile(spark, sf_dir), SEGMENTS), pos_rate=9, neg_rate=9)
 
@@ -584,6 +600,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tail_counts_le": tail_counts_le,
         "prod_vs_baseline": prod_vs_baseline,
         "psi_cumulative": psi_cumulative,
+        "psi_binned": psi_binned,
+        "run_counts": run_counts,
         "ks_curve": ks_curve,
         "ks_segment": ks_segment,
         "ks_global_totals": ks_global_totals,
@@ -781,6 +799,17 @@ FROM cubed GROUP BY ALL""",
         "prod_vs_baseline": f"""{split} SELECT {_PROD_COLUMNS}, base_cutoff, base_tail_n,
   round(base_tail_n / total * 100, 9) AS base_tail_pct FROM prod""",
         "psi_cumulative": f"{split} {_PSI_SELECT}",
+        "psi_binned": f"""{split}, tails AS (
+  SELECT prod.score, prod.cohort, group_ab, group_xy, prod.base_tail_n / prod.total * 100 / 100 AS pt,
+    base.tail_n / base.total * 100 / 100 AS qt FROM prod JOIN base USING (score, {_SEGS}, p)
+  UNION ALL SELECT DISTINCT prod.score, prod.cohort, group_ab, group_xy, 1, 1 FROM prod JOIN base USING (score, {_SEGS}, p)),
+bins AS (SELECT score, cohort, {_SEGS}, pt - lag(pt, 1, 0) OVER w + 1e-6 AS pp, qt - lag(qt, 1, 0) OVER w + 1e-6 AS qq
+  FROM tails WINDOW w AS (PARTITION BY score, cohort, {_SEGS} ORDER BY qt, pt))
+SELECT score, cohort, {_SEGS}, round(sum((pp - qq) * ln(pp / qq)), 6) AS psi FROM bins GROUP BY ALL""",
+        "run_counts": f"""{mon} SELECT 'score_1' AS score, count(*) AS rows, count(*) FILTER (score_1 <> -1) AS valid,
+  count(*) FILTER (score_1 = -1) AS special, CAST(0 AS BIGINT) AS invalid, CAST(0 AS BIGINT) AS missing FROM mon
+UNION ALL SELECT 'score_2', count(*), count(*) FILTER (score_2 BETWEEN 0 AND 1000), 0,
+  count(*) FILTER (score_2 NOT BETWEEN 0 AND 1000), 0 FROM mon""",
         "ks_curve": f"""{monthly}, {ks_pieces} SELECT cohort, score, {_SEGS}, value, cum_pos, cum_neg,
   round(cum_pos / nullif(tot_pos, 0), 9) AS pos_rate, round(cum_neg / nullif(tot_neg, 0), 9) AS neg_rate FROM curve""",
         "ks_segment": f"{monthly}, {ks_pieces} {_ks_select(_SEGS)}",

@@ -6,7 +6,9 @@ from brute_force import assert_same, report, table
 from pyspark.sql import functions as F
 
 from tidemark.operators import percentiles as pctl
+from tidemark.operators.counters import RunCounts
 from tidemark.operators.ks import ks
+from tidemark.operators.psi import binned_psi
 from tidemark.operators import profile as profile_ops
 from tidemark.operators.profile import score_histogram, score_profile
 from tidemark.operators.histogram import score_rows
@@ -145,8 +147,16 @@ def test_baseline_equal_to_production_has_no_psi(spark):
     rows = make_rows(5, 200, lambda rng: rng.randint(0, 20))
     twice = [r | {"safra": m} for r in rows for m in (202301, 202304)]
     cfg = config(baseline_cohorts=(202301,), last_cohort=202304)
-    psi = monitor(spark.createDataFrame(twice, schema("int")), cfg).psi
-    assert {round(r["psi"], 12) for r in psi.collect()} == {0.0}
+    counts = RunCounts(cfg)
+    reports = monitor(spark.createDataFrame(twice, schema("int")), cfg, counts=counts)
+    assert {round(r["psi"], 12) for r in reports.psi.collect()} == {0.0}
+    binned = binned_psi(reports.percentiles, reports.percentiles_baseline, SEGMENTS).collect()
+    assert len(binned) == reports.psi.count() and {round(r["psi"], 12) for r in binned} == {0.0}
+    for r in counts.table(spark).collect():
+        own = [(x[r["score"]], x[f"{r['score']}_status"]) for x in twice]
+        assert (r["rows"], r["missing"]) == (len(twice), sum(v is None for v, _ in own))
+        assert r["valid"] == sum(v is not None and status == "score válido" for v, status in own)
+        assert r["valid"] + r["special"] + r["invalid"] + r["missing"] == len(twice)
 
 
 def test_a_cohort_in_both_baseline_and_production(spark):
@@ -212,3 +222,17 @@ def test_sketches_are_fed_rows_once(spark):
     below = text[text.index("partial_kll_sketch_agg") : text.index("BroadcastExchange")]
     assert "Generate" not in below and below.count("Expand") == 1  # the expansion that makes scores rows
     assert text.count("partial_kll_merge_agg") == 1
+
+
+def test_counts_of_a_run_without_any_valid_score(spark):
+    """Nothing reaches the histogram, and the counts are there all the same."""
+    cfg = config()
+    rows = [r | {"score_1_status": "score inválido", "score_2_status": "óbito"} for r in make_rows(4, 60, lambda rng: rng.randint(0, 9))]
+    for data in (rows, []):
+        counts = RunCounts(cfg)
+        reports = monitor(spark.createDataFrame(data, schema("int")), cfg, counts=counts)
+        assert reports.ks.count() == 0
+        found = {r["score"]: (r["rows"], r["valid"], r["special"], r["invalid"]) for r in counts.table(spark).collect()}
+        own = [r for r in data if r["safra"] in {*cfg.production_cohorts, *cfg.baseline_cohorts}]
+        present = [sum(r[s] is not None for r in own) for s in ("score_1", "score_2")]
+        assert found == {"score_1": (len(own), 0, 0, present[0]), "score_2": (len(own), 0, present[1], 0)}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.literals import cohorts_in, is_one_of
 from tidemark.operators.capture import capture, precision
+from tidemark.operators.counters import RunCounts
 from tidemark.operators.cohorts import cohort_list, missing_cohorts, pending_cohorts
 from tidemark.operators.histogram import GROUP, present_groups, score_rows
 from tidemark.operators.ks import cohort_totals, ks, with_gap
@@ -59,9 +60,9 @@ class Reports:
 
 
 def monitored_histogram(
-    rows: DataFrame, config: MonitorConfig, baseline_rows: DataFrame | None = None
+    rows: DataFrame, config: MonitorConfig, baseline_rows: DataFrame | None = None, counts: RunCounts | None = None
 ) -> Histogram:
-    """One histogram for all cohorts a run needs, the baseline's included: one scan of the rows."""
+    """One histogram for all cohorts a run needs, the baseline's included: one scan of the rows, which ``counts`` watches."""
     wanted = cohort_rows(rows, config, {*config.production_cohorts, *config.baseline_cohorts})
     if baseline_rows is not None:
         labelled = baseline_rows.select(*needed_columns(config)).withColumn(
@@ -69,7 +70,11 @@ def monitored_histogram(
         )
         wanted = wanted.withColumn(config.cohort_column, F.col(config.cohort_column).cast("string"))
         wanted = wanted.unionByName(labelled)
-    return score_histogram(score_rows(wanted, config), config)
+    watched = wanted if counts is None else counts.watch(wanted)
+    histogram = score_histogram(score_rows(watched, config), config)
+    if counts is not None:
+        counts.read(wanted, histogram.base)
+    return histogram
 
 
 def state_histogram(state: HistogramState, rows: DataFrame | None, config: MonitorConfig) -> Histogram:
@@ -153,6 +158,7 @@ def monitor(
     baseline_table: DataFrame | None = None,
     ks_totals: str = "segment",
     state: HistogramState | None = None,
+    counts: RunCounts | None = None,
 ) -> Reports:
     """Compute every report for the configured cohorts.
 
@@ -160,16 +166,17 @@ def monitor(
     table of an earlier run), else from ``baseline_rows``, else from the baseline cohorts in ``rows``.
     The rows are scanned once, whatever the number of cohorts, scores, segments and reports. With ``state`` only
     cohorts that the state lacks are scanned, and none without ``rows``; its baseline is that of the baseline cohorts.
+    ``counts`` learns what kinds of rows were read.
     """
-    if state is not None and baseline_rows is not None:
-        raise ValueError("the baseline of a stored histogram is one of its cohorts")
+    if state is not None and (baseline_rows is not None or counts is not None):
+        raise ValueError("the baseline of a stored histogram is one of its cohorts, and its rows are not read")
     spark, segments = (rows.sparkSession if rows is not None else state.store.spark), config.segments
     if baseline_table is not None:
         config = replace(config, baseline_cohorts=())
     if state is not None:
         histogram = state_histogram(state, rows, config)
     else:
-        histogram = monitored_histogram(rows, config, baseline_rows)
+        histogram = monitored_histogram(rows, config, baseline_rows, counts)
     if baseline_table is not None:
         base_table = baseline_table.filter(F.col("cohort") == BASELINE_COHORT)
         base_tails = tails_of_report(base_table, config)
