@@ -184,7 +184,9 @@ def shared_corrections(shares: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct(F.col("place").cast("int").alias("place"), "p", "z"))).alias("path"))
         .groupBy("lang", "path")
         .agg(F.count("*").alias("copies"))
-        .repartitionByRange("lang", "path")
+        # By how paths begin, which is what they share; the hash cuts a beginning that very many have. Range bounds are
+        # sampled, and this key keeps the samples short.
+        .repartitionByRange("lang", F.slice("path", 1, 2), F.xxhash64("path"))
         .sortWithinPartitions("lang", "path")
     )
     sums = paths.mapInArrow(_pair_sums, "lang string, a int, b int, value long")
