@@ -32,23 +32,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Shuffle files go when the query that wrote them has ended, not when the driver's memory is cleaned.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Whatever is stored inside is deleted at the end; results must have been written by then."""
+    """Whatever is stored inside is deleted at the end; results must have been written by then.
+
+    Inside, every query's shuffle files go with its end: later steps read stored tables only.
+    """
     paths: list[str] = []
     token = _SCOPE.set(paths)
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
     try:
         yield
     finally:
         _SCOPE.reset(token)
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
-            path.getFileSystem(hadoop).delete(path, True)
+        if before is None:
+            spark.conf.unset(_SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(_SHUFFLE_CLEANUP, before)
+        for path in paths:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate data, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Compute once into a Parquet table: for large results, which later steps read by column."""
-    path = scratch_path(df.sparkSession, name)
+    return stored_at(df, scratch_path(df.sparkSession, name))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
