@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup, ngram_join, packing, suffix_dedup, toxicity
 from tidemark.llm.common import as_table, fresh_name, quoted
-from tidemark.sources.scratch import stored
+from tidemark.sources.scratch import delete, scratch_path, scratch_scope, stored_at
 
 
 def _same_columns(docs: DataFrame, result: DataFrame) -> DataFrame:
@@ -58,8 +58,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each reads what the one before it has written."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each reads what the one before it has written.
+
+    What a stage stores for itself goes when its result is written, and a stage's result when the next one is.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch_scope(spark):
+            docs = stored_at(stage(spark, docs, sf_dir), path)
+        if before is not None:
+            delete(spark, before)
+        before = path
     return docs
