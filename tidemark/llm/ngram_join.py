@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import as_table, fresh_name, quoted
 from tidemark.llm.graph import connected_components, sorted_groups
 from tidemark.llm.shingles import mixed, text_batches, text_shingles
-from tidemark.sources.scratch import cut_lineage, stored
+from tidemark.sources.scratch import cut_lineage, delete, scratch_path, scratch_scope, stored, stored_at
 
 WORDS = 5
 THRESHOLD = 80
@@ -307,7 +307,7 @@ def _home_differences(homes: DataFrame, sets: DataFrame, threshold: int) -> Data
     chunks = _in_chunks(homes).select("query", "chunk").distinct().join(common, "query")
     chunks = chunks.select("query", "chunk", F.lit(None).cast("long").alias("node"), "shingles")
     both = rows.unionByName(chunks).repartition("query", "chunk").sortWithinPartitions("query", "chunk")
-    return stored(both.mapInArrow(_differences(threshold), "query long, node long, surplus long, away array<long>"), "away")
+    return both.mapInArrow(_differences(threshold), "query long, node long, surplus long, away array<long>")
 
 
 def _grouped(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -319,11 +319,32 @@ def _grouped(rows: DataFrame, links: DataFrame) -> DataFrame:
 def shingle_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD
 ) -> DataFrame:
-    """(id, n_shingles, component_id): the smallest id each document is linked with, directly or not."""
+    """(id, n_shingles, component_id): the smallest id each document is linked with, directly or not.
+
+    Computed when called. What is stored on the way is deleted as soon as no later step reads it; two narrow tables
+    stay, which the result reads: a row per document, and a row per node that is linked.
+    """
     rows = as_table(docs, id=id_col, text=text_col).filter("id is not null")
-    kind = dict(rows.dtypes)["id"]
-    members = stored(rows.mapInArrow(_sizes(words), f"id {kind}, n long, node long"), "shingle-sets")
-    nodes = members.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"))
+    spark, kind = rows.sparkSession, dict(rows.dtypes)["id"]
+    members_path, grouped_path = scratch_path(spark, "shingle-sets"), scratch_path(spark, "shingle-groups")
+    with scratch_scope(spark):
+        members = stored_at(rows.mapInArrow(_sizes(words), f"id {kind}, n long, node long"), members_path)
+        nodes = members.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"))
+        groups = connected_components(_linked_nodes(rows, nodes, words, threshold))
+        least = nodes.join(groups, "node").groupBy("component").agg(F.min("id").alias("component_id"))
+        named = groups.join(least, "component").select(F.col("node").alias("grouped"), "component_id")
+        named = nodes.join(named, F.col("node") == F.col("grouped"), "left").select(
+            F.col("node").alias("grouped"), F.coalesce("component_id", "id").alias("component_id")
+        )
+        named = stored_at(named, grouped_path)
+    return members.join(named, F.col("node") == F.col("grouped"), "left").select(
+        "id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
+    )
+
+
+def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int) -> DataFrame:
+    """Links (a, b) that join all nodes of a group."""
+    spark = rows.sparkSession
     dealt = rows.mapInArrow(_parts(words, threshold), "part long, node long").repartition("part")
     parts = stored(
         dealt.sortWithinPartitions("part", "node").mapInArrow(_shared_parts, "part long, node long"), "shared-parts"
@@ -334,37 +355,33 @@ def shingle_groups(
     ).dropDuplicates(["node"])  # ids may repeat
     heads = parts.groupBy("part").agg(F.min("node").alias("query"))
     homes = cut_lineage(parts.join(heads, "part").groupBy("node").agg(F.min("query").alias("query")))
-    away = _home_differences(homes, sets, threshold)
+    away_path, pairs_path = scratch_path(spark, "away"), scratch_path(spark, "pairs")
+    away = stored_at(_home_differences(homes, sets, threshold), away_path)
     least = away.groupBy("query").agg(F.min(F.struct("surplus", "node")).alias("least"))
     certain = away.join(least, "query").filter(
         (F.col("node") != F.col("least.node")) & (F.col("surplus") + F.col("least.surplus") <= 0)
     )
     links = _searched(homes.filter("query <> node").select("query", "node"), sets, threshold)
     links = links.union(cut_lineage(certain.select(F.col("least.node").alias("a"), F.col("node").alias("b"))))
-    placed = cut_lineage(_grouped(homes, links).select("node", "query", "component"))
-    by_part = parts.join(placed, "node").select("part", "node", "component", "query")
-    pairs = _pairs_apart(by_part, F.col("a.query") != F.col("b.query"))
-    spread = away.join(placed.select("node", "component"), "node")
-    shared = spread.select("query", "node", "surplus", "component", F.explode("away").alias("part"))
-    heads = shared.groupBy("query", "part").agg(F.min(F.struct("surplus", "node", "component")).alias("head"))
-    stars = shared.join(heads, ["query", "part"]).filter(F.col("component") != F.col("head.component"))
-    pairs = pairs.union(stars.select(F.col("head.node").alias("query"), "node")).distinct()
-    links = links.union(_searched(stored(pairs, "pairs"), sets, threshold))
-    differing = stored(_grouped(away, links).select("query", "node", "surplus", "away", "component"), "spread")
+    with scratch_scope(spark):
+        placed = cut_lineage(_grouped(homes, links).select("node", "query", "component"))
+        pairs = _pairs_apart(parts.join(placed, "node"), F.col("a.query") != F.col("b.query"))
+        spread = away.join(placed.select("node", "component"), "node")
+        shared = spread.select("query", "node", "surplus", "component", F.explode("away").alias("part"))
+        heads = shared.groupBy("query", "part").agg(F.min(F.struct("surplus", "node", "component")).alias("head"))
+        stars = shared.join(heads, ["query", "part"]).filter(F.col("component") != F.col("head.component"))
+        pairs = stored_at(pairs.union(stars.select(F.col("head.node").alias("query"), "node")).distinct(), pairs_path)
+    links = links.union(_searched(pairs, sets, threshold))
+    differing_path, rare_path = scratch_path(spark, "spread"), scratch_path(spark, "pairs")
+    differing = stored_at(_grouped(away, links).select("query", "node", "surplus", "away", "component"), differing_path)
+    delete(spark, away_path)
     rarest = _rarest_differences(differing, threshold)
     most = (1 + F.least("a.after", "b.after")) * (2 * (100 + threshold))  # if this is their first in common
     enough = most >= F.col("a.surplus") + F.col("b.surplus")
     pairs = _pairs_apart(rarest, (F.col("a.query") == F.col("b.query")) & enough)
-    links = links.union(_searched(stored(pairs.distinct(), "pairs"), sets, threshold))
-    groups = connected_components(links)
-    least = nodes.join(groups, "node").groupBy("component").agg(F.min("id").alias("component_id"))
-    named = groups.join(least, "component").select(F.col("node").alias("grouped"), "component_id")
-    named = nodes.join(named, F.col("node") == F.col("grouped"), "left").select(
-        F.col("node").alias("grouped"), F.coalesce("component_id", "id").alias("component_id")
-    )
-    return members.join(named, F.col("node") == F.col("grouped"), "left").select(
-        "id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
-    )
+    pairs = stored_at(pairs.distinct(), rare_path)
+    delete(spark, differing_path)
+    return links.union(_searched(pairs, sets, threshold))
 
 
 def _pairs_apart(rows: DataFrame, condition: Column) -> DataFrame:
