@@ -29,7 +29,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _same_columns(docs, line_dedup.dedup_lines(docs))
+    """Written here already, so that the texts which moved don't lie on disk beside the next stages'."""
+    path = scratch_path(spark, "lines")
+    with scratch_scope(spark):
+        return stored_at(_same_columns(docs, line_dedup.dedup_lines(docs)), path)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
