@@ -372,15 +372,15 @@ def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int)
         stars = shared.join(heads, ["query", "part"]).filter(F.col("component") != F.col("head.component"))
         pairs = stored_at(pairs.union(stars.select(F.col("head.node").alias("query"), "node")).distinct(), pairs_path)
     links = links.union(_searched(pairs, sets, threshold))
-    differing_path, rare_path = scratch_path(spark, "spread"), scratch_path(spark, "pairs")
-    differing = stored_at(_grouped(away, links).select("query", "node", "surplus", "away", "component"), differing_path)
-    delete(spark, away_path)
-    rarest = _rarest_differences(differing, threshold)
+    rare_path = scratch_path(spark, "pairs")
     most = (1 + F.least("a.after", "b.after")) * (2 * (100 + threshold))  # if this is their first in common
     enough = most >= F.col("a.surplus") + F.col("b.surplus")
-    pairs = _pairs_apart(rarest, (F.col("a.query") == F.col("b.query")) & enough)
-    pairs = stored_at(pairs.distinct(), rare_path)
-    delete(spark, differing_path)
+    with scratch_scope(spark):
+        differing = stored(_grouped(away, links).select("query", "node", "surplus", "away", "component"), "spread")
+        delete(spark, away_path)
+        rarest = stored(_rarest_differences(differing, threshold), "rarest")
+        pairs = _pairs_apart(rarest, (F.col("a.query") == F.col("b.query")) & enough)
+        pairs = stored_at(pairs.distinct(), rare_path)
     return links.union(_searched(pairs, sets, threshold))
 
 
@@ -410,8 +410,11 @@ def _rarest_differences(away: DataFrame, threshold: int) -> DataFrame:
     shared = F.greatest(F.ceil((F.col("surplus") + other) / (2 * (100 + threshold))), F.lit(1))
     wanted = with_first.join(second, "query").withColumn("shown", F.size("away") - shared + 1).filter("shown > 0")
     listed = wanted.select("query", "node", "component", "surplus", "shown", F.size("away").alias("n_away"), F.explode("away").alias("part"))
-    often = away.select("query", F.explode("away").alias("part")).groupBy("query", "part").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("query", "node").orderBy("n", "part"))
+    # What stands in one set alone leads to no pair: it comes first in the set's order, and is not listed.
+    often = stored(listed.groupBy("query", "part").agg(F.count("*").alias("n")).filter("n > 1"), "often")
+    of_set = Window.partitionBy("query", "node")
+    alone = F.col("n_away") - F.count("*").over(of_set)
+    rank = alone + F.row_number().over(of_set.orderBy("n", "part"))
     ranked = listed.join(often, ["query", "part"]).withColumn("rank", rank).withColumn("after", F.col("n_away") - F.col("rank"))
     return ranked.filter("rank <= shown").select("query", "node", "component", "part", "surplus", "after")
 
