@@ -46,6 +46,7 @@ from tidemark.sources.scratch import cut_lineage, delete, scratch_path, scratch_
 WORDS = 5
 THRESHOLD = 80
 CHUNK = 256
+SEARCH_TURNS = 2
 
 
 # --- parts -----------------------------------------------------------------------------------
@@ -303,7 +304,7 @@ def _home_differences(homes: DataFrame, sets: DataFrame, threshold: int) -> Data
     """(query, node, surplus, away) of every set in its home."""
     rows = _in_chunks(homes).join(sets, "node").select("query", "chunk", "node", "shingles")
     some = rows.filter("chunk = 0").repartition("query").sortWithinPartitions("query")
-    common = some.mapInArrow(_common_shingles, "query long, shingles binary")
+    common = stored(some.mapInArrow(_common_shingles, "query long, shingles binary"), "common")
     chunks = _in_chunks(homes).select("query", "chunk").distinct().join(common, "query")
     chunks = chunks.select("query", "chunk", F.lit(None).cast("long").alias("node"), "shingles")
     both = rows.unionByName(chunks).repartition("query", "chunk").sortWithinPartitions("query", "chunk")
@@ -368,10 +369,15 @@ def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int)
         pairs = _pairs_apart(parts.join(placed, "node"), F.col("a.query") != F.col("b.query"))
         spread = away.join(placed.select("node", "component"), "node")
         shared = spread.select("query", "node", "surplus", "component", F.explode("away").alias("part"))
-        heads = shared.groupBy("query", "part").agg(F.min(F.struct("surplus", "node", "component")).alias("head"))
+        heads = shared.groupBy("query", "part").agg(
+            F.min(F.struct("surplus", "node", "component")).alias("head"), F.min("component").alias("low"), F.max("component").alias("high")
+        )
+        heads = stored(heads.filter("low <> high").select("query", "part", "head"), "heads")
         stars = shared.join(heads, ["query", "part"]).filter(F.col("component") != F.col("head.component"))
         pairs = stored_at(pairs.union(stars.select(F.col("head.node").alias("query"), "node")).distinct(), pairs_path)
-    links = links.union(_searched(pairs, sets, threshold))
+    for turn in range(SEARCH_TURNS):  # a turn's sets are gone before the next one's move
+        some = pairs.filter(F.pmod(F.xxhash64("query"), F.lit(SEARCH_TURNS)) == turn)
+        links = links.union(_searched(some, sets, threshold))
     rare_path = scratch_path(spark, "pairs")
     most = (1 + F.least("a.after", "b.after")) * (2 * (100 + threshold))  # if this is their first in common
     enough = most >= F.col("a.surplus") + F.col("b.surplus")
