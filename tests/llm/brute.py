@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from hashlib import md5, sha256
+from hashlib import sha256
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -58,33 +58,24 @@ def suffix_removal(texts, length=200):
     return found
 
 
-def line_chunks(text, window=2, spacing=4):
-    lines = text.split("\n")
-    hashes = [int(md5(line.encode()).hexdigest()[:8], 16) for line in lines]
-    chunks, current = [], []
-    for i, line in enumerate(lines):
-        current.append(line)
-        rolled = sum(
-            hashes[i - j] * pow(1000003, j, 2147483647) % 2147483647 for j in range(window) if i - j >= 0
-        )
-        if rolled % spacing == 0 or i == len(lines) - 1:
-            chunks.append(current)
-            current = []
-    return chunks
-
-
 def line_dedup(rows, min_lines=2):
-    """Text left of each (id, text), by id order."""
+    """Text left of each (id, text), by id order: runs of pairs of lines that stand at an earlier place go."""
     seen, left = set(), {}
     for i, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
         if not text:
             left[i] = text
             continue
-        kept = []
-        for chunk in line_chunks(text):
-            part = "\n".join(chunk)
-            if len(chunk) < min_lines or part not in seen:
-                kept.append(part)
-            seen.add(part)
-        left[i] = "\n".join(kept)
+        lines = text.split("\n")
+        runs, chained = [], False
+        for j in range(1, len(lines)):
+            pair = (lines[j - 1], lines[j])
+            if pair in seen:
+                if runs and chained:
+                    runs[-1][1] = j
+                else:
+                    runs.append([j - 1, j])
+            chained = pair in seen
+            seen.add(pair)
+        gone = {k for a, b in runs if sum(x != "" for x in lines[a : b + 1]) >= min_lines for k in range(a, b + 1)}
+        left[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return left

@@ -32,13 +32,58 @@ def test_line_dedup_matches_brute_force(spark, documents, odd_rows):
     assert sum(n for _, n in found.values()) > 300
 
 
+def test_repeated_lines_go_in_runs_of_any_length(spark):
+    """Passages of 2 to 20 lines at any place among own lines go wholly, empty lines within them too."""
+    rows, at = [], 0
+    for length in (2, 3, 4, 5, 9, 20):
+        for n in range(6):
+            passage = [f"passage {length} {n} line {j}" if j % 3 != 1 or length < 4 else "" for j in range(length)]
+            for copy in range(3):
+                own = [f"own {at} {j}" for j in range(2 * copy + n)]
+                rows.append((at, "\n".join([*own[:copy], *passage, *own[copy:]])))
+                at += 1
+    found = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.text for i, r in found.items()} == brute.line_dedup(rows)
+    for i, text in rows:
+        lines = [x for x in text.split("\n") if x.startswith("own")]
+        assert found[i].text == (text if i % 3 == 0 else "\n".join(lines))
+
+
+def test_single_lines_stay(spark):
+    rows = [(1, "a\n\nb"), (2, "x\n\nb"), (3, "a\n\ny"), (4, "b"), (5, "q\nq\nq\nq"), (6, "\n\n\n"), (7, "\n\n\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert found == brute.line_dedup(rows)
+    assert {i: found[i] for i in (1, 2, 3, 4, 6, 7)} == {i: t for i, t in rows if i != 5} and found[5] == "q"
+
+
+def test_crowded_windows_give_the_same(documents, monkeypatch):
+    want = {r.doc_id: r.text for r in line_dedup.dedup_lines(documents).collect()}
+    for share in (1, 10_000_000):  # none looked up map-side, or all
+        monkeypatch.setattr(line_dedup, "CROWDED", share)
+        assert {r.doc_id: r.text for r in line_dedup.dedup_lines(documents).collect()} == want
+
+
+def test_hash_with_two_texts_removes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_rolled", lambda before, line: F.lit(7).cast("bigint"))
+    docs = spark.createDataFrame([(1, "a\nb"), (2, "a\nb"), (3, "c\nd")], "doc_id long, text string")
+    assert line_dedup.dedup_lines(docs).filter("lines_removed > 0").count() == 0
+
+
+def test_rows_of_one_id_keep_their_own_lines(spark):
+    rows = [(1, "a\nb\nc"), (2, "x\na\nb"), (2, "u\nv\nw"), (2, "x\na\nb")]
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in found) == [(1, "a\nb\nc"), (2, "u\nv\nw"), (2, "x"), (2, "x")]
+
+
 def test_line_dedup_edges(clashing, odd_docs):
     kept = line_dedup.dedup_lines(clashing)
     assert kept.columns == [*clashing.columns, "lines_removed"]
     assert sorted((r.doc_id or 0, r.id) for r in kept.collect()) == [(0, 9), (1, 7), (2, 8)]
     assert line_dedup.dedup_lines(empty(odd_docs)).count() == 0
     twice = odd_docs.filter("doc_id in (88, 45)")
-    assert line_dedup.dedup_lines(twice.union(twice)).filter("lines_removed > 0").count() == 0
+    found = {(r.doc_id, r.text) for r in line_dedup.dedup_lines(twice.union(twice)).collect()}
+    assert found == set(brute.line_dedup([tuple(r) for r in twice.collect()]).items())  # no copies of one another
 
 
 # --- n-gram join -----------------------------------------------------------------------------
