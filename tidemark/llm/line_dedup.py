@@ -106,7 +106,9 @@ def repeated_chunks(
     rows = as_table(docs, id=id_col, text=text_col).filter("id is not null and instr(text, '\n') > 0")
     rows = rows.withColumn("row", _row(F.col("id"), F.col("text")))
     windows = stored(repeated_windows(rows), "line-places")
-    later = windows.filter("later").join(_unequal(rows, windows), "key", "left_anti")
+    later, unequal = windows.filter("later"), stored(_unequal(rows, windows), "unequal-lines")
+    if not unequal.isEmpty():
+        later = later.join(unequal, "key", "left_anti")
     later = later.repartition("id", "row").dropDuplicates(["id", "row", "i"])
     number = F.row_number().over(Window.partitionBy("id", "row").orderBy("i"))
     chunks = later.withColumn("chunk", F.col("i") - number).groupBy("id", "row", "chunk").agg(
