@@ -47,6 +47,7 @@ WORDS = 5
 THRESHOLD = 80
 CHUNK = 256
 SEARCH_TURNS = 2
+DIFFERENCE_TURNS = 4
 
 
 # --- parts -----------------------------------------------------------------------------------
@@ -356,7 +357,7 @@ def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int)
     ).dropDuplicates(["node"])  # ids may repeat
     heads = parts.groupBy("part").agg(F.min("node").alias("query"))
     homes = cut_lineage(parts.join(heads, "part").groupBy("node").agg(F.min("query").alias("query")))
-    away_path, pairs_path = scratch_path(spark, "away"), scratch_path(spark, "pairs")
+    away_path, pairs_path, spread_path = (scratch_path(spark, name) for name in ("away", "pairs", "spread"))
     away = stored_at(_home_differences(homes, sets, threshold), away_path)
     least = away.groupBy("query").agg(F.min(F.struct("surplus", "node")).alias("least"))
     certain = away.join(least, "query").filter(
@@ -368,13 +369,11 @@ def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int)
         placed = cut_lineage(_grouped(homes, links).select("node", "query", "component"))
         pairs = _pairs_apart(parts.join(placed, "node"), F.col("a.query") != F.col("b.query"))
         spread = away.join(placed.select("node", "component"), "node")
-        shared = spread.select("query", "node", "surplus", "component", F.explode("away").alias("part"))
-        heads = shared.groupBy("query", "part").agg(
-            F.min(F.struct("surplus", "node", "component")).alias("head"), F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        heads = stored(heads.filter("low <> high").select("query", "part", "head"), "heads")
-        stars = shared.join(heads, ["query", "part"]).filter(F.col("component") != F.col("head.component"))
-        pairs = stored_at(pairs.union(stars.select(F.col("head.node").alias("query"), "node")).distinct(), pairs_path)
+        spread = stored_at(spread.select("query", "node", "surplus", "component", "away"), spread_path)
+        delete(spark, away_path)
+        for turn in range(DIFFERENCE_TURNS):
+            pairs = pairs.union(stored(_stars(spread, turn), "stars"))
+        pairs = stored_at(pairs.distinct(), pairs_path)
     for turn in range(SEARCH_TURNS):  # a turn's sets are gone before the next one's move
         some = pairs.filter(F.pmod(F.xxhash64("query"), F.lit(SEARCH_TURNS)) == turn)
         links = links.union(_searched(some, sets, threshold))
@@ -382,14 +381,30 @@ def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int)
     most = (1 + F.least("a.after", "b.after")) * (2 * (100 + threshold))  # if this is their first in common
     enough = most >= F.col("a.surplus") + F.col("b.surplus")
     with scratch_scope(spark):
-        differing = stored(_grouped(away, links).select("query", "node", "surplus", "away", "component"), "spread")
-        delete(spark, away_path)
+        differing = _grouped(spread.drop("component"), links).select("query", "node", "surplus", "away", "component")
+        differing = stored(differing, "differing")
+        delete(spark, spread_path)
         rarest = stored(_rarest_differences(differing, threshold), "rarest")
         pairs = _pairs_apart(rarest, (F.col("a.query") == F.col("b.query")) & enough)
         pairs = stored_at(pairs.distinct(), rare_path)
     return links.union(_searched(pairs, sets, threshold))
 
 
+def _stars(spread: DataFrame, turn: int) -> DataFrame:
+    """(query, node): for each difference that several components of a home have, its head with the others' nodes.
+
+    A turn takes its share of the differences, so that only these move and lie on disk at a time.
+    """
+    shared = spread.select("query", "node", "surplus", "component", F.explode("away").alias("part"))
+    shared = shared.filter(F.pmod(F.xxhash64("part"), F.lit(DIFFERENCE_TURNS)) == turn)
+    heads = shared.groupBy("query", "part").agg(
+        F.min(F.struct("surplus", "node", "component")).alias("head"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    heads = stored(heads.filter("low <> high").select("query", "part", "head"), "heads")
+    stars = shared.join(heads, ["query", "part"]).filter(F.col("component") != F.col("head.component"))
+    return stars.select(F.col("head.node").alias("query"), "node").distinct()
+
+
 def _pairs_apart(rows: DataFrame, condition: Column) -> DataFrame:
     """(query, node) pairs of one part that lie in different components."""
     spread = rows.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"))
