@@ -236,3 +236,24 @@ def test_counts_of_a_run_without_any_valid_score(spark):
         own = [r for r in data if r["safra"] in {*cfg.production_cohorts, *cfg.baseline_cohorts}]
         present = [sum(r[s] is not None for r in own) for s in ("score_1", "score_2")]
         assert found == {"score_1": (len(own), 0, 0, present[0]), "score_2": (len(own), 0, present[1], 0)}
+
+
+def test_a_tasks_entries_stay_few(spark, monkeypatch):
+    """Stretches and tasks follow from the entries alone, and a task's entries are sorted, not gathered in a table."""
+    rows = spark.createDataFrame(make_rows(5, 800, lambda rng: rng.random()), schema("double"))
+    histogram = score_histogram(score_rows(rows, config()), config())
+    monkeypatch.setattr(profile_ops, "LEAST_ENTRIES", 20)
+    sizes = [r["count"] for r in histogram.base.groupBy("cohort", "score").count().collect()]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        buckets = profile_ops.buckets_of(histogram.base)
+        profile = score_profile(histogram, config())
+        placed = profile.select("cohort", "score").groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert buckets.tasks == math.ceil(sum(sizes) / 20) > 4
+    assert sorted(buckets.stretches.values()) == sorted(math.ceil(n / 20) for n in sizes if n > 20)
+    assert placed > buckets.tasks / 3
+    dealt = profile._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in dealt.split("REPARTITION_BY_NUM")[0]

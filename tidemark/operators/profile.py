@@ -23,9 +23,11 @@ from tidemark.plans.percentile_plan import may_reach_any
 from tidemark.sources.scratch import cut_lineage, stored
 
 COUNTS = ("n", "pos", "neg")
-#: Stretches a score's axis is cut into at most, and entries of a cohort and score that one stretch is meant for.
+#: Stretches a score's axis is cut into at most, and base entries that a stretch, and a task on average, is meant for.
 STRETCHES = 64
 LEAST_ENTRIES = 100_000
+#: Size of the sketches that ends come from: ranks are off by less than a fifth of a finest stretch.
+SKETCH_SIZE = 1600
 
 
 def from_value(count: str) -> Column:
@@ -52,8 +54,10 @@ def score_histogram(long_rows: DataFrame, config: MonitorConfig) -> Histogram:
 
 @dataclass(frozen=True)
 class Buckets:
-    """How large groups are cut: stretches by (cohort, score), and the ends of a score's finest stretches."""
+    """How large groups are cut: stretches by (cohort, score), and the ends of a score's finest stretches; how many tasks
+    share the entries."""
 
+    tasks: int
     stretches: Mapping[tuple[str, str], int] = field(default_factory=dict)
     ends: Mapping[str, Sequence[float]] = field(default_factory=dict)
 
@@ -90,17 +94,16 @@ def buckets_of(base: DataFrame) -> Buckets:
     To the driver go a number for each month and score, and the ends.
     """
     sizes = {(r["cohort"], r["score"]): r["count"] for r in base.groupBy("cohort", "score").count().collect()}
-    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    meant = max(LEAST_ENTRIES, sum(sizes.values()) / (4 * parts))
-    stretches = {group: min(STRETCHES, math.ceil(n / meant)) for group, n in sizes.items() if n > meant}
+    tasks = max(base.sparkSession.sparkContext.defaultParallelism, math.ceil(sum(sizes.values()) / LEAST_ENTRIES))
+    stretches = {g: min(STRETCHES, math.ceil(n / LEAST_ENTRIES)) for g, n in sizes.items() if n > LEAST_ENTRIES}
     if not stretches:
-        return Buckets()
+        return Buckets(tasks)
     kind = "bigint" if isinstance(base.schema["value"].dataType, T.IntegralType) else "double"
-    sketch = getattr(F, f"kll_sketch_agg_{kind}")(F.col("value").cast(kind))
+    sketch = getattr(F, f"kll_sketch_agg_{kind}")(F.col("value").cast(kind), SKETCH_SIZE)
     ranks = F.array(*[F.lit(i / STRETCHES) for i in range(1, STRETCHES)])
     ends = getattr(F, f"kll_sketch_get_quantile_{kind}")(sketch, ranks).alias("ends")
     cut = base.filter(is_one_of("score", {s for _, s in stretches})).groupBy("score").agg(ends).collect()
-    return Buckets(stretches, {r["score"]: sorted({e for e in r["ends"] if math.isfinite(e)}) for r in cut})
+    return Buckets(tasks, stretches, {r["score"]: sorted({e for e in r["ends"] if math.isfinite(e)}) for r in cut})
 
 
 def _starts(entries: DataFrame, points: DataFrame | None, config: MonitorConfig, bucket: Sequence[str]) -> DataFrame:
@@ -141,16 +144,19 @@ def score_profile(histogram: Histogram, config: MonitorConfig, points: DataFrame
     place = ["cohort", "score", *bucket]
     levels = F.when(F.col("level").isNull(), F.array(*level_structs(segments, config.total_label))).otherwise(F.array("level"))
     totals = [f"total_{c}" for c in COUNTS]
+    # As a struct the totals are combined in the order of the keys: a task sorts its entries once, for the sums and the
+    # window, and holds no table of all its groups. The number of tasks grows with the entries, so that a task's do not.
     cubed = (
-        dealt.repartition(*place)
-        .select(*place, "value", *COUNTS, "is_point", *totals, F.explode(levels).alias("level"))
+        dealt.repartition(buckets.tasks, *place)
+        .select(*place, "value", *COUNTS, "is_point", F.struct(*totals).alias("whole"), F.explode(levels).alias("level"))
         .groupBy(*place, "level", "value")
-        .agg(*[F.sum(c).alias(c) for c in COUNTS], F.bool_or("is_point").alias("is_point"), *[F.max(t).alias(t) for t in totals])
+        .agg(*[F.sum(c).alias(c) for c in COUNTS], F.bool_or("is_point").alias("is_point"), F.max("whole").alias("whole"))
     )
     # The entry without a value comes first.
     upto = Window.partitionBy(*place, "level").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = {f"cum_{c}": F.sum(c).over(upto) for c in COUNTS} | {t: F.first(t).over(upto) for t in totals}
-    return cubed.withColumns(running).filter("value IS NOT NULL AND total_n > 0").drop(*bucket)
+    running = {f"cum_{c}": F.sum(c).over(upto) for c in COUNTS} | {"whole": F.first("whole").over(upto)}
+    profile = cubed.withColumns(running).withColumns({t: F.col(f"whole.{t}") for t in totals})
+    return profile.filter("value IS NOT NULL AND total_n > 0").drop("whole", *bucket)
 
 
 def profile_summary(profile: DataFrame, config: MonitorConfig, gap: Column) -> tuple[DataFrame, DataFrame]:
