@@ -95,6 +95,16 @@ def test_groups_match_brute_force(odd_docs, odd_rows, words, threshold):
     assert {r.id: (r.n_shingles, r.component_id) for r in found} == brute.shingle_groups(odd_rows, words, threshold)
 
 
+def test_a_turn_moves_few_sets(odd_docs, odd_rows, monkeypatch):
+    """Pairs apart are searched in as many turns as there are pairs for the sets, with the same groups."""
+    searched, real = [], ngram_join._searched
+    monkeypatch.setattr(ngram_join, "PAIRS_A_TURN", 0.02)
+    monkeypatch.setattr(ngram_join, "_searched", lambda pairs, *rest: searched.append(pairs.count()) or real(pairs, *rest))
+    found = ngram_join.shingle_groups(odd_docs, words=3, threshold=90).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in found} == brute.shingle_groups(odd_rows, 3, 90)
+    assert len(searched) > 4
+
+
 def test_groups_edges(clashing, odd_docs):
     assert ngram_join.shingle_groups(empty(odd_docs)).count() == 0
     one = ngram_join.one_of_each_group(clashing)

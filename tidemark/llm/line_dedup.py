@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_table, fresh_name, quoted, replace_column
-from tidemark.sources.scratch import stored
+from tidemark.sources.scratch import scratch_path, scratch_scope, stored, stored_at
 
 WINDOW = 2
 MIN_LINES = 2
@@ -146,7 +146,10 @@ def dedup_lines(
     """``docs`` with repeated chunks cut out of the text, and the number of lines that went."""
     row, cut, kept = fresh_name(docs, "own_row"), fresh_name(docs, "gone"), fresh_name(docs, "kept")
     ident, text, cuts = F.col(quoted(id_col)), F.col(quoted(text_col)), F.col(quoted(cut))
-    gone = repeated_chunks(docs, id_col, text_col, min_lines).select(
+    path = scratch_path(docs.sparkSession, "line-chunks")
+    with scratch_scope(docs.sparkSession):  # of what it takes to find the chunks nothing stays
+        chunks = stored_at(repeated_chunks(docs, id_col, text_col, min_lines), path)
+    gone = chunks.select(
         F.col("id").alias(fresh_name(docs, "removed_from")), F.col("row").alias(fresh_name(docs, "removed_row")),
         F.col("chunks").alias(cut),
     )

@@ -29,9 +29,10 @@ repeat an id each give a row, with one group; null ids are left out; an empty ta
 from __future__ import annotations
 
 import heapq
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,9 @@ from tidemark.sources.scratch import cut_lineage, delete, scratch_path, scratch_
 WORDS = 5
 THRESHOLD = 80
 CHUNK = 256
-SEARCH_TURNS = 2
 DIFFERENCE_TURNS = 4
+#: Pairs searched in a turn, as a multiple of the sets there are.
+PAIRS_A_TURN = 4
 
 
 # --- parts -----------------------------------------------------------------------------------
@@ -301,11 +303,20 @@ def _searched(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return cut_lineage(rows.mapInArrow(_links(threshold), "a long, b long"))
 
 
-def _home_differences(homes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """(query, node, surplus, away) of every set in its home."""
+def _searched_in_turns(pairs: DataFrame, sets: DataFrame, threshold: int, nodes: int) -> DataFrame:
+    """``_searched`` for any number of stored pairs. A turn moves a few times as many sets as there are nodes, and they
+    are gone before the next one's move; so what lies on disk at a time follows the sets, not the pairs."""
+    turns = max(1, math.ceil(pairs.count() / max(1, PAIRS_A_TURN * nodes)))
+    turn = F.pmod(F.xxhash64("query"), F.lit(turns))
+    found = [_searched(pairs.filter(turn == i) if turns > 1 else pairs, sets, threshold) for i in range(turns)]
+    return reduce(DataFrame.union, found)
+
+
+def _home_differences(homes: DataFrame, sets: DataFrame, threshold: int, common_path: str) -> DataFrame:
+    """(query, node, surplus, away) of every set in its home; reads the common shingles stored at ``common_path``."""
     rows = _in_chunks(homes).join(sets, "node").select("query", "chunk", "node", "shingles")
     some = rows.filter("chunk = 0").repartition("query").sortWithinPartitions("query")
-    common = stored(some.mapInArrow(_common_shingles, "query long, shingles binary"), "common")
+    common = stored_at(some.mapInArrow(_common_shingles, "query long, shingles binary"), common_path)
     chunks = _in_chunks(homes).select("query", "chunk").distinct().join(common, "query")
     chunks = chunks.select("query", "chunk", F.lit(None).cast("long").alias("node"), "shingles")
     both = rows.unionByName(chunks).repartition("query", "chunk").sortWithinPartitions("query", "chunk")
@@ -357,8 +368,12 @@ def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int)
     ).dropDuplicates(["node"])  # ids may repeat
     heads = parts.groupBy("part").agg(F.min("node").alias("query"))
     homes = cut_lineage(parts.join(heads, "part").groupBy("node").agg(F.min("query").alias("query")))
-    away_path, pairs_path, spread_path = (scratch_path(spark, name) for name in ("away", "pairs", "spread"))
-    away = stored_at(_home_differences(homes, sets, threshold), away_path)
+    common_path, away_path, pairs_path, spread_path = (
+        scratch_path(spark, name) for name in ("common", "away", "pairs", "spread")
+    )
+    away = stored_at(_home_differences(homes, sets, threshold, common_path), away_path)
+    delete(spark, common_path)
+    n_nodes = homes.count()
     least = away.groupBy("query").agg(F.min(F.struct("surplus", "node")).alias("least"))
     certain = away.join(least, "query").filter(
         (F.col("node") != F.col("least.node")) & (F.col("surplus") + F.col("least.surplus") <= 0)
@@ -374,9 +389,7 @@ def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int)
         for turn in range(DIFFERENCE_TURNS):
             pairs = pairs.union(stored(_stars(spread, turn), "stars"))
         pairs = stored_at(pairs.distinct(), pairs_path)
-    for turn in range(SEARCH_TURNS):  # a turn's sets are gone before the next one's move
-        some = pairs.filter(F.pmod(F.xxhash64("query"), F.lit(SEARCH_TURNS)) == turn)
-        links = links.union(_searched(some, sets, threshold))
+    links = links.union(_searched_in_turns(pairs, sets, threshold, n_nodes))
     rare_path = scratch_path(spark, "pairs")
     most = (1 + F.least("a.after", "b.after")) * (2 * (100 + threshold))  # if this is their first in common
     enough = most >= F.col("a.surplus") + F.col("b.surplus")
@@ -384,10 +397,13 @@ def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int)
         differing = _grouped(spread.drop("component"), links).select("query", "node", "surplus", "away", "component")
         differing = stored(differing, "differing")
         delete(spark, spread_path)
-        rarest = stored(_rarest_differences(differing, threshold), "rarest")
-        pairs = _pairs_apart(rarest, (F.col("a.query") == F.col("b.query")) & enough)
-        pairs = stored_at(pairs.distinct(), rare_path)
-    return links.union(_searched(pairs, sets, threshold))
+        turn = F.pmod(F.xxhash64("query"), F.lit(DIFFERENCE_TURNS))  # homes are apart from each other
+        found = []
+        for i in range(DIFFERENCE_TURNS):
+            rarest = stored(_rarest_differences(differing.filter(turn == i), threshold), "rarest")
+            found.append(stored(_pairs_apart(rarest, (F.col("a.query") == F.col("b.query")) & enough).distinct(), "apart"))
+        pairs = stored_at(reduce(DataFrame.union, found), rare_path)
+    return links.union(_searched_in_turns(pairs, sets, threshold, n_nodes))
 
 
 def _stars(spread: DataFrame, turn: int) -> DataFrame:
