@@ -95,14 +95,17 @@ def test_groups_match_brute_force(odd_docs, odd_rows, words, threshold):
     assert {r.id: (r.n_shingles, r.component_id) for r in found} == brute.shingle_groups(odd_rows, words, threshold)
 
 
-def test_a_turn_moves_few_sets(odd_docs, odd_rows, monkeypatch):
-    """Pairs apart are searched in as many turns as there are pairs for the sets, with the same groups."""
-    searched, real = [], ngram_join._searched
-    monkeypatch.setattr(ngram_join, "PAIRS_A_TURN", 0.02)
-    monkeypatch.setattr(ngram_join, "_searched", lambda pairs, *rest: searched.append(pairs.count()) or real(pairs, *rest))
-    found = ngram_join.shingle_groups(odd_docs, words=3, threshold=90).collect()
-    assert {r.id: (r.n_shingles, r.component_id) for r in found} == brute.shingle_groups(odd_rows, 3, 90)
-    assert len(searched) > 4
+def test_a_turn_moves_few_sets(spark, monkeypatch):
+    """Pairs are searched in as many turns as there are pairs for the sets, and all links are found."""
+    moved, real = [], ngram_join._searched
+    monkeypatch.setattr(ngram_join, "_searched", lambda pairs, *rest: moved.append(pairs.count()) or real(pairs, *rest))
+    shingles = [bytearray(np.arange(i % 3, 40 + i % 3, dtype=np.uint64).tobytes()) for i in range(12)]
+    sets = spark.createDataFrame(list(enumerate(shingles)), "node long, shingles binary")
+    wanted = [(a, b) for a in range(12) for b in range(a + 1, 12)]
+    pairs = spark.createDataFrame(wanted, "query long, node long")
+    found = {tuple(r) for r in ngram_join._searched_in_turns(pairs, sets, 95, 4).collect()}
+    assert found == {(a, b) for a, b in wanted if abs(a % 3 - b % 3) < 2}  # 39 of 41 shared, or 38 of 42
+    assert len(moved) == 5 and sum(moved) == len(wanted)
 
 
 def test_groups_edges(clashing, odd_docs):
