@@ -169,6 +169,28 @@ def test_suffix_dedup_edges(clashing, odd_docs):
     assert [r.n_removed == r.n_bytes for r in suffix_dedup.remove_repeats(twice).collect()] == [True, True]
 
 
+def test_wanted_suffixes_alone_are_compared(monkeypatch):
+    """Where only some positions are wanted, they come in the same order and few others with them."""
+    rng = np.random.default_rng(5)
+    data = b"\xff".join(rng.choice(list(b"abcde "), n).astype(np.uint8).tobytes() for n in (700, 300, 20, 500)) + b"\xff"
+    wanted = np.zeros(len(data), bool)
+    wanted[:200] = wanted[701:760] = wanted[1100:1101] = True
+    order = suffix_sort.suffix_array(data, 150, wanted)
+    every = suffix_sort.suffix_array(data, 150)
+    assert order[wanted[order]].tolist() == every[wanted[every]].tolist()
+    assert wanted.sum() <= len(order) <= wanted.sum() + 30
+
+
+def test_segments_cover_every_string_once():
+    """Segments of texts of any length, shorter and longer than a string, and side by side."""
+    rng = np.random.default_rng(8)
+    texts = [rng.choice(list(b"abc"), n).astype(np.uint8).tobytes() for n in (0, 5, 19, 20, 21, 300, 0, 90, 19, 64)]
+    bounds = np.cumsum([0, *map(len, texts)])
+    _, _, owner, first, n = suffix_dedup.segments(np.frombuffer(b"".join(texts), np.uint8), bounds, 20, 7)
+    places = [(o, f + i) for o, f, m in zip(owner.tolist(), first.tolist(), n.tolist()) for i in range(m)]
+    assert places == [(o, i) for o, text in enumerate(texts) for i in range(len(text) - 19)]
+
+
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(2)
     for letters in (b"ab", b"abc", b"a", b"abcdefgh"):
