@@ -70,6 +70,15 @@ def test_hash_with_two_texts_removes_nothing(spark, monkeypatch):
     assert line_dedup.dedup_lines(docs).filter("lines_removed > 0").count() == 0
 
 
+def test_small_and_large_corpora_move_alike(spark, capsys):
+    """Texts meet their cuts in a sorted merge, also where the cuts are few."""
+    docs = spark.createDataFrame([(1, "a\nb\nc"), (2, "x\na\nb"), (3, "y")], "doc_id long, text string")
+    kept = line_dedup.dedup_lines(docs)
+    kept.explain()
+    assert "SortMergeJoin" in (plan := capsys.readouterr().out) and "Broadcast" not in plan
+    assert {r.doc_id: r.text for r in kept.collect()} == {1: "a\nb\nc", 2: "x", 3: "y"}
+
+
 def test_rows_of_one_id_keep_their_own_lines(spark):
     rows = [(1, "a\nb\nc"), (2, "x\na\nb"), (2, "u\nv\nw"), (2, "x\na\nb")]
     found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()

@@ -13,6 +13,8 @@ the bytes under equal hashes have been compared. The first place of every line s
   than ``CROWDED`` of those in any corpus. The others are small enough to meet in a task.
 * Only repeated windows give their lines to the byte comparison, a grouping by the text itself, which
   combines copies before they move. A hash under which two texts were found removes nothing.
+* Texts meet their places and cuts in a sorted merge in corpora of any size: no executor is sent a table
+  that grows with the corpus, and what moves and lies on disk is in proportion to the text.
 
 Defined results: a null or empty text and a row with a null id come back unchanged; rows that repeat
 an id count as one document; a document of which nothing is left has the empty text; other columns
@@ -86,7 +88,7 @@ def _unequal(rows: DataFrame, windows: DataFrame) -> DataFrame:
     asked = windows.groupBy(F.col("id").alias("asked"), F.col("row").alias("asked_row")).agg(
         F.collect_set(F.struct("i", "key")).alias("wanted")
     )
-    joined = rows.join(asked, (F.col("id") == F.col("asked")) & (F.col("row") == F.col("asked_row")))
+    joined = rows.join(asked.hint("merge"), (F.col("id") == F.col("asked")) & (F.col("row") == F.col("asked_row")))
 
     def shown(lines: Column) -> Column:
         def both(w: Column) -> Column:
@@ -155,7 +157,7 @@ def dedup_lines(
     )
     of_id, of_row, _ = gone.columns
     keyed = docs.withColumn(row, _row(ident, text))
-    joined = keyed.join(gone, (keyed[quoted(id_col)] == gone[of_id]) & (keyed[row] == gone[of_row]), "left")
+    joined = keyed.join(gone.hint("merge"), (keyed[quoted(id_col)] == gone[of_id]) & (keyed[row] == gone[of_row]), "left")
     left = _let(_lines(text), lambda lines: F.array_join(_lines_left(lines, cuts), "\n"))
     joined = joined.withColumns({
         removed_col: F.when(cuts.isNull(), 0).otherwise(
