@@ -117,6 +117,39 @@ def test_a_turn_moves_few_sets(spark, monkeypatch):
     assert len(moved) == 5 and sum(moved) == len(wanted)
 
 
+def test_near_copies_below_the_threshold_are_not_searched_in_pairs(spark, monkeypatch):
+    """A large group that shares most parts and few links: the sets searched follow its size, not its square."""
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(160):
+        words = base.copy()
+        for at in rng.choice(60, 2, replace=False):
+            words[at] = f"edit{rng.integers(8)}" if i % 4 else f"new{i}x{at}"
+        rows.append((i, " ".join(words)))
+    searched, real = [], ngram_join._searched
+    monkeypatch.setattr(ngram_join, "_searched", lambda pairs, *rest: searched.append(pairs.count()) or real(pairs, *rest))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.id: (r.n_shingles, r.component_id) for r in ngram_join.shingle_groups(docs, words=3, threshold=90).collect()}
+    assert found == brute.shingle_groups(rows, 3, 90)
+    assert sum(searched) <= 3 * len(rows)
+
+
+def test_nodes_of_a_part_meet_in_a_home(spark):
+    """Any two nodes of different components that share a part are both at one home, as its own or as visitors."""
+    rng = np.random.default_rng(6)
+    parts = sorted({(int(rng.integers(30)), int(rng.integers(20))) for _ in range(90)})
+    home = {node: int(rng.integers(6)) for node in range(20)}
+    component = {node: int(rng.integers(8)) for node in range(20)}
+    placed = spark.createDataFrame([(home[i], i, component[i]) for i in range(20)], "query long, node long, component long")
+    visits = ngram_join._visits(spark.createDataFrame(parts, "part long, node long"), placed).collect()
+    at = {(home[i], i) for i in range(20)} | {(r.query, r.node) for r in visits}
+    for part, a in parts:
+        for other, b in parts:
+            if part == other and component[a] != component[b]:
+                assert any((q, a) in at and (q, b) in at for q in range(6))
+
+
 def test_groups_edges(clashing, odd_docs):
     assert ngram_join.shingle_groups(empty(odd_docs)).count() == 0
     one = ngram_join.one_of_each_group(clashing)

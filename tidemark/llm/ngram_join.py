@@ -16,9 +16,10 @@ Only groups are asked for, so copies need not all be compared. Each node goes ho
 it shares a part with, which searches for it. The sets of a home are then written as differences from
 the shingles that most of them have. Differences tell almost all: two sets are linked for certain if
 their differences are few enough together, and then both are linked with the set that has fewest; else
-they are linked only if they share differences, and how many is known. So the pairs left to search are
-those that lie in different groups and share a part but no home, or rare differences of one home. A
-large group of near copies thus costs its differences, not its pairs.
+they are linked only if they share differences, and how many is known. Nodes that share a part and have
+neither one home nor one group yet also visit the smallest home of the part, so that all such pairs meet
+in some home; there the pairs left to search share one of the rarest differences of both, early enough
+for the rest to suffice. A large group of near copies thus costs its differences, not its pairs.
 
 Shingles are compared by 64-bit hashes, sets by the sum of theirs and their size.
 
@@ -312,12 +313,18 @@ def _searched_in_turns(pairs: DataFrame, sets: DataFrame, threshold: int, nodes:
     return reduce(DataFrame.union, found)
 
 
-def _home_differences(homes: DataFrame, sets: DataFrame, threshold: int, common_path: str) -> DataFrame:
-    """(query, node, surplus, away) of every set in its home; reads the common shingles stored at ``common_path``."""
-    rows = _in_chunks(homes).join(sets, "node").select("query", "chunk", "node", "shingles")
-    some = rows.filter("chunk = 0").repartition("query").sortWithinPartitions("query")
-    common = stored_at(some.mapInArrow(_common_shingles, "query long, shingles binary"), common_path)
-    chunks = _in_chunks(homes).select("query", "chunk").distinct().join(common, "query")
+def _common_sets(homes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(query, shingles): of each home the shingles that most of its first chunk's sets have."""
+    rows = _in_chunks(homes).filter("chunk = 0").join(sets, "node").select("query", "shingles")
+    rows = rows.repartition("query").sortWithinPartitions("query")
+    return rows.mapInArrow(_common_shingles, "query long, shingles binary")
+
+
+def _home_differences(homes: DataFrame, sets: DataFrame, common: DataFrame, threshold: int) -> DataFrame:
+    """(query, node, surplus, away) of every (query, node): the node's set against its home's common shingles."""
+    tasks = _in_chunks(homes)
+    rows = tasks.join(sets, "node").select("query", "chunk", "node", "shingles")
+    chunks = tasks.select("query", "chunk").distinct().join(common, "query")
     chunks = chunks.select("query", "chunk", F.lit(None).cast("long").alias("node"), "shingles")
     both = rows.unionByName(chunks).repartition("query", "chunk").sortWithinPartitions("query", "chunk")
     return both.mapInArrow(_differences(threshold), "query long, node long, surplus long, away array<long>")
@@ -368,67 +375,89 @@ def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int)
     ).dropDuplicates(["node"])  # ids may repeat
     heads = parts.groupBy("part").agg(F.min("node").alias("query"))
     homes = cut_lineage(parts.join(heads, "part").groupBy("node").agg(F.min("query").alias("query")))
-    common_path, away_path, pairs_path, spread_path = (
-        scratch_path(spark, name) for name in ("common", "away", "pairs", "spread")
+    homes = homes.select("query", "node")
+    common_path, away_path, guests_path, differing_path = (
+        scratch_path(spark, name) for name in ("common", "away", "guests", "differing")
     )
-    away = stored_at(_home_differences(homes, sets, threshold, common_path), away_path)
-    delete(spark, common_path)
     n_nodes = homes.count()
-    least = away.groupBy("query").agg(F.min(F.struct("surplus", "node")).alias("least"))
-    certain = away.join(least, "query").filter(
-        (F.col("node") != F.col("least.node")) & (F.col("surplus") + F.col("least.surplus") <= 0)
-    )
-    links = _searched(homes.filter("query <> node").select("query", "node"), sets, threshold)
-    links = links.union(cut_lineage(certain.select(F.col("least.node").alias("a"), F.col("node").alias("b"))))
+    common = stored_at(_common_sets(homes, sets), common_path)
+    away = stored_at(_home_differences(homes, sets, common, threshold), away_path)
+    least = cut_lineage(away.groupBy("query").agg(F.min(F.struct("surplus", "node")).alias("least")))
+    links = _searched(homes.filter("query <> node"), sets, threshold).union(_certain(away, least))
     with scratch_scope(spark):
-        placed = cut_lineage(_grouped(homes, links).select("node", "query", "component"))
-        pairs = _pairs_apart(parts.join(placed, "node"), F.col("a.query") != F.col("b.query"))
-        spread = away.join(placed.select("node", "component"), "node")
-        spread = stored_at(spread.select("query", "node", "surplus", "component", "away"), spread_path)
-        delete(spark, away_path)
-        for turn in range(DIFFERENCE_TURNS):
-            pairs = pairs.union(stored(_stars(spread, turn), "stars"))
-        pairs = stored_at(pairs.distinct(), pairs_path)
-    links = links.union(_searched_in_turns(pairs, sets, threshold, n_nodes))
-    rare_path = scratch_path(spark, "pairs")
-    most = (1 + F.least("a.after", "b.after")) * (2 * (100 + threshold))  # if this is their first in common
-    enough = most >= F.col("a.surplus") + F.col("b.surplus")
+        visits = cut_lineage(_visits(parts, _grouped(homes, links)))
+        guests = stored_at(_home_differences(visits, sets, common, threshold), guests_path)
+    delete(spark, common_path)
+    links = links.union(_certain(guests, least))
     with scratch_scope(spark):
-        differing = _grouped(spread.drop("component"), links).select("query", "node", "surplus", "away", "component")
-        differing = stored(differing, "differing")
-        delete(spark, spread_path)
-        turn = F.pmod(F.xxhash64("query"), F.lit(DIFFERENCE_TURNS))  # homes are apart from each other
-        found = []
-        for i in range(DIFFERENCE_TURNS):
-            rarest = stored(_rarest_differences(differing.filter(turn == i), threshold), "rarest")
-            found.append(stored(_pairs_apart(rarest, (F.col("a.query") == F.col("b.query")) & enough).distinct(), "apart"))
-        pairs = stored_at(reduce(DataFrame.union, found), rare_path)
-    return links.union(_searched_in_turns(pairs, sets, threshold, n_nodes))
-
-
-def _stars(spread: DataFrame, turn: int) -> DataFrame:
-    """(query, node): for each difference that several components of a home have, its head with the others' nodes.
-
-    A turn takes its share of the differences, so that only these move and lie on disk at a time.
+        members = away.unionByName(guests)
+        narrow = cut_lineage(_grouped(members.select("query", "node"), links))
+        apart = narrow.groupBy("query").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        apart = apart.filter("low <> high").select("query")
+        differing = stored_at(members.join(apart, "query", "left_semi"), differing_path)
+        delete(spark, away_path)
+        delete(spark, guests_path)
+    for candidates in (_stars, _pairs_apart):
+        pairs_path = scratch_path(spark, "pairs")
+        with scratch_scope(spark):
+            placed = stored(_grouped(differing, links).select("query", "node", "surplus", "away", "component"), "placed")
+            turn = F.pmod(F.xxhash64("query"), F.lit(DIFFERENCE_TURNS))  # homes are apart from each other
+            found = []
+            for i in range(DIFFERENCE_TURNS):
+                rarest = stored(_rarest_differences(placed.filter(turn == i), threshold), "rarest")
+                found.append(stored(candidates(rarest, threshold).distinct(), "found"))
+            pairs = stored_at(reduce(DataFrame.union, found).distinct(), pairs_path)
+        links = links.union(_searched_in_turns(pairs, sets, threshold, n_nodes))
+    return links
+
+
+def _certain(away: DataFrame, least: DataFrame) -> DataFrame:
+    """Links (a, b) of sets with the one of their home that differs least, where the differences are few enough."""
+    sure = away.select("query", "node", "surplus").join(least, "query").filter(
+        (F.col("node") != F.col("least.node")) & (F.col("surplus") + F.col("least.surplus") <= 0)
+    )
+    return cut_lineage(sure.select(F.col("least.node").alias("a"), F.col("node").alias("b")))
+
+
+def _visits(parts: DataFrame, placed: DataFrame) -> DataFrame:
+    """(query, node): the nodes of a part that lies in several homes and components visit the smallest home.
+
+    So any two nodes of different components that share a part meet in a home.
     """
-    shared = spread.select("query", "node", "surplus", "component", F.explode("away").alias("part"))
-    shared = shared.filter(F.pmod(F.xxhash64("part"), F.lit(DIFFERENCE_TURNS)) == turn)
-    heads = shared.groupBy("query", "part").agg(
-        F.min(F.struct("surplus", "node", "component")).alias("head"), F.min("component").alias("low"), F.max("component").alias("high")
+    rows = parts.join(placed, "node")
+    several = rows.groupBy("part").agg(
+        F.min("query").alias("home"), F.max("query").alias("last"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    heads = stored(heads.filter("low <> high").select("query", "part", "head"), "heads")
-    stars = shared.join(heads, ["query", "part"]).filter(F.col("component") != F.col("head.component"))
-    return stars.select(F.col("head.node").alias("query"), "node").distinct()
+    several = several.filter("home <> last and low <> high").select("part", "home")
+    visits = rows.join(several, "part").filter("query <> home")
+    return visits.select(F.col("home").alias("query"), "node").distinct()
+
+
+def _enough(one: str, other: str, threshold: int) -> Column:
+    """Whether two sets whose first difference in common this is may be linked."""
+    most = (1 + F.least(f"{one}.after", f"{other}.after")) * (2 * (100 + threshold))
+    return most >= F.col(f"{one}.surplus") + F.col(f"{other}.surplus")
+
+
+def _stars(rarest: DataFrame, threshold: int) -> DataFrame:
+    """(query, node): for each of the rarest differences its set with the least surplus and those of other components."""
+    head = F.min(F.struct("surplus", "node", "component", "after")).alias("head")
+    heads = rarest.groupBy("query", "part").agg(head, F.min("component").alias("low"), F.max("component").alias("high"))
+    heads = heads.filter("low <> high").select("query", "part", "head")
+    stars = rarest.alias("set").join(heads, ["query", "part"])
+    stars = stars.filter((F.col("set.component") != F.col("head.component")) & _enough("set", "head", threshold))
+    return stars.select(F.col("head.node").alias("query"), "node")
 
 
-def _pairs_apart(rows: DataFrame, condition: Column) -> DataFrame:
-    """(query, node) pairs of one part that lie in different components."""
-    spread = rows.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    spread = spread.filter("low <> high").select(F.col("part").alias("spread"))
-    rows = rows.join(spread, F.col("part") == F.col("spread"), "left_semi")
+def _pairs_apart(rarest: DataFrame, threshold: int) -> DataFrame:
+    """(query, node): pairs of different components that share one of their rarest differences."""
+    spread = rarest.groupBy("query", "part").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    spread = spread.filter("low <> high").select("query", "part")
+    rows = rarest.join(spread, ["query", "part"], "left_semi")
     a, b = rows.alias("a"), rows.alias("b")
-    apart = (F.col("a.part") == F.col("b.part")) & (F.col("a.component") < F.col("b.component"))
-    return a.join(b, apart & condition).select(F.col("a.node").alias("query"), F.col("b.node").alias("node"))
+    same = (F.col("a.query") == F.col("b.query")) & (F.col("a.part") == F.col("b.part"))
+    apart = (F.col("a.component") < F.col("b.component")) & _enough("a", "b", threshold)
+    return a.join(b, same & apart).select(F.col("a.node").alias("query"), F.col("b.node").alias("node"))
 
 
 def _rarest_differences(away: DataFrame, threshold: int) -> DataFrame:
