@@ -1,14 +1,16 @@
 import random
+from collections import Counter
 
 import brute
 import corpus_pipeline
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import cover_tree, graph, line_dedup, projection_forest, queries, toxicity, url_templates, warc_revisits
+from tidemark.llm import common, cover_tree, graph, line_dedup, projection_forest, queries, toxicity, url_templates, warc_revisits
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages benchmark labels conversations".split()
@@ -51,6 +53,39 @@ def labelled(spark):
     return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, label int")
 
 
+def test_python_tasks_get_texts_in_bounded_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["size", "n"])
+
+    spark.conf.unset(common._BATCH_LIMIT)
+    docs = spark.range(0, 1000, 1, 1).select("id", F.expr("repeat('some words ', 1000)").alias("text"))
+    found = common.as_table(docs, id="id", text="text").mapInArrow(sizes, "size long, n long").toPandas()
+    assert found.n.sum() == 1000 and found["size"].max() < 2 * common.BATCH_BYTES
+    spark.conf.set(common._BATCH_LIMIT, "100000")
+    try:
+        found = common.as_table(docs, id="id", text="text").mapInArrow(sizes, "size long, n long").toPandas()
+        assert found.n.sum() == 1000 and found["size"].max() < 200_000  # the session's own limit stays
+    finally:
+        spark.conf.unset(common._BATCH_LIMIT)
+
+
+def test_toxicity_hands_counts_on(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("abc", k=rng.randint(1, 7))) for _ in range(20)) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array([*texts, None]), pa.array([i % 2 for i in range(61)])], ["text", "label"])
+    monkeypatch.setattr(toxicity, "MOST_COUNTED", 100)
+    parts = list(toxicity._feature_counts([batch]))
+    assert len(parts) > 3 and max(p.num_rows for p in parts) <= 100 + max(len(toxicity.text_features(t)) for t in texts)
+    for label, column in ((1, "bad"), (0, "good")):
+        total, want = Counter(), Counter()
+        for part in parts:
+            total.update(dict(zip(part.column("feature").to_pylist(), part.column(column).to_pylist())))
+        for text in texts[label::2]:
+            want.update(toxicity.text_features(text))
+        assert +total == want
+
+
 def test_toxicity_learns_the_label(labelled):
     docs, labels = labelled
     scored = toxicity.score_documents(docs, labels).join(labels, "doc_id").toPandas()

@@ -252,6 +252,17 @@ def test_word_ids_equal_the_library(odd_rows):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_word_ids_start_anew(odd_rows, monkeypatch):
+    texts = [t or "" for _, t in odd_rows]
+    want = token_ids.WordIds(WORD_FILE).encode(texts)
+    monkeypatch.setattr(token_ids, "MAX_WORDS", 20)
+    few, most = token_ids.WordIds(WORD_FILE), 0
+    for at in range(0, len(texts), 4):
+        assert few.encode(texts[at : at + 4]) == want[at : at + 4]
+        most = max(most, len(few.known) - len(set(" ".join(texts[at : at + 4]).split())))
+    assert most <= 40
+
+
 def test_packing_places_every_id_once(spark, odd_docs, odd_rows):
     library = Tokenizer.from_file(WORD_FILE)
     pieces = packing.pack_documents(odd_docs, WORD_FILE, capacity=256, open_windows=4).toPandas()

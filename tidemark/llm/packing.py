@@ -32,7 +32,7 @@ OPEN_WINDOWS = 32
 END_ID = 1
 #: Partitions whose leftovers are merged in one task.
 MERGED_PARTITIONS = 32
-_BATCH_CHARS = 4_000_000
+_BATCH_CHARS = 1_000_000
 
 _PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),

@@ -19,7 +19,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 #: Words kept per worker process; beyond that the table starts anew.
-MAX_WORDS = 600_000
+MAX_WORDS = 200_000
 _SPACE = re.compile("[\n\r\t]")
 #: Signs for which ranks and library agree by construction: no normal forms, no special tokens.
 _PLAIN = "!-;=-~À-ÿ"
@@ -72,7 +72,7 @@ class WordIds:
     def learn(self, words: set[str]) -> None:
         if len(self.known) > MAX_WORDS:
             self.known = {}
-        words.difference_update(self.known)
+        words = words.difference(self.known)
         plain = list(words)
         if _OTHER.search("\n".join(plain)):
             plain = [w for w in words if not _OTHER.search(w)]

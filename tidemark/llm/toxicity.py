@@ -41,6 +41,8 @@ STEMS = (4, 5, 6)
 LEAST_DOCUMENTS = 4
 LEAST_ODDS = 2.5
 MOST_CANDIDATES = 20_000
+#: Features that a task counts before it hands the counts on.
+MOST_COUNTED = 200_000
 #: A feature is taken for the label's if chance makes fewer than ``CHANCE`` of so many features like it.
 CHANCE, MOST_FEATURES = 0.01, 1_000_000
 NEGATION_REACH = 3
@@ -229,13 +231,21 @@ def text_features(text: str) -> set[str]:
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts by feature and label, handed on as soon as there are many; a feature may come several times."""
     counts = {0: Counter(), 1: Counter()}
+
+    def counted() -> pa.RecordBatch:
+        names = list(counts[0].keys() | counts[1].keys())
+        columns = [pa.array(names, pa.string()), *(pa.array([counts[c][n] for n in names], pa.int64()) for c in (1, 0))]
+        return pa.RecordBatch.from_arrays(columns, ["feature", "bad", "good"])
+
     for batch in batches:
         for text, label in zip(batch.column("text"), batch.column("label").to_pylist()):
             counts[label].update(text_features(text.as_py() or ""))
-    names = list(counts[0].keys() | counts[1].keys())
-    columns = [pa.array(names, pa.string()), *(pa.array([counts[c][n] for n in names], pa.int64()) for c in (1, 0))]
-    yield pa.RecordBatch.from_arrays(columns, ["feature", "bad", "good"])
+            if len(counts[0]) + len(counts[1]) >= MOST_COUNTED:
+                yield counted()
+                counts = {0: Counter(), 1: Counter()}
+    yield counted()
 
 
 def _marked(features: frozenset[str]):
@@ -384,13 +394,14 @@ def _pattern_rows(words: dict[str, float], stems: dict[str, float]):
 def toxicity_score(text: Column, model: ToxicityModel) -> Column:
     """The score of a text column, 0 to 1."""
 
-    def score(texts: pa.Array) -> pa.Array:
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         grammar = Grammar(model.words, model.stems)
-        found = np.array([grammar.features(t.as_py() or "") for t in texts]).reshape(-1, len(PATTERNS))
-        scores = 1 / (1 + np.exp(-np.clip(model.weights[0] + found @ model.weights[1:], -30, 30)))
-        return pa.array(scores)
+        for texts in batches:
+            found = np.array([grammar.features(t.as_py() or "") for t in texts]).reshape(-1, len(PATTERNS))
+            scores = 1 / (1 + np.exp(-np.clip(model.weights[0] + found @ model.weights[1:], -30, 30)))
+            yield pa.array(scores)
 
-    score.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    score.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(score, "double")(text)
 
 
