@@ -150,6 +150,42 @@ def test_nodes_of_a_part_meet_in_a_home(spark):
                 assert any((q, a) in at and (q, b) in at for q in range(6))
 
 
+def test_linked_pairs_agree_on_as_many_parts_as_they_need():
+    """Also where sets are tiny, exactly at the threshold, and in bands side by side."""
+    rng = np.random.default_rng(8)
+    linked = 0
+    for threshold in (80, 90):
+        for _ in range(1500):
+            n = int(rng.integers(2, 90))
+            base = rng.integers(1, 2**63, 3 * n, dtype=np.uint64)
+            gone = int(rng.integers(0, max(1, n // 5) + 1))
+            a, b = np.unique(base[:n]), np.unique(np.concatenate([base[gone:n], base[n : n + int(rng.integers(0, max(1, n // 5) + 1))]]))
+            both = len(np.intersect1d(a, b))
+            if len(a) == len(b) == both or 100 * both < threshold * (len(a) + len(b) - both):
+                continue
+            linked += 1
+            keys, owner, needs = ngram_join.parts_and_needs([a, b], threshold)
+            common = set(keys[owner == 0]) & set(keys[owner == 1])
+            for one in (0, 1):
+                agree = [need for key, need in zip(keys[owner == one], needs[owner == one]) if key in common]
+                assert any(agree.count(need) >= need >> 1 for need in agree)
+    assert linked > 500
+
+
+def test_a_passage_in_common_makes_no_candidates(spark, monkeypatch):
+    """Texts that share a passage, and with it a few parts, are not compared; near copies among them are."""
+    rng = np.random.default_rng(9)
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = [(i, " ".join(f"w{rng.integers(1 << 40)}" for _ in range(110)) + " " + passage) for i in range(120)]
+    rows += [(120, rows[7][1] + " more"), (121, rows[40][1] + " again")]
+    homes, real = [], ngram_join._common_sets
+    monkeypatch.setattr(ngram_join, "_common_sets", lambda found, sets: homes.append(found.count()) or real(found, sets))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.id: (r.n_shingles, r.component_id) for r in ngram_join.shingle_groups(docs).collect()}
+    assert found == brute.shingle_groups(rows, 5, 80)
+    assert homes == [4]
+
+
 def test_groups_edges(clashing, odd_docs):
     assert ngram_join.shingle_groups(empty(odd_docs)).count() == 0
     one = ngram_join.one_of_each_group(clashing)

@@ -5,8 +5,10 @@ node from the start. The search has two steps, both exact:
 
 * **Who is worth a search.** Sets of similar size are cut into more parts than a linked pair can have
   differing elements, by a hash of each element; so a linked pair agrees on a whole part. Rows (part's
-  checksum, node) are dealt by the checksum and only parts with several nodes stay. Frequent shingles
-  need no care: a part is several shingles at once.
+  checksum, node) are dealt by the checksum and only parts with several nodes stay. A differing element
+  spoils one part, so a linked pair agrees on as many parts with elements as there are beyond the most
+  differences, less the empty ones: nodes that share fewer with all others together leave. So a frequent
+  passage that fills a part of its own makes no candidates.
 * **T-occurrence search.** A query's shingles have inverted lists over the documents it is compared
   with (at most ``CHUNK`` at a time). The overlap a link requires gives the number of lists a document
   must be on. The longest lists are set aside, the short ones merged with a heap that skips documents
@@ -94,10 +96,19 @@ def set_numbers(sets: list[np.ndarray]) -> np.ndarray:
 
 def part_rows(sets: list[np.ndarray], threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """(checksum of a part, position of its set) for all parts that linked sets could agree on."""
+    return parts_and_needs(sets, threshold)[:2]
+
+
+def parts_and_needs(sets: list[np.ndarray], threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``part_rows``, and on how many of these parts the set agrees at least with any set it is linked with.
+
+    A set is cut in two ways, for its band and the one above or below; the need counts for either alone. It is
+    given doubled, plus 1 in one of the two ways.
+    """
     lows, parts, most = bands(threshold)
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     if not sizes.sum():
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
     values = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), sizes)
     spread = mixed(values + np.uint64(0x5851F42D4C957F2D))
@@ -120,8 +131,10 @@ def part_rows(sets: list[np.ndarray], threshold: int) -> tuple[np.ndarray, np.nd
         keep = full | rare[holder]
         place = (np.arange(len(sums)) - base[holder]).astype(np.uint64)
         key = mixed(mixed(place + (pair[holder].astype(np.uint64) << np.uint64(40))) + sums)
-        found.append((key[keep].view(np.int64), holder[keep]))
-    return np.concatenate([k for k, _ in found]), np.concatenate([h for _, h in found])
+        need = 2 * np.maximum(1, m - differ - empty) + (pair & 1)
+        found.append((key[keep].view(np.int64), holder[keep], need[holder[keep]].astype(np.int32)))
+    keys, holders, needs = (np.concatenate(column) for column in zip(*found))
+    return keys, holders, needs
 
 
 # --- the search ------------------------------------------------------------------------------
@@ -210,25 +223,26 @@ def _parts(words: int, threshold: int):
                 if number not in seen:
                     seen.add(number)
                     new.append(i)
-            keys, owner = part_rows([sets[i] for i in new], threshold)
+            keys, owner, needs = parts_and_needs([sets[i] for i in new], threshold)
             nodes = numbers[np.array(new, np.int64)][owner] if new else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], ["part", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes), pa.array(needs)], ["part", "node", "need"])
 
     return run
 
 
 def _shared_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (part, node), the distinct rows of parts with several nodes."""
-    part, node, out = np.zeros(0, np.int64), np.zeros(0, np.int64), False  # the last row so far
+    part, node, need, out = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), False  # the last row so far
     for batch in batches:
         if not batch.num_rows:
             continue
         parts = np.concatenate([part, batch.column("part").to_numpy()])
         nodes = np.concatenate([node, batch.column("node").to_numpy()])
+        needs = np.concatenate([need, batch.column("need").to_numpy()])
         first = np.ones(len(parts), bool)
         first[1:] = (parts[1:] != parts[:-1]) | (nodes[1:] != nodes[:-1])
         carried = len(part)
-        parts, nodes = parts[first], nodes[first]
+        parts, nodes, needs = parts[first], nodes[first], needs[first]
         same = np.zeros(len(parts) + 1, bool)
         same[1:-1] = parts[1:] == parts[:-1]
         several = same[1:] | same[:-1]
@@ -236,8 +250,8 @@ def _shared_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             several |= parts == parts[0]
             several[0] = False  # given already
         last_given = bool(several[-1]) or (carried and out and len(parts) == 1)
-        yield pa.RecordBatch.from_arrays([pa.array(parts[several]), pa.array(nodes[several])], ["part", "node"])
-        part, node, out = parts[-1:], nodes[-1:], bool(last_given)
+        yield pa.RecordBatch.from_arrays([pa.array(c[several]) for c in (parts, nodes, needs)], ["part", "node", "need"])
+        part, node, need, out = parts[-1:], nodes[-1:], needs[-1:], bool(last_given)
 
 
 def _links(threshold: int):
@@ -362,13 +376,23 @@ def shingle_groups(
     )
 
 
+def _parts_of_several(parts: DataFrame) -> DataFrame:
+    """The distinct (part, node, need) rows of parts with several nodes."""
+    dealt = parts.repartition("part").sortWithinPartitions("part", "node")
+    return dealt.mapInArrow(_shared_parts, "part long, node long, need int")
+
+
+def _of_enough_parts(parts: DataFrame) -> DataFrame:
+    """The rows of nodes that share as many parts as they need for a link, counted for either way of cutting."""
+    counted = parts.withColumn("shared", F.count("*").over(Window.partitionBy("node", "need")))
+    return counted.filter(F.col("shared") >= F.shiftright("need", 1)).drop("shared")
+
+
 def _linked_nodes(rows: DataFrame, nodes: DataFrame, words: int, threshold: int) -> DataFrame:
     """Links (a, b) that join all nodes of a group."""
     spark = rows.sparkSession
-    dealt = rows.mapInArrow(_parts(words, threshold), "part long, node long").repartition("part")
-    parts = stored(
-        dealt.sortWithinPartitions("part", "node").mapInArrow(_shared_parts, "part long, node long"), "shared-parts"
-    )
+    parts = _parts_of_several(rows.mapInArrow(_parts(words, threshold), "part long, node long, need int"))
+    parts = stored(_parts_of_several(_of_enough_parts(stored(parts, "met-parts"))).drop("need"), "shared-parts")
     wanted = parts.select("node").distinct().join(nodes, "node")
     sets = stored(
         rows.join(wanted, "id").select("id", "text").mapInArrow(_set_rows(words), "node long, shingles binary"), "sets"
